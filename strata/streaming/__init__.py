@@ -1,0 +1 @@
+"""Structured Streaming: not used (the reference has no streaming input); see README."""
