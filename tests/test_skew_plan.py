@@ -1,0 +1,55 @@
+"""A hot object holding a third of all versions, and the fused plan's shape."""
+
+import re
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from strata.operators.lifecycle import lifecycle
+from strata.plans.catalog import comparable
+from strata.schema import HISTORY
+
+
+def hot_history(spark, n=30_000):
+    """n versions: a third belong to node 1, the rest to 2,000 other nodes."""
+    r = spark.range(n)
+    hot = F.col("id") % 3 == 0
+    oid = F.when(hot, F.lit(1)).otherwise(2 + F.col("id") % 2000)
+    return (r.select(
+        F.lit("node").alias("type"), oid.alias("id"), F.col("id").alias("seq"))
+        .withColumn("version", F.row_number().over(Window.partitionBy("id").orderBy("seq")).cast("long"))
+        .select("type", "id", "version",
+                (F.col("seq") % 7 != 0).alias("visible"),
+                F.when(F.col("seq") % 11 == 0, None).otherwise(F.col("seq") % 997).alias("uid"),
+                F.timestamp_seconds(F.lit(1_400_000_000) + F.col("seq") * 60).alias("timestamp"),
+                (F.col("seq") + 10).alias("changeset"),
+                F.create_map(F.lit("name"), F.col("seq").cast("string")).alias("tags"),
+                F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"),
+                F.array().cast("array<struct<ref:bigint>>").alias("nds")))
+
+
+def test_hot_object_fused_equals_window(spark, tmp_path):
+    path = str(tmp_path / "hist")
+    hot_history(spark).write.parquet(path)
+    h = spark.read.schema(HISTORY).parquet(path)
+    a = comparable(lifecycle(h, "fused"))
+    b = comparable(lifecycle(h, "window"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    row = a.filter("id = 1").first()
+    assert row["num_versions"] == 10_000 and row["distinct_users"] == 997
+
+
+def test_fused_plan_shape(spark, tmp_path):
+    path = str(tmp_path / "hist")
+    hot_history(spark, 3000).write.parquet(path)
+    h = spark.read.schema(HISTORY).parquet(path)
+    df = lifecycle(h, "fused")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan                       # no per-object ranking
+    # every exchange sits on a map-side partial aggregate (or a distinct's)
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = "\n".join(lines[i + 1:i + 4])
+            assert re.search(r"(Sort)?Aggregate|HashAggregate", below), below
+    assert plan.count("Scan parquet") == 2            # payload pass + narrow editor pass
