@@ -41,11 +41,14 @@ def project_changesets(changesets: DataFrame) -> DataFrame:
     )
 
 
-def needed_changesets(candidates: DataFrame, changeset_col: str = "last_changeset") -> DataFrame:
-    """Distinct non-NULL changeset ids referenced by the candidates (``cs_id``)."""
-    return (candidates.select(F.col(changeset_col).alias("cs_id"))
-                      .filter(F.col("cs_id").isNotNull())
-                      .distinct())
+def needed_changesets(candidates: DataFrame, changeset_col: str = "last_changeset",
+                      ordered: bool = False) -> DataFrame:
+    """Distinct non-NULL changeset ids referenced by the candidates (``cs_id``),
+    optionally sorted (a range-partitioned sort, not a driver-side one)."""
+    ids = (candidates.select(F.col(changeset_col).alias("cs_id"))
+                     .filter(F.col("cs_id").isNotNull())
+                     .distinct())
+    return ids.orderBy("cs_id") if ordered else ids
 
 
 def _should_broadcast(ids: DataFrame, broadcast, max_rows: int) -> bool:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from strata.functions.tags import has_any_key
 from strata.schema import CANDIDATE_COLUMNS
 from strata.operators.lifecycle import lifecycle, prepare_history
+from strata.operators.extras import crop_bbox
 from strata.operators.sampling import sample_objects
 
 REQUIRED_KEYS = ("object_types", "min_versions", "min_distinct_users", "min_lifetime_days",
@@ -146,5 +147,9 @@ def extract_candidates(history: DataFrame, rules: Rules, sample_rate: float = 1.
     h = sample_objects(h, sample_rate)
     h = h.filter(F.col("type").isin(list(rules.object_types)))
     base = lifecycle(h, plan=plan, deletion_changeset=deletion_changeset)
-    return project_candidates(base.filter(compile_rules(rules)),
-                              ["deletion_changeset"] if deletion_changeset else None)
+    out = project_candidates(base.filter(compile_rules(rules)),
+                             ["deletion_changeset"] if deletion_changeset else None)
+    # optional crop (documented for the rule file, never shipped): a bbox
+    # [min_lon, min_lat, max_lon, max_lat] on the last visible position
+    bbox = rules.extra.get("bbox")
+    return crop_bbox(out, tuple(bbox)) if bbox else out
