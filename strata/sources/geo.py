@@ -91,9 +91,15 @@ def write_geoparquet(df: DataFrame, uri: str) -> list[tuple[str, int]]:
 
     Nothing is written when there are no node features.
     """
+    from pyarrow import fs as pafs
+
     frame = geoparquet_frame(df)
     base = uri.rstrip("/")
     geo = _geo_metadata()
+    # overwrite semantics: part files of an earlier, wider run must not survive
+    filesystem, root = pafs.FileSystem.from_uri(base)
+    if filesystem.get_file_info(root).type != pafs.FileType.NotFound:
+        filesystem.delete_dir_contents(root, missing_dir_ok=True)
 
     def write_part(batches):
         from pyarrow import fs as pafs
