@@ -24,11 +24,11 @@ def test_cli_extract_and_enrich_on_files(spark, scratch):
     out = os.path.join(scratch, "out")
     assert jobs.main(["extract", "--history_uri", hist, "--rules_uri", rules,
                       "--output_uri", out, "--format", "parquet"]) == 0
-    assert read_candidates(spark, out).count() == 19
+    assert read_candidates(spark, out).count() == 104
     enr = os.path.join(scratch, "enr")
     assert jobs.main(["enrich", "--candidates_uri", out, "--changesets_uri", cs,
                       "--output_uri", enr, "--format", "parquet"]) == 0
-    assert read_candidates(spark, enr).count() == 13
+    assert read_candidates(spark, enr).count() == 69
 
 
 def test_load_rules_from_path(spark, scratch):
@@ -64,4 +64,4 @@ def test_rules_bbox_crops(spark):
     h = fixture_history(spark, SF_SMALL)
     rules = shipped_rules().replace(bbox=[-180, -90, 180, -50])
     got = extract_candidates(h, rules).collect()
-    assert len(got) == 8 and all(r["type"] == "node" and r["last_lat"] <= -50 for r in got)
+    assert len(got) == 20 and all(r["type"] == "node" and r["last_lat"] <= -50 for r in got)

@@ -13,12 +13,12 @@ from strata.plans.catalog import comparable
 from strata.sources.fixtures import fixture_changesets, fixture_history
 
 CHECKSUMS = {  # versions, objects, sum(version), sum(uid), visible rows, sum(nds), changesets
-    SF_SMALL: (1284, 200, 5944, 5288, 1031, 1317, 1470),
-    SF_MEDIUM: (12984, 2000, 60544, 536429, 10331, 12907, 14700),
+    SF_SMALL: (6000, 1473, 18008, 24119, 4366, 5375, 200),
+    SF_MEDIUM: (60000, 14743, 179498, 2414604, 43495, 52568, 2000),
 }
 FIGURES = {  # candidates, nodes, ways, exclude, neutral, strong
-    SF_SMALL: (19, 14, 5, 6, 10, 3),
-    SF_MEDIUM: (272, 200, 72, 70, 122, 80),
+    SF_SMALL: (104, 80, 24, 35, 34, 35),
+    SF_MEDIUM: (1205, 855, 350, 304, 481, 420),
 }
 
 

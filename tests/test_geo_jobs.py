@@ -62,20 +62,20 @@ def test_jobs_end_to_end(spark, scratch):
     geo_base = os.path.join(scratch, "export")
 
     m = jobs.run_extract(spark, fixture_history(spark, SF_SMALL), shipped_rules(), cand_uri)
-    assert m == {"rows": 19, "nodes": 14, "ways": 5}
+    assert m == {"rows": 104, "nodes": 80, "ways": 24}
     assert sorted(d for d in os.listdir(cand_uri) if d.startswith("type=")) == ["type=node", "type=way"]
 
     cands = read_candidates(spark, cand_uri)
     em = jobs.run_enrich(spark, cands, fixture_changesets(spark, SF_SMALL), enr_uri, show=False)
-    assert em["before"] == {"rows": 19, "strong": 3, "neutral": 10, "exclude": 6}
-    assert em["after"] == {"rows": 13, "strong": 3, "neutral": 10, "exclude": 0}
+    assert em["before"] == {"rows": 104, "strong": 35, "neutral": 34, "exclude": 35}
+    assert em["after"] == {"rows": 69, "strong": 35, "neutral": 34, "exclude": 0}
 
     am = jobs.run_enrich_keep_all(spark, cands, fixture_changesets(spark, SF_SMALL), allp, show=False)
-    assert am["rows"] == 19
+    assert am["rows"] == 104
 
     gm = jobs.run_export_geo(spark, read_candidates(spark, enr_uri), geo_base)
     lines = [json.loads(l) for f in glob.glob(geo_base + ".geojson/part-*") for l in open(f)]
-    assert len(lines) == 13 == gm["rows"]
+    assert len(lines) == 69 == gm["rows"]
     assert all(l["type"] == "Feature" for l in lines)
     files = glob.glob(geo_base + ".geoparquet/*.parquet")
     assert files and not glob.glob(geo_base + ".geoparquet/_tmp-*")
@@ -86,7 +86,7 @@ def test_jobs_end_to_end(spark, scratch):
     assert set(table.column("type").to_pylist()) == {"node"}
 
     counts = jobs.run_profile(spark, read_candidates(spark, enr_uri))
-    assert sum(counts.values()) == 13
+    assert sum(counts.values()) == 69
 
 
 def test_geojson_single_collection(spark, scratch):
@@ -95,7 +95,7 @@ def test_geojson_single_collection(spark, scratch):
     G.write_geojson(c, out, collection=True)
     (part,) = glob.glob(out + "/part-*")
     doc = json.load(open(part))
-    assert doc["type"] == "FeatureCollection" and len(doc["features"]) == 19
+    assert doc["type"] == "FeatureCollection" and len(doc["features"]) == 104
     kinds = [f["properties"]["type"] for f in doc["features"]]
     assert kinds == sorted(kinds, key=lambda k: k != "node")
     with pytest.raises(ValueError):
@@ -111,7 +111,7 @@ def test_partition_read_tolerates_missing_type(spark, scratch):
     out = os.path.join(scratch, "c")
     write_candidates(read_candidates_fixture(spark, scratch), out)
     assert read_candidates(spark, out, types=["relation"]).count() == 0
-    assert read_candidates(spark, out, types=["way"]).count() == 5
+    assert read_candidates(spark, out, types=["way"]).count() == 24
     assert "type" in read_candidates(spark, out, types=["way"]).columns
 
 
@@ -126,7 +126,7 @@ def test_extras(spark, scratch):
     c = read_candidates_fixture(spark, scratch)
     assert X.crop_bbox(c, None) is c
     cropped = X.crop_bbox(c, (-180, -90, 180, 90)).collect()
-    assert all(r["type"] == "node" for r in cropped) and len(cropped) == 14
+    assert all(r["type"] == "node" for r in cropped) and len(cropped) == 80
     d = X.with_archive_dates(c).select("created_at", "start_date").first()
     assert d["start_date"] == d["created_at"].strftime("%Y-%m-%d")
     a = [tuple(r) for r in X.review_sample(c, 5).select("type", "id").collect()]

@@ -40,5 +40,5 @@ def test_rows_only_queries_run(spark, name):
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.count() == 19
+    assert df.count() == 104
     assert "good_tag_keys" in df.columns and "type" in df.columns

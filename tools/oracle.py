@@ -18,26 +18,27 @@ from strata.plans.catalog import BBOX, EXACT_KEYS, PREFIX_KEYS, RULE_QUERY_NAMES
 
 HISTORY_CTES = """
 v AS (
-  SELECT l_partkey p, l_suppkey s, l_orderkey o, l_linenumber ln, l_shipdate ts,
-    CAST(row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS BIGINT) v,
-    CAST(least(count(*) OVER (PARTITION BY l_partkey), 1 + l_partkey % 12) AS BIGINT) n
+  SELECT l_orderkey o, l_partkey p, l_suppkey s, l_linenumber ln, l_shipdate ts,
+    CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS BIGINT) v,
+    CAST(count(*) OVER (PARTITION BY l_orderkey) AS BIGINT) n
   FROM lineitem),
 h0 AS (
   SELECT *,
-    CASE WHEN p % 10 = 0 THEN 'relation' WHEN p % 10 IN (1, 2, 3) THEN 'way' ELSE 'node' END AS type,
-    CASE WHEN p % 13 = 0 THEN false WHEN v = n AND p % 4 <> 0 THEN false
-         WHEN v = 3 AND p % 5 = 0 THEN false ELSE true END AS visible,
-    CAST(CASE WHEN p % 7 = 0 AND v IN (1, n) THEN 1 WHEN p % 11 = 0 THEN 1 + v % 2
+    CASE WHEN o % 10 = 0 THEN 'relation' WHEN o % 10 IN (1, 2, 3) THEN 'way' ELSE 'node' END AS type,
+    CASE WHEN o % 13 = 0 THEN false WHEN v = n AND o % 4 <> 0 THEN false
+         WHEN v = 3 AND o % 5 = 0 THEN false ELSE true END AS visible,
+    CAST(CASE WHEN o % 7 = 0 AND v IN (1, n) THEN 1 WHEN o % 11 = 0 THEN 1 + v % 2
          WHEN s % 23 = 0 THEN NULL ELSE s END AS BIGINT) AS uid
-  FROM v WHERE v <= n),
+  FROM v),
 h1 AS (
-  SELECT type, p AS id, v AS version, visible, uid, ts, o AS changeset, ln,
-    CASE WHEN visible THEN CASE p % 9 WHEN 0 THEN 'name,amenity,source' WHEN 1 THEN 'name:es,ref,source'
+  SELECT type, o AS id, v AS version, visible, uid, ts,
+    CASE WHEN o % 50 = 0 THEN -1 - p ELSE p END AS changeset, ln,
+    CASE WHEN visible THEN CASE o % 9 WHEN 0 THEN 'name,amenity,source' WHEN 1 THEN 'name:es,ref,source'
       WHEN 2 THEN 'building,height,fixme' WHEN 3 THEN 'highway,surface' WHEN 4 THEN 'ref,source,layer'
       WHEN 5 THEN 'historic:civilization,start_date,wikidata' WHEN 6 THEN 'was:shop,addr:street,addr:city'
       WHEN 7 THEN 'building,name,building:levels' ELSE 'name,shop,FIXME' END ELSE '' END AS keys,
-    CASE WHEN type = 'node' AND visible THEN CAST(-90 + (p * 37 % 18000) / 100.0 AS DOUBLE) END AS lat,
-    CASE WHEN type = 'node' AND visible THEN CAST(-180 + (p * 61 % 36000) / 100.0 AS DOUBLE) END AS lon,
+    CASE WHEN type = 'node' AND visible THEN CAST(-90 + (o * 37 % 18000) / 100.0 AS DOUBLE) END AS lat,
+    CASE WHEN type = 'node' AND visible THEN CAST(-180 + (o * 61 % 36000) / 100.0 AS DOUBLE) END AS lon,
     CAST(CASE WHEN type = 'way' AND visible THEN ln ELSE 0 END AS BIGINT) AS n_nds
   FROM h0),
 hall AS (
@@ -47,16 +48,16 @@ hist AS (SELECT * FROM hall WHERE type IN ({types}))"""
 
 CHANGESET_CTES = """
 cs AS (
-  SELECT o_orderkey AS cs_id, 'user_' || CAST(o_custkey AS VARCHAR) AS cs_user, o_custkey AS cs_uid,
-    CASE o_orderkey % 12 WHEN 0 THEN 'building demolished' WHEN 1 THEN 'reverted vandalism'
+  SELECT p_partkey AS cs_id, 'user_' || CAST(p_size AS VARCHAR) AS cs_user, CAST(p_size AS BIGINT) AS cs_uid,
+    CASE p_partkey % 12 WHEN 0 THEN 'building demolished' WHEN 1 THEN 'reverted vandalism'
       WHEN 2 THEN 'update' WHEN 3 THEN NULL WHEN 4 THEN 'edificio derribado'
       WHEN 5 THEN 'mass import of shops' WHEN 6 THEN '' WHEN 7 THEN 'torn down, was a test'
       WHEN 8 THEN 'abgerissen' WHEN 9 THEN 'fix import error' WHEN 10 THEN 'снесли'
       ELSE 'survey' END AS cs_comment,
-    CASE o_orderkey % 5 WHEN 0 THEN 'iD 2.20' WHEN 1 THEN 'JOSM/1.5' WHEN 2 THEN 'Potlatch 2'
+    CASE p_partkey % 5 WHEN 0 THEN 'iD 2.20' WHEN 1 THEN 'JOSM/1.5' WHEN 2 THEN 'Potlatch 2'
       WHEN 3 THEN 'Vespucci' END AS cs_created_by,
-    CASE WHEN o_orderkey % 3 = 0 THEN 'survey' END AS cs_source
-  FROM orders WHERE o_orderkey % 50 <> 0)"""
+    CASE WHEN p_partkey % 3 = 0 THEN 'survey' END AS cs_source
+  FROM part)"""
 
 LIFECYCLE_CTES = """
 stats AS (
