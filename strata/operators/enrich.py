@@ -94,12 +94,11 @@ def enrich(candidates: DataFrame, changesets: DataFrame, lexicon: str = "full",
     ``neutral``)."""
     ids = needed_changesets(candidates, changeset_col)
     small = _should_broadcast(ids, broadcast, max_broadcast_rows)  # decided once
+    # The lookup rows carry free text (comment, user), so a row count does
+    # not bound their bytes: the candidate join is left to AQE, which
+    # broadcasts the cut-down lookup only when its measured size is small.
     lookup = changeset_lookup(changesets, ids, "checked" if small else None,
                               max_broadcast_rows, dedupe)
-    if small and dedupe:
-        # deduped, the lookup has at most one row per counted id; otherwise
-        # its size is left to AQE, which measures it at run time
-        lookup = F.broadcast(lookup)
     joined = (candidates.join(lookup, F.col(changeset_col) == lookup["cs_id"], "left")
                         .drop("cs_id"))
     return joined.withColumn("comment_signal",

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.tags import has_any_key
 from strata.schema import CANDIDATE_COLUMNS
-from strata.operators.lifecycle import lifecycle, prepare_history
+from strata.operators.lifecycle import (MAX_BROADCAST_SURVIVORS, attach_payload, lifecycle,
+                                        lifecycle_scalar, prepare_history)
 from strata.operators.extras import crop_bbox
 from strata.operators.sampling import sample_objects
 
@@ -126,10 +127,17 @@ def rule_predicates(rules: Rules) -> dict[str, Column]:
     return preds
 
 
-def compile_rules(rules: Rules) -> Column:
+# Rules that read the last visible version's tags or node refs.
+PAYLOAD_RULES = ("required_tags_any", "exclude_tags_keys", "min_tag_count_last_visible",
+                 "way_min_nodes")
+
+
+def compile_rules(rules: Rules, only=None, skip=()) -> Column:
+    """AND of the enabled rules (``only``: restrict to these names; ``skip``: leave these out)."""
     out = F.lit(True)
-    for pred in rule_predicates(rules).values():
-        out = out & pred
+    for name, pred in rule_predicates(rules).items():
+        if (only is None or name in only) and name not in skip:
+            out = out & pred
     return out
 
 
@@ -139,16 +147,52 @@ def project_candidates(base: DataFrame, extra: list[str] | None = None) -> DataF
                 .select(*CANDIDATE_COLUMNS, *(extra or [])))
 
 
+def survivors_of_scalar_rules(history: DataFrame, rules: Rules,
+                              deletion_changeset: bool = False) -> DataFrame:
+    """Hash-aggregated lifecycle rows passing every rule that needs no payload."""
+    return (lifecycle_scalar(history, deletion_changeset)
+            .filter(compile_rules(rules, skip=PAYLOAD_RULES)))
+
+
+def _two_pass(h: DataFrame, rules: Rules, deletion_changeset: bool,
+              max_broadcast_survivors: int) -> DataFrame:
+    """Scalar rules on a hash aggregate, then payload for survivors only.
+
+    The survivors are checkpointed to the shared ``spark.checkpoint.dir``
+    (lineage cut, counted without recomputing the aggregate); at most
+    ``max_broadcast_survivors`` fixed-width rows are broadcast against a scan
+    of the visible history (no shuffle of the history), beyond that the
+    payload join is a shuffled hash join built on the survivors.
+    """
+    from strata.session import checkpoint_dir
+
+    checkpoint_dir(h.sparkSession)
+    survivors = survivors_of_scalar_rules(h, rules, deletion_changeset).checkpoint(eager=True)
+    small = survivors.count() <= max_broadcast_survivors
+    return attach_payload(survivors, h, broadcast=small).filter(
+        compile_rules(rules, only=PAYLOAD_RULES))
+
+
 def extract_candidates(history: DataFrame, rules: Rules, sample_rate: float = 1.0,
                        plan: str = "fused", dedupe: bool = False,
-                       deletion_changeset: bool = False) -> DataFrame:
-    """Version history -> deleted objects worth keeping (17 columns)."""
+                       deletion_changeset: bool = False,
+                       max_broadcast_survivors: int = MAX_BROADCAST_SURVIVORS) -> DataFrame:
+    """Version history -> deleted objects worth keeping (17 columns).
+
+    ``plan``: ``"fused"`` (one aggregate, payload carried through it),
+    ``"two_pass"`` (hash aggregate, payload joined back for survivors of the
+    scalar rules; runs the first pass eagerly) or ``"window"`` (the
+    reference's shape).
+    """
     h = prepare_history(history, dedupe=dedupe)
     h = sample_objects(h, sample_rate)
     h = h.filter(F.col("type").isin(list(rules.object_types)))
-    base = lifecycle(h, plan=plan, deletion_changeset=deletion_changeset)
-    out = project_candidates(base.filter(compile_rules(rules)),
-                             ["deletion_changeset"] if deletion_changeset else None)
+    if plan == "two_pass":
+        base = _two_pass(h, rules, deletion_changeset, max_broadcast_survivors)
+    else:
+        base = lifecycle(h, plan=plan, deletion_changeset=deletion_changeset).filter(
+            compile_rules(rules))
+    out = project_candidates(base, ["deletion_changeset"] if deletion_changeset else None)
     # optional crop (documented for the rule file, never shipped): a bbox
     # [min_lon, min_lat, max_lon, max_lat] on the last visible position
     bbox = rules.extra.get("bbox")

@@ -53,3 +53,31 @@ def test_fused_plan_shape(spark, tmp_path):
             below = "\n".join(lines[i + 1:i + 4])
             assert re.search(r"(Sort)?Aggregate|HashAggregate", below), below
     assert plan.count("Scan parquet") == 2            # payload pass + narrow editor pass
+
+
+def test_two_pass_hot_object_and_shapes(spark, tmp_path):
+    from strata.operators.lifecycle import attach_payload
+    from strata.operators.rules import (extract_candidates, shipped_rules,
+                                        survivors_of_scalar_rules)
+    from strata.plans.shape import plan_shape
+
+    path = str(tmp_path / "hist")
+    hot_history(spark).write.parquet(path)
+    h = spark.read.schema(HISTORY).parquet(path)
+    rules = shipped_rules().replace(must_be_deleted=False, exclude_deletions_by_creator=False,
+                                    required_tags_any=["name"], min_tag_count_last_visible=1,
+                                    min_distinct_users=1, min_lifetime_days=0,
+                                    min_age_at_deletion_days=0)
+    fused = comparable(extract_candidates(h, rules, plan="fused"))
+    for bound in (10**6, 0):          # broadcast, and the shuffled fallback
+        two = comparable(extract_candidates(h, rules, plan="two_pass", max_broadcast_survivors=bound))
+        assert fused.exceptAll(two).count() == 0 and two.exceptAll(fused).count() == 0
+    assert fused.filter("id = 1").count() == 1
+
+    first = plan_shape(survivors_of_scalar_rules(h, rules))
+    assert first["sorts"] == 0 and first["sort_aggregates"] == 0 and first["hash_aggregates"] >= 2
+    spath = str(tmp_path / "survivors")
+    survivors_of_scalar_rules(h, rules).write.parquet(spath)
+    second = plan_shape(attach_payload(spark.read.parquet(spath), h, broadcast=True))
+    # the history is scanned and probed; only the small survivor side moves
+    assert second["exchanges"] == 0 and second["broadcasts"] == 1 and second["sorts"] == 0

@@ -172,6 +172,7 @@ kept AS (SELECT * FROM enr WHERE comment_signal <> 'exclude')"""
     sql: dict[str, str] = {}
     sql["extract_candidates"] = f"{cand} SELECT {CAND_COLS} FROM cand"
     sql["extract_candidates_window_plan"] = sql["extract_candidates"]
+    sql["extract_candidates_two_pass"] = sql["extract_candidates"]
     sql["filter_object_types"] = f"{_with(hist)} SELECT {ROW_COLS} FROM hist"
     sql["last_version"] = (f"{_with(hist)} SELECT {ROW_COLS} FROM hist "
                            "QUALIFY row_number() OVER (PARTITION BY type, id ORDER BY version DESC) = 1")
