@@ -52,7 +52,46 @@ def way_node_refs(candidates: DataFrame) -> DataFrame:
                               F.col("nd.ref").alias("ref")))
 
 
-def resolve_ways(candidates: DataFrame, history: DataFrame) -> DataFrame:
+def asof_fill(events: DataFrame, key: str, order: list[str], state: str,
+              partitions: int | None = None) -> DataFrame:
+    """Adds ``asof``: the last non-NULL ``state`` of the same ``key`` at or
+    before each row, in ``order`` (which must make rows unique).
+
+    A running window partitioned by ``key`` alone would put a hot key (a
+    node shared by a third of all ways) in one task. Here the rows are
+    range-partitioned on ``(key, *order)``, which splits a hot key's
+    timeline into contiguous slices. One window pass per ``(slice, key)``
+    fills forward locally and records the slice's last state. Slices are
+    contiguous in key order, so only the first key of a slice can continue
+    from earlier slices: the carry table has at most one row per slice
+    (``partitions`` rows, a bound by construction) and is broadcast to the
+    final join, so the big side never moves again. No pairs are built and
+    no group is gathered.
+    """
+    spark = events.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (events.repartitionByRange(n, key, *order)
+                    .withColumn("_slice", F.spark_partition_id()))
+    w = Window.partitionBy("_slice", key).orderBy(*order)
+    # one Window operator: same partitioning and order, three frames
+    local = (ranged
+             .withColumn("_local", F.last(state, ignorenulls=True)
+                         .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+             .withColumn("_tail", F.last(state, ignorenulls=True)
+                         .over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+             .withColumn("_head", F.row_number().over(w) == 1))
+    tails = local.filter(F.col("_head")).select("_slice", key, "_tail")
+    earlier = (Window.partitionBy(key).orderBy("_slice")
+                     .rowsBetween(Window.unboundedPreceding, -1))
+    carry = (tails.select("_slice", key, F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"))
+                  .filter(F.col("_carried").isNotNull()))
+    return (local.join(F.broadcast(carry), ["_slice", key], "left")
+                 .withColumn("asof", F.coalesce(F.col("_local"), F.col("_carried")))
+                 .drop("_slice", "_local", "_tail", "_head", "_carried"))
+
+
+def resolve_ways(candidates: DataFrame, history: DataFrame,
+                 partitions: int | None = None) -> DataFrame:
     """Node positions of candidate ways, as of the way's last visible version.
 
     For each (way, pos, ref): the node's latest version whose timestamp is
@@ -61,9 +100,9 @@ def resolve_ways(candidates: DataFrame, history: DataFrame) -> DataFrame:
 
     As-of join without pairs: way refs and node versions are unioned, keyed
     by node id and ordered by time (node versions before refs at equal
-    time), and ``last(..., ignorenulls)`` over the running frame carries the
-    newest node state onto each ref. No (ref x version) pairs are built.
-    Node history is first cut down to referenced ids by a left-semi join.
+    time), and ``asof_fill`` carries the newest node state onto each ref,
+    split so that a heavily shared node spreads over many tasks. Node
+    history is first cut down to referenced ids by a left-semi join.
     """
     refs = way_node_refs(candidates)
     way_times = (history.filter(F.col("type") == "way")
@@ -87,9 +126,7 @@ def resolve_ways(candidates: DataFrame, history: DataFrame) -> DataFrame:
         F.lit(None).cast("struct<node_version:bigint,lon:double,lat:double>").alias("state"),
         "way_id", "pos",
     ))
-    w = (Window.partitionBy("ref").orderBy("at", "kind", "seq")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = events.withColumn("asof", F.last("state", ignorenulls=True).over(w))
+    carried = asof_fill(events, "ref", ["at", "kind", "seq", "way_id", "pos"], "state", partitions)
     return (carried.filter(F.col("kind") == 1)
                    .select("way_id", "pos", "ref",
                            F.col("asof.node_version").alias("node_version"),

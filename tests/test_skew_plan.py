@@ -81,3 +81,24 @@ def test_two_pass_hot_object_and_shapes(spark, tmp_path):
     second = plan_shape(attach_payload(spark.read.parquet(spath), h, broadcast=True))
     # the history is scanned and probed; only the small survivor side moves
     assert second["exchanges"] == 0 and second["broadcasts"] == 1 and second["sorts"] == 0
+
+
+def test_asof_fill_splits_a_hot_key(spark):
+    from strata.operators.extras import asof_fill
+
+    n = 30_000
+    r = spark.range(n)
+    # key 1 holds a third of all rows; every 5th row carries a state
+    ev = r.select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(2 + F.col("id") % 500).alias("k"),
+                  (F.col("id") * 7 % 1000).alias("t"), F.col("id").alias("u"),
+                  F.when(F.col("id") % 5 == 0, F.col("id")).alias("s"))
+    order = ["t", "u"]
+    got = asof_fill(ev, "k", order, "s", partitions=8).select("k", "t", "u", "asof")
+    w = (Window.partitionBy("k").orderBy(*order)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    want = ev.select("k", "t", "u", F.last("s", ignorenulls=True).over(w).alias("asof"))
+    assert got.count() == n
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    slices = (ev.repartitionByRange(8, "k", *order).withColumn("p", F.spark_partition_id())
+                .filter("k = 1").select("p").distinct().count())
+    assert slices >= 2                    # the hot key is spread over several tasks
