@@ -1,9 +1,11 @@
 """GeoJSON and GeoParquet sinks.
 
 GeoJSON is written as newline-delimited Features (one per line, RFC 8142
-style), by every task in parallel. A single FeatureCollection document needs
-one writer, so it is only offered for results whose counted size is under
-``max_features``.
+style), by every task in parallel. A FeatureCollection document is written
+in parallel too: the features are globally sorted (range-partitioned), each
+line carries its own separator, and a header and footer row sort before and
+after them, so the part files concatenated in name order are the document
+(``cat part-* > out.geojson``). No task holds the whole collection.
 
 GeoParquet needs the ``geo`` key in the Parquet footer, which Spark's writer
 cannot add. Each task therefore writes its own file with pyarrow inside
@@ -26,7 +28,6 @@ from pyspark.sql import types as T
 from strata.functions.geo import (GEOMETRY_SOURCE_COLUMNS, feature_json, has_point,
                                   iso_timestamp, marker_style, wkb_point)
 
-MAX_COLLECTION_FEATURES = 200_000
 
 
 def features(df: DataFrame) -> DataFrame:
@@ -34,22 +35,26 @@ def features(df: DataFrame) -> DataFrame:
     return df.select(F.col("type"), F.col("id"), feature_json(df).alias("feature"))
 
 
-def write_geojson(df: DataFrame, uri: str, collection: bool = False,
-                  max_features: int = MAX_COLLECTION_FEATURES) -> None:
+def write_geojson(df: DataFrame, uri: str, collection: bool = False) -> None:
     feats = features(df)
     if not collection:
         feats.select("feature").write.mode("overwrite").text(uri)
         return
-    n = feats.count()
-    if n > max_features:
-        raise ValueError(f"{n} features exceed the single-document bound {max_features}; "
-                         "write newline-delimited GeoJSON instead")
-    # bounded: one task joins at most max_features lines into the document
-    body = (feats.orderBy(F.when(F.col("type") == "node", 0).otherwise(1), "type", "id")
-                 .agg(F.concat_ws(",", F.collect_list("feature")).alias("f")))
-    doc = body.select(F.concat(F.lit('{"type":"FeatureCollection","features":['),
-                               F.coalesce(F.col("f"), F.lit("")), F.lit("]}")).alias("value"))
-    doc.coalesce(1).write.mode("overwrite").text(uri)
+    # nodes first, then the other types, each by id
+    key = F.struct(F.when(F.col("type") == "node", 0).otherwise(1).alias("k"),
+                   F.col("type").alias("t"), F.col("id").alias("i"))
+    keyed = feats.select(key.alias("key"), "feature")
+    first = keyed.select(F.min("key")).scalar()      # one partial min per task
+    body = keyed.select("key", F.when(F.col("key") == first, F.col("feature"))
+                                 .otherwise(F.concat(F.lit(","), F.col("feature"))).alias("value"))
+    spark = df.sparkSession
+
+    def edge(k, text):
+        return spark.createDataFrame([((k, "", 0), text)], body.schema)
+    doc = (edge(-1, '{"type":"FeatureCollection","features":[')
+           .unionByName(body)
+           .unionByName(edge(2, "]}")))
+    doc.orderBy("key").select("value").write.mode("overwrite").text(uri)
 
 
 def geoparquet_frame(df: DataFrame) -> DataFrame:

@@ -93,13 +93,22 @@ def test_geojson_single_collection(spark, scratch):
     c = read_candidates_fixture(spark, scratch)
     out = os.path.join(scratch, "fc.geojson")
     G.write_geojson(c, out, collection=True)
-    (part,) = glob.glob(out + "/part-*")
-    doc = json.load(open(part))
+    parts = sorted(glob.glob(out + "/part-*"))
+    doc = json.loads("".join(open(p).read() for p in parts))
     assert doc["type"] == "FeatureCollection" and len(doc["features"]) == 104
     kinds = [f["properties"]["type"] for f in doc["features"]]
     assert kinds == sorted(kinds, key=lambda k: k != "node")
-    with pytest.raises(ValueError):
-        G.write_geojson(c, out, collection=True, max_features=5)
+    ids = [f["properties"]["id"] for f in doc["features"] if f["properties"]["type"] == "node"]
+    assert ids == sorted(ids)
+    # written by several tasks, not funnelled through one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        G.write_geojson(c, out, collection=True)
+        parts = sorted(glob.glob(out + "/part-*"))
+        assert len(parts) > 1
+        assert json.loads("".join(open(p).read() for p in parts)) == doc
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def read_candidates_fixture(spark, scratch):
