@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from strata.operators import enrich as E
 from strata.operators import reports as R
 from strata.operators.rules import Rules, extract_candidates, load_rules
-from strata.session import ensure_job_settings
+from strata.session import ensure_job_settings, input_bytes, size_partitions
 from strata.sources import geo as G
 from strata.sources.tables import (read_candidates, read_changesets, read_history,
                                    write_candidates, write_parquet)
@@ -157,6 +157,12 @@ def main(argv=None) -> int:
 
     spark = SparkSession.builder.appName(f"strata-{args.job}").getOrCreate()
     ensure_job_settings(spark)
+    big_input = {"extract": "history_uri", "enrich": "changesets_uri",
+                 "enrich-all": "changesets_uri"}.get(args.job)
+    if big_input and not spark.sparkContext.master.startswith("local"):
+        sized = size_partitions(spark, input_bytes(spark, getattr(args, big_input)))
+        if sized:
+            _log(args.job, f"partition sizing: {json.dumps(sized)}")
     if args.job == "extract":
         run_extract(spark, read_history(spark, args.history_uri, args.format),
                     load_rules(spark, args.rules_uri), args.output_uri,

@@ -6,6 +6,7 @@ Jobs never build their own session on a cluster: they take the one
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -59,6 +60,51 @@ def ensure_job_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Partition sizing: bytes a shuffle partition should hold before AQE
+# coalesces small ones, and a cap on the initial count (map outputs times
+# reducers grows with it). 100 TB of input starts at the cap.
+SHUFFLE_TARGET_BYTES = 256 << 20
+MAX_INITIAL_PARTITIONS = 32768
+LARGE_INPUT_BYTES = 1 << 40
+
+
+def input_bytes(spark: SparkSession, *uris: str) -> int:
+    """Total size of the files under ``uris`` (a metadata call on the
+    driver through the Hadoop filesystem API; nothing is read)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for uri in uris:
+        path = jvm.org.apache.hadoop.fs.Path(uri)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
+def size_partitions(spark: SparkSession, n_bytes: int) -> dict[str, str]:
+    """Fill partition sizing from the input size, only where the deployment
+    left it unset; returns what was set.
+
+    AQE starts every shuffle at ``initialPartitionNum`` (enough partitions
+    for ``SHUFFLE_TARGET_BYTES`` each if the whole input were shuffled,
+    capped) and coalesces the small ones to the advisory size, so a cluster
+    default of 200 partitions cannot leave 500 GB to one reducer. Inputs
+    over a terabyte are split into 256 MB scan tasks instead of 128 MB.
+    """
+    conf = spark.conf
+    out = {}
+    if conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) is None:
+        out["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(SHUFFLE_TARGET_BYTES)
+    if conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
+        current = int(conf.get("spark.sql.shuffle.partitions"))
+        want = min(MAX_INITIAL_PARTITIONS, max(current, math.ceil(n_bytes / SHUFFLE_TARGET_BYTES)))
+        if want > current:
+            out["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(want)
+    if n_bytes > LARGE_INPUT_BYTES and conf.get("spark.sql.files.maxPartitionBytes", None) is None:
+        out["spark.sql.files.maxPartitionBytes"] = str(SHUFFLE_TARGET_BYTES)
+    for k, v in out.items():
+        conf.set(k, v)
+    return out
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -65,3 +65,33 @@ def test_rules_bbox_crops(spark):
     rules = shipped_rules().replace(bbox=[-180, -90, 180, -50])
     got = extract_candidates(h, rules).collect()
     assert len(got) == 20 and all(r["type"] == "node" and r["last_lat"] <= -50 for r in got)
+
+
+def test_partition_sizing_fills_only_unset(spark):
+    from strata.session import MAX_INITIAL_PARTITIONS, input_bytes, size_partitions
+
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            "spark.sql.files.maxPartitionBytes"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.unset(k)
+        assert input_bytes(spark, SF_SMALL + "/lineitem.parquet") > 0
+        small = size_partitions(spark, 10 << 20)       # 10 MB: nothing to raise
+        assert "spark.sql.adaptive.coalescePartitions.initialPartitionNum" not in small
+        for k in keys:
+            spark.conf.unset(k)
+        big = size_partitions(spark, 100 << 40)        # 100 TB
+        assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(MAX_INITIAL_PARTITIONS)
+        assert "spark.sql.files.maxPartitionBytes" in big
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        again = size_partitions(spark, 100 << 40)      # a deployment's own value wins
+        assert "spark.sql.files.maxPartitionBytes" not in again
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
