@@ -161,15 +161,19 @@ def _two_pass(h: DataFrame, rules: Rules, deletion_changeset: bool,
     The survivors are checkpointed to the shared ``spark.checkpoint.dir``
     (lineage cut, counted without recomputing the aggregate); at most
     ``max_broadcast_survivors`` fixed-width rows are broadcast against a scan
-    of the visible history (no shuffle of the history), beyond that the
-    payload join is a shuffled hash join built on the survivors.
+    of the visible history (no shuffle of the history). Beyond that bound a
+    payload join would shuffle every visible version's tags and node refs,
+    which costs more than the one-pass plan's partial rows, so the fused
+    plan runs instead (the cheap first pass is the only work lost).
     """
     from strata.session import checkpoint_dir
 
     checkpoint_dir(h.sparkSession)
     survivors = survivors_of_scalar_rules(h, rules, deletion_changeset).checkpoint(eager=True)
-    small = survivors.count() <= max_broadcast_survivors
-    return attach_payload(survivors, h, broadcast=small).filter(
+    if survivors.count() > max_broadcast_survivors:
+        return lifecycle(h, plan="fused", deletion_changeset=deletion_changeset).filter(
+            compile_rules(rules))
+    return attach_payload(survivors, h, broadcast=True).filter(
         compile_rules(rules, only=PAYLOAD_RULES))
 
 

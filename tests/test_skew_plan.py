@@ -69,9 +69,15 @@ def test_two_pass_hot_object_and_shapes(spark, tmp_path):
                                     min_distinct_users=1, min_lifetime_days=0,
                                     min_age_at_deletion_days=0)
     fused = comparable(extract_candidates(h, rules, plan="fused"))
-    for bound in (10**6, 0):          # broadcast, and the shuffled fallback
+    for bound in (10**6, 0):          # broadcast, and the fallback beyond the bound
         two = comparable(extract_candidates(h, rules, plan="two_pass", max_broadcast_survivors=bound))
         assert fused.exceptAll(two).count() == 0 and two.exceptAll(fused).count() == 0
+    # the shuffled payload join (attach_payload without broadcast) gives the same rows
+    from strata.operators.rules import PAYLOAD_RULES, compile_rules, project_candidates
+    shuffled = comparable(project_candidates(
+        attach_payload(survivors_of_scalar_rules(h, rules), h, broadcast=False)
+        .filter(compile_rules(rules, only=PAYLOAD_RULES))))
+    assert fused.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(fused).count() == 0
     assert fused.filter("id = 1").count() == 1
 
     first = plan_shape(survivors_of_scalar_rules(h, rules))
