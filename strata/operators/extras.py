@@ -68,8 +68,10 @@ def asof_fill(events: DataFrame, key: str, order: list[str], state: str,
     final join, so the big side never moves again. No pairs are built and
     no group is gathered.
     """
-    spark = events.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    conf = events.sparkSession.conf
+    # as many slices as AQE's sized initial partition count, when a job set one
+    n = partitions or int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+                          or conf.get("spark.sql.shuffle.partitions"))
     ranged = (events.repartitionByRange(n, key, *order)
                     .withColumn("_slice", F.spark_partition_id()))
     w = Window.partitionBy("_slice", key).orderBy(*order)
