@@ -42,11 +42,12 @@ def history_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.col("l_suppkey").alias("s"), F.col("l_linenumber").alias("ln"),
         F.col("l_shipdate").alias("ts"),
     )
-    by_object = Window.partitionBy("o")
     # ties left by this order are rows equal in every derived column
-    ranked = (
-        li.withColumn("v", F.row_number().over(by_object.orderBy("ts", "ln", "p", "s")).cast("long"))
-          .withColumn("n", F.count(F.lit(1)).over(by_object))
+    by_object = Window.partitionBy("o").orderBy("ts", "ln", "p", "s")
+    whole = by_object.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = (   # one Window operator: same partitioning and order, two frames
+        li.withColumn("v", F.row_number().over(by_object).cast("long"))
+          .withColumn("n", F.count(F.lit(1)).over(whole))
     )
     o, p, v, n, s = F.col("o"), F.col("p"), F.col("v"), F.col("n"), F.col("s")
     typ = (F.when(o % 10 == 0, "relation")
