@@ -91,15 +91,24 @@ def _geo_metadata() -> bytes:
     return json.dumps(meta).encode()
 
 
+def _arrow_uri(uri: str) -> str:
+    """Hadoop's S3 connector schemes name the same store pyarrow calls s3://."""
+    for scheme in ("s3a://", "s3n://"):
+        if uri.startswith(scheme):
+            return "s3://" + uri[len(scheme):]
+    return uri
+
+
 def write_geoparquet(df: DataFrame, uri: str) -> list[tuple[str, int]]:
     """Write GeoParquet files under ``uri``; returns (path, rows) per file.
 
-    Nothing is written when there are no node features.
+    Nothing is written when there are no node features. Temporary files of
+    attempts that died before their rename are removed at the end.
     """
     from pyarrow import fs as pafs
 
     frame = geoparquet_frame(df)
-    base = uri.rstrip("/")
+    base = _arrow_uri(uri.rstrip("/"))
     geo = _geo_metadata()
     # overwrite semantics: part files of an earlier, wider run must not survive
     filesystem, root = pafs.FileSystem.from_uri(base)
@@ -135,7 +144,12 @@ def write_geoparquet(df: DataFrame, uri: str) -> list[tuple[str, int]]:
 
     written = frame.mapInArrow(write_part, "path string, rows long")
     # one row per written file (bounded by the partition count)
-    return [(r["path"], r["rows"]) for r in written.collect()]
+    receipts = [(r["path"], r["rows"]) for r in written.collect()]
+    if filesystem.get_file_info(root).type == pafs.FileType.Directory:
+        for info in filesystem.get_file_info(pafs.FileSelector(root)):
+            if info.base_name.startswith("_tmp-"):
+                filesystem.delete_file(info.path)
+    return receipts
 
 
 def read_geoparquet_metadata(path: str) -> dict:

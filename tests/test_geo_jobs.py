@@ -170,3 +170,15 @@ def test_resolve_ways_against_brute_force(spark, scratch):
     assert got == expected and len(got) > 0
     lines = X.way_linestrings(X.resolve_ways(c, h)).collect()
     assert all(json.loads(r["geometry"])["type"] == "LineString" for r in lines if r["geometry"])
+
+
+def test_geoparquet_overwrite_leaves_no_stale_files_and_maps_s3a(spark, scratch):
+    from strata.sources.geo import _arrow_uri
+
+    assert _arrow_uri("s3a://b/k") == "s3://b/k" and _arrow_uri("/x/y") == "/x/y"
+    out = os.path.join(scratch, "gp")
+    os.makedirs(out)
+    open(os.path.join(out, "_tmp-00000-0.parquet"), "w").write("left by an earlier run")
+    receipts = G.write_geoparquet(read_candidates_fixture(spark, scratch), out)
+    assert receipts and not glob.glob(out + "/_tmp-*")
+    assert sum(r for _, r in receipts) == pq.read_table(glob.glob(out + "/*.parquet")).num_rows
