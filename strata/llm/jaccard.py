@@ -323,3 +323,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     known = scratch.save(known.select("k1", "k2", F.coalesce("root", "doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known")
     out = rows.alias("r").join(known.alias("k"), (F.col("r.k1") == F.col("k.k1")) & (F.col("r.k2") == F.col("k.k2")) & F.col("r.doc_id").isNotNull(), "left")
     return out.select("r.doc_id", F.coalesce("k.class_id", "r.doc_id").alias("class_id"), F.coalesce("k.n_links", F.lit(0)).cast("long").alias("n_links"), F.col("r.grams").alias("n_grams"))
+
+
+SQL = r"""
+with recursive d as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+g as (select distinct doc_id, array_to_string(w[i + 1:i + 5], ' ') as gram from (select doc_id, w, unnest(range(greatest(len(w) - 4, 1))) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from g group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as shared from g a join g b on a.gram = b.gram and a.doc_id <> b.doc_id group by all),
+e as materialized (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 5 * shared >= 4 * (x.n + y.n - shared)),
+r as (select doc_id as a, doc_id as b from d union select r.a, e.b from r join e on e.a = r.b),
+k as (select a as doc_id, min(b) as class_id from r group by a),
+l as (select a as doc_id, count(*) as n_links from e group by a)
+select d.doc_id, class_id, coalesce(n_links, 0)::bigint as n_links, coalesce(n.n, 0)::bigint as n_grams
+from d join k using (doc_id) left join l using (doc_id) left join n using (doc_id)
+"""

@@ -162,3 +162,16 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     return map_rows(joined, run, kinds)
 
 
+
+
+SQL = r"""
+with d as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+g as (select doc_id, unnest(range(len(w) - 49)) as i, w from d where len(w) >= 50),
+h as (select doc_id, i, md5(array_to_string(w[i + 1:i + 50], ' ')) as k from g),
+m as (select k, min(doc_id) as low from h group by k),
+r as (select distinct h.doc_id, i + o as i from h join m using (k), range(50) t(o) where m.low < h.doc_id),
+x as (select doc_id, unnest(range(len(w))) as i, unnest(w) as word from d),
+s as (select x.doc_id, count(r.i) as gone, coalesce(string_agg(word, ' ' order by x.i) filter (where r.i is null), '') as kept
+  from x left join r on r.doc_id = x.doc_id and r.i = x.i group by x.doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(gone, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join s using (doc_id)
+"""

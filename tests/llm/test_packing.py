@@ -64,7 +64,7 @@ def test_awkward_documents(spark, table, awkward, capacity):
 
 def test_small_table(spark, table, documents):
     bins, total = check(spark, documents, table(documents), 1024)
-    assert bins <= total // 1024 + 2
+    assert bins <= first_fit(expected(documents, 1024), 1024)
 
 
 def test_empty_table(spark, table):
