@@ -1,0 +1,64 @@
+"""Delta-maintained totals against a recount."""
+
+import re
+from collections import defaultdict
+
+import public_tokenizers
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from strata.llm import rollups
+from strata.llm.common import prepare
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def recount(rows):
+    t = Tokenizer.from_file(PATH)
+    first = {}
+    for d, text, _, _ in rows:
+        if d is not None:
+            first[text or ""] = min(first.get(text or "", d), d)
+    out = defaultdict(lambda: [0, 0, 0])
+    for d, text, source, lang in rows:
+        text = text or ""
+        if d is not None and first[text] < d:
+            continue
+        text = re.sub(r"^[ \t-\r]+|[ \t-\r]+$", "", text)
+        for name, n in (("words-1", len(text.encode().split())), ("byte-bpe-50k-1", len(t.encode(text, add_special_tokens=False).ids))):
+            for i, v in enumerate((1, len(text), n)):
+                out[source, lang, name][i] += v
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def totals(df):
+    return {tuple(r[:3]): tuple(r[3:]) for r in df.collect()}
+
+
+def test_awkward_documents(spark, awkward):
+    prepare(spark)
+    rows = [(d, t, None if i % 7 == 0 else f"s{i % 2}", None if i % 5 == 0 else "en") for i, (d, t) in enumerate(awkward)]
+    rows += [(100, " padded text ", "s0", "en"), (101, " padded text ", "s1", "en"), (102, "\npadded\n", "s0", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("copy", F.lit("x")).withColumn("tokenizer", F.lit("x")).repartition(3)
+    assert totals(rollups.maintained_counts(df, PATH)) == recount(rows)
+
+
+def test_small_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [tuple(r) for r in df.select("doc_id", "text", "source", "lang").collect()]
+    assert totals(rollups.maintained_counts(df, PATH)) == recount(rows)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string, source string, lang string")
+    assert rollups.maintained_counts(df, PATH).collect() == []
+
+
+def test_batches_commit_once_and_leftovers_don_t_count(spark, scratch):
+    change = spark.createDataFrame([("a", "en", "t", 1, 10, 3, 1), ("a", "en", "t", 1, 4, 2, -1), ("b", "en", "t", 1, 5, 5, 1)], rollups.DELTA + ", sign int")
+    out = rollups.Rollup(spark, scratch)
+    spark.createDataFrame([("b", "en", "t", 9, 9, 9)], rollups.DELTA).write.parquet(f"{scratch}/_aside-one")  # an attempt that died before its commit
+    assert out.apply("one", change) and not out.apply("one", change) and out.committed("one")
+    assert totals(out.totals()) == {("a", "en", "t"): (0, 6, 1), ("b", "en", "t"): (1, 5, 5)}
+    assert out.apply("two", change.where("source = 'b'").withColumn("sign", F.lit(-1)))
+    assert totals(out.totals()) == {("a", "en", "t"): (0, 6, 1)}
