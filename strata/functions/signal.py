@@ -19,9 +19,16 @@ SIGNALS = ("exclude", "strong", "neutral")
 def _flags(lexicon: str, unicode_case: bool | None) -> str:
     if unicode_case is None:
         # parity defaults: the Spark job ran Java (?i) (ASCII folding), the
-        # local script ran Python re, which folds Unicode case
+        # local script ran Python re, whose case folding and whose \s, \b
+        # and \w are all Unicode
         unicode_case = lexicon == "short"
-    return "(?iu)" if unicode_case else "(?i)"
+    return "(?iU)" if unicode_case else "(?i)"
+
+
+# A word boundary as Python sees it: Java's Unicode \b counts combining marks
+# as part of a word.
+_WORD = r"[\p{L}\p{N}_]"
+BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
 
 
 def signal_patterns(lexicon: str = "full", unicode_case: bool | None = None) -> tuple[str, str]:
@@ -30,7 +37,10 @@ def signal_patterns(lexicon: str = "full", unicode_case: bool | None = None) ->
         raise ValueError(f"unknown lexicon {lexicon!r}; choose from {sorted(LEXICONS)}")
     neg, pos = LEXICONS[lexicon]
     flags = _flags(lexicon, unicode_case)
-    return flags + alternation(neg), flags + alternation(pos)
+    texts = [alternation(neg), alternation(pos)]
+    if "U" in flags:
+        texts = [t.replace(r"\b", BOUNDARY) for t in texts]
+    return flags + texts[0], flags + texts[1]
 
 
 def comment_signal(comment: Column, lexicon: str = "full",

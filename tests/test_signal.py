@@ -92,6 +92,23 @@ def test_golden_phrase(classified, idx):
 def test_flags():
     neg, pos = signal_patterns("full")
     assert neg.startswith("(?i)(") and pos.startswith("(?i)(")
-    assert signal_patterns("short")[0].startswith("(?iu)(")
+    assert signal_patterns("short")[0].startswith("(?iU)(")
     with pytest.raises(ValueError):
         signal_patterns("medium")
+
+
+# Phrases whose match hangs on Unicode white space or word boundaries.
+UNICODE = ["torn\u00a0down", "no\u00a0longer exists", "ya\u2003no existe", "burned\u202fdown", "étest", "test\u00a0edit", "\u00e9bot", "bot\u2028", "N\u00c3O EXISTE MAIS",
+           "destru\u00cdda", "DEMOLI\u00c7\u00c3O", "wrongé", "(wrong)", "tiger\u0301", "não\u00a0existe\u00a0mais", "ımport", "İMPORT", "updateſ"]
+
+
+def test_short_lexicon_agrees_with_python_re(spark):
+    import re
+
+    from strata.functions.lexicon import LEXICONS, alternation
+    neg, pos = (re.compile(alternation(x), re.IGNORECASE) for x in LEXICONS["short"])
+    phrases = UNICODE + [g[0] for g in GOLDEN if g[0]]
+    want = ["exclude" if neg.search(p) else "strong" if pos.search(p) else "neutral" for p in phrases]
+    df = spark.createDataFrame(list(enumerate(phrases)), "i int, c string")
+    got = [r.s for r in df.select("i", comment_signal(F.col("c"), "short").alias("s")).orderBy("i").collect()]
+    assert dict(zip(phrases, got)) == dict(zip(phrases, want))
