@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.scratch import Scratch
+
 
 def crop_bbox(df: DataFrame, bbox: tuple[float, float, float, float] | None) -> DataFrame:
     """Keep rows whose last visible position lies in ``(min_lon, min_lat,
@@ -42,81 +44,76 @@ def review_sample(df: DataFrame, n: int = 50) -> DataFrame:
               .limit(n))
 
 
-def way_node_refs(candidates: DataFrame) -> DataFrame:
-    """One row per (way, position, node ref) of the candidate ways."""
-    return (candidates.filter(F.col("type") == "way")
-                      .select("id", "last_good_version",
-                              F.posexplode(F.col("last_nds")).alias("pos0", "nd"))
-                      .select(F.col("id").alias("way_id"), "last_good_version",
-                              (F.col("pos0") + 1).alias("pos"),
-                              F.col("nd.ref").alias("ref")))
+def way_node_refs(candidates: DataFrame, history: DataFrame) -> DataFrame:
+    """One row per (way, position, node ref) of the candidate ways, with the
+    time ``at`` of the way's last visible version (taken before the refs are
+    exploded, so one row per way is joined)."""
+    ways = candidates.filter(F.col("type") == "way").select("id", "last_good_version", "last_nds")
+    times = (history.filter(F.col("type") == "way")
+                    .select("id", F.col("version").alias("last_good_version"), F.col("timestamp").alias("at")))
+    return (ways.join(times, ["id", "last_good_version"])
+                .select(F.col("id").alias("way_id"), "at", F.posexplode("last_nds").alias("pos0", "nd"))
+                .select("way_id", "at", (F.col("pos0") + 1).alias("pos"), F.col("nd.ref").alias("ref")))
 
 
 def asof_fill(events: DataFrame, key: str, order: list[str], state: str,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Adds ``asof``: the last non-NULL ``state`` of the same ``key`` at or
     before each row, in ``order`` (which must make rows unique).
 
     A running window partitioned by ``key`` alone would put a hot key (a
     node shared by a third of all ways) in one task. Here the rows are
     range-partitioned on ``(key, *order)``, which splits a hot key's
-    timeline into contiguous slices. One window pass per ``(slice, key)``
-    fills forward locally and records the slice's last state. Slices are
-    contiguous in key order, so only the first key of a slice can continue
-    from earlier slices: the carry table has at most one row per slice
-    (``partitions`` rows, a bound by construction) and is broadcast to the
-    final join, so the big side never moves again. No pairs are built and
-    no group is gathered.
+    timeline into contiguous slices, and *written* with their slice number:
+    everything below reads that table, so all steps agree on the slices. A
+    window per ``(slice, key)`` fills forward inside a slice. A key goes on from
+    one slice to the next only if it is the next one's first key, so the
+    states to carry over belong to at most one key per slice: a table of no
+    more than two rows per slice, which is broadcast. The events are shuffled
+    twice, no pairs are built and no group is gathered.
     """
     conf = events.sparkSession.conf
     # as many slices as AQE's sized initial partition count, when a job set one
     n = partitions or int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
                           or conf.get("spark.sql.shuffle.partitions"))
-    ranged = (events.repartitionByRange(n, key, *order)
-                    .withColumn("_slice", F.spark_partition_id()))
-    w = Window.partitionBy("_slice", key).orderBy(*order)
-    # one Window operator: same partitioning and order, three frames
-    local = (ranged
-             .withColumn("_local", F.last(state, ignorenulls=True)
-                         .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-             .withColumn("_tail", F.last(state, ignorenulls=True)
-                         .over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-             .withColumn("_head", F.row_number().over(w) == 1))
-    tails = local.filter(F.col("_head")).select("_slice", key, "_tail")
-    earlier = (Window.partitionBy(key).orderBy("_slice")
-                     .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (tails.select("_slice", key, F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"))
-                  .filter(F.col("_carried").isNotNull()))
+    scratch = scratch or Scratch(events.sparkSession, "asof")
+    sliced = scratch.save(events.repartitionByRange(n, key, *order)
+                                .withColumn("_slice", F.spark_partition_id()), "slices")
+    firsts = sliced.groupBy("_slice").agg(F.min(key).alias(key)).select(key).distinct()
+    tails = (sliced.filter(F.col(state).isNotNull()).join(F.broadcast(firsts), key, "left_semi")
+                   .groupBy("_slice", key).agg(F.max_by(state, F.struct(*order)).alias("_tail")))
+    slices = sliced.join(F.broadcast(firsts), key, "left_semi").select("_slice", key).distinct()
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (slices.join(tails, ["_slice", key], "left")
+                   .select("_slice", key, F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"))
+                   .filter(F.col("_carried").isNotNull()))
+    carry = scratch.save(carry, "carry")
+    w = Window.partitionBy("_slice", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = sliced.withColumn("_local", F.last(state, ignorenulls=True).over(w))
     return (local.join(F.broadcast(carry), ["_slice", key], "left")
                  .withColumn("asof", F.coalesce(F.col("_local"), F.col("_carried")))
-                 .drop("_slice", "_local", "_tail", "_head", "_carried"))
+                 .drop("_slice", "_local", "_carried"))
 
 
 def resolve_ways(candidates: DataFrame, history: DataFrame,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Node positions of candidate ways, as of the way's last visible version.
 
     For each (way, pos, ref): the node's latest version whose timestamp is
     <= the timestamp of the way's last visible version; ``lon``/``lat`` are
     NULL when that version is deleted or no version existed yet.
 
-    As-of join without pairs: way refs and node versions are unioned, keyed
-    by node id and ordered by time (node versions before refs at equal
-    time), and ``asof_fill`` carries the newest node state onto each ref,
-    split so that a heavily shared node spreads over many tasks. Node
-    history is first cut down to referenced ids by a left-semi join.
+    As-of join without pairs: way refs (written once) and the versions of the
+    nodes they name are unioned, keyed by node id and ordered by time (node
+    versions before refs at equal time), and ``asof_fill`` carries the newest
+    node state onto each ref.
     """
-    refs = way_node_refs(candidates)
-    way_times = (history.filter(F.col("type") == "way")
-                        .select(F.col("id").alias("way_id"),
-                                F.col("version").alias("last_good_version"),
-                                F.col("timestamp").alias("at")))
-    refs = refs.join(way_times, ["way_id", "last_good_version"], "inner")
-    wanted = refs.select("ref").distinct()
+    scratch = scratch or Scratch(candidates.sparkSession, "ways")
+    refs = scratch.save(way_node_refs(candidates, history), "refs")
     nodes = (history.filter(F.col("type") == "node")
                     .select(F.col("id").alias("ref"), F.col("timestamp").alias("at"),
                             "version", "visible", "lat", "lon")
-                    .join(wanted, "ref", "left_semi"))
+                    .join(refs.select("ref").distinct(), "ref", "left_semi"))
     events = nodes.select(
         "ref", "at", F.lit(0).alias("kind"), F.col("version").alias("seq"),
         F.struct(F.col("version").alias("node_version"),
@@ -128,7 +125,7 @@ def resolve_ways(candidates: DataFrame, history: DataFrame,
         F.lit(None).cast("struct<node_version:bigint,lon:double,lat:double>").alias("state"),
         "way_id", "pos",
     ))
-    carried = asof_fill(events, "ref", ["at", "kind", "seq", "way_id", "pos"], "state", partitions)
+    carried = asof_fill(events, "ref", ["at", "kind", "seq", "way_id", "pos"], "state", partitions, scratch)
     return (carried.filter(F.col("kind") == 1)
                    .select("way_id", "pos", "ref",
                            F.col("asof.node_version").alias("node_version"),
