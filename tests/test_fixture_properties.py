@@ -9,7 +9,7 @@ from strata.operators.lifecycle import KEYS, prepare_history
 from strata.operators.reports import signal_distribution
 from strata.operators.rules import extract_candidates, shipped_rules
 from strata.operators.sampling import sample_bucket, sample_objects
-from strata.plans.catalog import comparable
+from strata.plans.catalog import catalog, comparable
 from strata.sources.fixtures import fixture_changesets, fixture_history
 
 CHECKSUMS = {  # versions, objects, sum(version), sum(uid), visible rows, sum(nds), changesets
@@ -17,8 +17,8 @@ CHECKSUMS = {  # versions, objects, sum(version), sum(uid), visible rows, sum(nd
     SF_MEDIUM: (60000, 14743, 179498, 2414604, 43495, 52568, 2000),
 }
 FIGURES = {  # candidates, nodes, ways, exclude, neutral, strong
-    SF_SMALL: (104, 80, 24, 35, 34, 35),
-    SF_MEDIUM: (1205, 855, 350, 304, 481, 420),
+    SF_SMALL: (115, 88, 27, 29, 18, 68),
+    SF_MEDIUM: (1259, 888, 371, 361, 165, 733),
 }
 
 
@@ -42,10 +42,10 @@ def test_expected_figures(spark, sf):
     assert got == FIGURES[sf]
 
 
-def test_fused_equals_window(spark):
+def test_extract_equals_the_role_joins(spark):
     h = fixture_history(spark, SF_MEDIUM)
-    a = comparable(extract_candidates(h, shipped_rules(), plan="fused"))
-    b = comparable(extract_candidates(h, shipped_rules(), plan="window"))
+    a = comparable(extract_candidates(h, shipped_rules()))
+    b = catalog()["extract_candidates_window_plan"](spark, SF_MEDIUM)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

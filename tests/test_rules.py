@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from strata.functions.tags import has_any_key, split_keys
+from strata.functions.tags import KeyMatcher, has_any_key
 from strata.operators.lifecycle import lifecycle
 from strata.operators.rules import Rules, extract_candidates, rule_predicates, shipped_rules
 from strata.schema import CANDIDATE_COLUMNS, HISTORY, SchemaError
@@ -40,16 +40,15 @@ def good(oid, typ="node", **kw):
     return obj(oid, [(u, d, v, tags, nds) for u, d, v in zip(uids, days, vis)], typ)
 
 
-def run(spark, rows, rules=None, plan="fused"):
+def run(spark, rows, rules=None):
     df = spark.createDataFrame(rows, HISTORY)
-    out = extract_candidates(df, rules or shipped_rules(), plan=plan)
+    out = extract_candidates(df, rules or shipped_rules())
     return sorted(r["id"] for r in out.collect())
 
 
-def test_passing_object_both_plans(spark):
+def test_passing_object(spark):
     rows = good(1) + good(2, typ="way")
     assert run(spark, rows) == [1, 2]
-    assert run(spark, rows, plan="window") == [1, 2]
 
 
 def test_output_columns(spark):
@@ -125,10 +124,9 @@ def test_resurrected_object_uses_last_visible_version(spark):
     rows = obj(1, [(1, 0, True, GOOD_TAGS, 0), (2, 100, False, {}, 0), (3, 200, True, tags_late, 0),
                    (2, 300, True, tags_late, 0), (4, 400, False, {}, 0)])
     df = spark.createDataFrame(rows, HISTORY)
-    for plan in ("fused", "window"):
-        c = extract_candidates(df, shipped_rules(), plan=plan).collect()
-        assert len(c) == 1 and c[0]["last_good_version"] == 4 and c[0]["good_tags"]["name"] == "late"
-        assert c[0]["last_changeset"] == 1004
+    c = extract_candidates(df, shipped_rules()).collect()
+    assert len(c) == 1 and c[0]["last_good_version"] == 4 and c[0]["good_tags"]["name"] == "late"
+    assert c[0]["last_changeset"] == 1004
 
 
 def test_required_tags_exact_and_prefix(spark):
@@ -197,8 +195,19 @@ def test_shipped_rules_values():
     r = shipped_rules()
     assert (r.min_versions, r.min_distinct_users, r.min_lifetime_days,
             r.min_age_at_deletion_days, r.min_tag_count_last_visible, r.way_min_nodes) == (5, 3, 180, 365, 3, 3)
-    exact, prefixes = split_keys(r.required_tags_any)
-    assert (len(exact), len(prefixes)) == (43, 15)
+    prefixes = sum(k.endswith("*") for k in r.required_tags_any)
+    assert (len(r.required_tags_any) - prefixes, prefixes) == (43, 15)
+
+
+def test_key_matcher_against_plain_python(spark):
+    keys = ["name", "name:es", "NAME", "a.b", "axb", "was:shop", "wa", "*", "", "x\\Ey", "new\nline", "é:1", "é"]
+    rules = [["name"], ["name", "a.b"], ["name:*"], ["was:*", "name"], ["*"], [], ["x\\E*"], ["new*", "é:*"], ["a.*"], ["name*", "name"], [""]]
+    df = spark.createDataFrame([([k],) for k in keys] + [([],), (keys,)], "k array<string>")
+    for rule in rules:
+        def wanted(ks):
+            return not rule or any(k == r or r.endswith("*") and k.startswith(r[:-1]) for k in ks for r in rule)
+        rows = df.select("k", KeyMatcher.of(rule)(F.col("k")).alias("hit")).collect()
+        assert [r.hit for r in rows] == [wanted(r.k) for r in rows], rule
 
 
 def test_has_any_key_edge_cases(spark):

@@ -1,12 +1,14 @@
-"""A hot object holding a third of all versions, and the fused plan's shape."""
-
-import re
+"""A hot object holding a third of all versions, and the shapes of the plans."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.operators.lifecycle import lifecycle
+from strata.operators.extras import asof_fill
+from strata.operators.lifecycle import LIFECYCLE_COLUMNS, lifecycle, lifecycle_scalar, with_roles
+from strata.operators.rules import compile_rules, extract_candidates, project_candidates, shipped_rules
 from strata.plans.catalog import comparable
+from strata.plans.shape import plan_shape
 from strata.schema import HISTORY
 
 
@@ -28,86 +30,84 @@ def hot_history(spark, n=30_000):
                 F.array().cast("array<struct<ref:bigint>>").alias("nds")))
 
 
-def test_hot_object_fused_equals_window(spark, tmp_path):
+def stored(spark, tmp_path, n=30_000):
     path = str(tmp_path / "hist")
-    hot_history(spark).write.parquet(path)
-    h = spark.read.schema(HISTORY).parquet(path)
-    a = comparable(lifecycle(h, "fused"))
-    b = comparable(lifecycle(h, "window"))
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    hot_history(spark, n).write.parquet(path)
+    return spark.read.schema(HISTORY).parquet(path)
+
+
+def same(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_hot_object_equals_the_role_joins(spark, tmp_path):
+    h = stored(spark, tmp_path)
+    a = comparable(lifecycle(h))
+    assert same(a, comparable(with_roles(h, "last", "first", "last_visible").select(*LIFECYCLE_COLUMNS)))
     row = a.filter("id = 1").first()
     assert row["num_versions"] == 10_000 and row["distinct_users"] == 997
 
 
-def test_fused_plan_shape(spark, tmp_path):
-    path = str(tmp_path / "hist")
-    hot_history(spark, 3000).write.parquet(path)
-    h = spark.read.schema(HISTORY).parquet(path)
-    df = lifecycle(h, "fused")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan                       # no per-object ranking
-    # every exchange sits on a map-side partial aggregate (or a distinct's)
-    lines = plan.splitlines()
-    for i, line in enumerate(lines):
-        if "Exchange hashpartitioning" in line:
-            below = "\n".join(lines[i + 1:i + 4])
-            assert re.search(r"(Sort)?Aggregate|HashAggregate", below), below
-    assert plan.count("Scan parquet") == 2            # payload pass + narrow editor pass
-
-
-def test_two_pass_hot_object_and_shapes(spark, tmp_path):
-    from strata.operators.lifecycle import attach_payload
-    from strata.operators.rules import (extract_candidates, shipped_rules,
-                                        survivors_of_scalar_rules)
-    from strata.plans.shape import plan_shape
+def test_lifecycle_is_two_hash_aggregates_over_one_scan(spark, tmp_path):
+    shape = plan_shape(lifecycle_scalar(stored(spark, tmp_path, 3000)))
+    assert {k: v for k, v in shape.items() if v} == {"scans": 1, "exchanges": 2, "hash_aggregates": 4}
 
-    path = str(tmp_path / "hist")
-    hot_history(spark).write.parquet(path)
-    h = spark.read.schema(HISTORY).parquet(path)
-    rules = shipped_rules().replace(must_be_deleted=False, exclude_deletions_by_creator=False,
-                                    required_tags_any=["name"], min_tag_count_last_visible=1,
-                                    min_distinct_users=1, min_lifetime_days=0,
-                                    min_age_at_deletion_days=0)
-    fused = comparable(extract_candidates(h, rules, plan="fused"))
-    for bound in (10**6, 0):          # broadcast, and the fallback beyond the bound
-        two = comparable(extract_candidates(h, rules, plan="two_pass", max_broadcast_survivors=bound))
-        assert fused.exceptAll(two).count() == 0 and two.exceptAll(fused).count() == 0
-    # the shuffled payload join (attach_payload without broadcast) gives the same rows
-    from strata.operators.rules import PAYLOAD_RULES, compile_rules, project_candidates
-    shuffled = comparable(project_candidates(
-        attach_payload(survivors_of_scalar_rules(h, rules), h, broadcast=False)
-        .filter(compile_rules(rules, only=PAYLOAD_RULES))))
-    assert fused.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(fused).count() == 0
-    assert fused.filter("id = 1").count() == 1
-
-    first = plan_shape(survivors_of_scalar_rules(h, rules))
-    assert first["sorts"] == 0 and first["sort_aggregates"] == 0 and first["hash_aggregates"] >= 2
-    spath = str(tmp_path / "survivors")
-    survivors_of_scalar_rules(h, rules).write.parquet(spath)
-    second = plan_shape(attach_payload(spark.read.parquet(spath), h, broadcast=True))
-    # the history is scanned and probed; only the small survivor side moves
-    assert second["exchanges"] == 0 and second["broadcasts"] == 1 and second["sorts"] == 0
-
-
-def test_asof_fill_splits_a_hot_key(spark):
-    from strata.operators.extras import asof_fill
-
-    n = 30_000
-    r = spark.range(n)
+
+RULES = dict(must_be_deleted=False, exclude_deletions_by_creator=False, required_tags_any=["name"],
+             min_tag_count_last_visible=1, min_distinct_users=1, min_lifetime_days=0, min_age_at_deletion_days=0)
+
+
+def test_extract_broadcasts_or_shuffles_the_same_rows(spark, tmp_path):
+    h = stored(spark, tmp_path)
+    rules = shipped_rules().replace(**RULES)
+    want = comparable(project_candidates(with_roles(h, "last", "first", "last_visible").filter(compile_rules(rules))))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    shapes = []
+    try:
+        for threshold in ("10m", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            got = extract_candidates(h, rules)
+            shapes.append(plan_shape(got))
+            assert same(comparable(got), want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # a small table of survivors is broadcast, the history is probed in place
+    assert shapes[0]["broadcasts"] == 1 and shapes[0]["sort_merge_joins"] == 0
+    assert shapes[1]["broadcasts"] == 0
+    assert want.filter("id = 1").count() == 1
+
+
+def test_a_version_stored_twice_gives_one_candidate(spark, tmp_path):
+    h = stored(spark, tmp_path)
+    rules = shipped_rules().replace(**RULES)
+    once = extract_candidates(h, rules).count()
+    assert extract_candidates(h.unionByName(h), rules).count() == once > 100
+    assert lifecycle(h.unionByName(h)).count() == lifecycle(h).count()
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_asof_fill_splits_a_hot_key(spark, reuse):
+    n = 600_000
     # key 1 holds a third of all rows; every 5th row carries a state
-    ev = r.select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(2 + F.col("id") % 500).alias("k"),
-                  (F.col("id") * 7 % 1000).alias("t"), F.col("id").alias("u"),
-                  F.when(F.col("id") % 5 == 0, F.col("id")).alias("s"))
+    ev = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(2 + F.col("id") % 500).alias("k"),
+                               (F.col("id") * 7 % 1000).alias("t"), F.col("id").alias("u"),
+                               F.when(F.col("id") % 5 == 0, F.col("id")).alias("s"))
     order = ["t", "u"]
     w = (Window.partitionBy("k").orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # dense states, and sparse ones (slices with no state of their own
-    # must take the state carried from an earlier slice)
-    for sparse in (ev, ev.withColumn("s", F.when(F.col("u") % 9973 == 0, F.col("u")))):
-        got = asof_fill(sparse, "k", order, "s", partitions=8).select("k", "t", "u", "asof")
-        want = sparse.select("k", "t", "u", F.last("s", ignorenulls=True).over(w).alias("asof"))
-        assert got.count() == n
-        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    slices = (ev.repartitionByRange(8, "k", *order).withColumn("p", F.spark_partition_id())
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        # dense states, and sparse ones (slices with no state of their own
+        # must take the state carried from an earlier slice)
+        for events in (ev, ev.withColumn("s", F.when(F.col("u") % 9973 == 0, F.col("u")))):
+            got = asof_fill(events, "k", order, "s", partitions=16).select("k", "t", "u", "asof")
+            want = events.select("k", "t", "u", F.last("s", ignorenulls=True).over(w).alias("asof"))
+            assert got.count() == n and same(got, want)
+        shape = plan_shape(asof_fill(ev, "k", order, "s", partitions=16))
+        assert shape["exchanges"] == 1 and shape["windows"] == 1   # the other shuffle dealt the slices
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    slices = (ev.repartitionByRange(16, "k", *order).withColumn("p", F.spark_partition_id())
                 .filter("k = 1").select("p").distinct().count())
-    assert slices >= 2                    # the hot key is spread over several tasks
+    assert slices >= 4                    # the hot key is spread over several tasks

@@ -4,13 +4,13 @@ The SQL is the naive formulation on purpose: ranking windows and joins
 (the reference's shape) over the fixture derivation written as SQL text,
 so the Spark side - fused aggregate, skew-safe derivation, library
 functions - is checked against an independent route to the same rows.
-Thresholds and lexicons come from the same data the library uses.
+Thresholds and lexicons come from the same data the library uses; everything
+else (key matching, markers, hashes, encodings) is written out here.
 """
 
 from __future__ import annotations
 
 from strata.functions.lexicon import LEXICONS, alternation
-from strata.functions.tags import split_keys
 from strata.operators.rules import Rules, shipped_rules
 from strata.plans.catalog import BBOX, EXACT_KEYS, PREFIX_KEYS, RULE_QUERY_NAMES
 
@@ -31,29 +31,34 @@ h0 AS (
          WHEN s % 23 = 0 THEN NULL ELSE s END AS BIGINT) AS uid
   FROM v),
 h1 AS (
-  SELECT type, o AS id, v AS version, visible, uid, ts,
+  SELECT type, o AS id, v AS version, visible, uid, ts + to_seconds(v * 600 + o % 600) AS ts,
     CASE WHEN o % 50 = 0 THEN -1 - p ELSE p END AS changeset, ln,
-    CASE WHEN visible THEN CASE o % 9 WHEN 0 THEN 'name,amenity,source' WHEN 1 THEN 'name:es,ref,source'
+    CASE WHEN visible THEN CASE (o + v // 2) % 9 WHEN 0 THEN 'name,amenity,source' WHEN 1 THEN 'name:es,ref,source'
       WHEN 2 THEN 'building,height,fixme' WHEN 3 THEN 'highway,surface' WHEN 4 THEN 'ref,source,layer'
       WHEN 5 THEN 'historic:civilization,start_date,wikidata' WHEN 6 THEN 'was:shop,addr:street,addr:city'
       WHEN 7 THEN 'building,name,building:levels' ELSE 'name,shop,FIXME' END ELSE '' END AS keys,
-    CASE WHEN type = 'node' AND visible THEN CAST(-90 + (o * 37 % 18000) / 100.0 AS DOUBLE) END AS lat,
-    CASE WHEN type = 'node' AND visible THEN CAST(-180 + (o * 61 % 36000) / 100.0 AS DOUBLE) END AS lon,
+    CASE WHEN type = 'node' AND visible THEN CAST(-90 + ((o * 37 + v * 11) % 18000) / 100.0 AS DOUBLE) END AS lat,
+    CASE WHEN type = 'node' AND visible THEN CAST(-180 + ((o * 61 + v * 17) % 36000) / 100.0 AS DOUBLE) END AS lon,
     CAST(CASE WHEN type = 'way' AND visible THEN ln ELSE 0 END AS BIGINT) AS n_nds
   FROM h0),
 hall AS (
-  SELECT *, CASE WHEN keys = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(keys, ',') END AS klist
+  SELECT *, CASE WHEN keys = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(keys, ',') END AS klist,
+    CASE WHEN keys = '' THEN '' ELSE array_to_string(list_sort(list_transform(string_split(keys, ','),
+      lambda k: k || '=' || k || '-' || version)), ',') END AS tags_text,
+    array_to_string(list_transform(range(1, n_nds + 1), lambda i: id - id % 10 + 4 + (id + i + version) % 6), ',') AS nds_refs
   FROM h1),
 hist AS (SELECT * FROM hall WHERE type IN ({types}))"""
 
 CHANGESET_CTES = """
 cs AS (
   SELECT p_partkey AS cs_id, 'user_' || CAST(p_size AS VARCHAR) AS cs_user, CAST(p_size AS BIGINT) AS cs_uid,
-    CASE p_partkey % 12 WHEN 0 THEN 'building demolished' WHEN 1 THEN 'reverted vandalism'
-      WHEN 2 THEN 'update' WHEN 3 THEN NULL WHEN 4 THEN 'edificio derribado'
-      WHEN 5 THEN 'mass import of shops' WHEN 6 THEN '' WHEN 7 THEN 'torn down, was a test'
-      WHEN 8 THEN 'abgerissen' WHEN 9 THEN 'fix import error' WHEN 10 THEN 'снесли'
-      ELSE 'survey' END AS cs_comment,
+    ['building demolished', 'reverted vandalism', 'update', NULL, 'edificio derribado', 'mass import of shops',
+     '', 'torn down, was a test', 'abgerissen', 'fix import error', 'снесли', 'survey',
+     'prédio derrubado', 'bâtiment supprimé', 'edificio abbattuto', 'budynek zburzony', 'gebouw gesloopt',
+     'bygning fjernet', 'budova zbourana', 'bina yıkıldı', 'κατεδαφίστηκε', 'המבנה הוסר', 'أزيل المبنى',
+     'تخریب شد', 'भवन ध्वस्त', '建筑拆除', '建物を撤去', '건물 철거',
+     'duplicado por error', 'duplicado por erro', 'doublon annulé', 'doppelt, aus versehen',
+     'vandalismo, duplicato', 'откат правок', '撤回', 'edificio ya no existe'][p_partkey % 36 + 1] AS cs_comment,
     CASE p_partkey % 5 WHEN 0 THEN 'iD 2.20' WHEN 1 THEN 'JOSM/1.5' WHEN 2 THEN 'Potlatch 2'
       WHEN 3 THEN 'Vespucci' END AS cs_created_by,
     CASE WHEN p_partkey % 3 = 0 THEN 'survey' END AS cs_source
@@ -71,7 +76,8 @@ firstv AS (
   SELECT type, id, uid AS creator_uid
   FROM hist QUALIFY row_number() OVER (PARTITION BY type, id ORDER BY version ASC) = 1),
 lastvis AS (
-  SELECT type, id, klist AS good_klist, lat AS last_lat, lon AS last_lon, n_nds AS last_n_nds,
+  SELECT type, id, klist AS good_klist, tags_text AS good_tags_text, nds_refs AS last_nds_refs,
+         lat AS last_lat, lon AS last_lon, n_nds AS last_n_nds,
          changeset AS last_changeset, version AS last_good_version
   FROM hist WHERE visible QUALIFY row_number() OVER (PARTITION BY type, id ORDER BY version DESC) = 1),
 base AS (
@@ -81,34 +87,27 @@ base AS (
   FROM stats JOIN lastv USING (type, id) JOIN firstv USING (type, id) LEFT JOIN lastvis USING (type, id))"""
 
 BASE_COLS = """type, id, num_versions, distinct_users, created_at, last_edit_at, last_visible, last_uid,
-  deleted_at, creator_uid, array_to_string(list_sort(good_klist), ',') AS good_tag_keys, last_lat, last_lon,
-  last_n_nds AS last_nds_size, last_changeset, last_good_version"""
+  deleted_at, creator_uid, good_tags_text, last_lat, last_lon, last_nds_refs, last_changeset, last_good_version"""
 
 CAND_COLS = """type, id, num_versions, distinct_users, created_at, last_edit_at, deleted_at,
   lifetime_days, age_at_deletion_days, creator_uid, last_uid, last_changeset, last_good_version,
-  last_lat, last_lon, last_nds_size, good_tag_keys"""
+  last_lat, last_lon, last_nds_refs, good_tags_text"""
 
 ROW_COLS = """type, id, version, visible, uid, ts AS "timestamp", changeset,
-  array_to_string(list_sort(klist), ',') AS tag_keys, lat, lon, n_nds AS nds_size"""
+  tags_text, lat, lon, nds_refs"""
 
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _list(items) -> str:
-    return "[" + ", ".join(_q(i) for i in items) + "]"
+def _key_sql(key: str) -> str:
+    return f"starts_with(k, {_q(key[:-1])})" if key.endswith("*") else f"k = {_q(key)}"
 
 
 def has_any_sql(klist: str, keys) -> str:
-    exact, prefixes = split_keys(keys)
-    terms = []
-    if exact:
-        terms.append(f"list_has_any({klist}, {_list(exact)})")
-    if prefixes:
-        starts = " OR ".join(f"starts_with(k, {_q(p)})" for p in prefixes)
-        terms.append(f"len(list_filter({klist}, lambda k: {starts})) > 0")
-    return "(" + " OR ".join(terms) + ")" if terms else "true"
+    wanted = " OR ".join(map(_key_sql, keys))
+    return f"(len(list_filter({klist}, lambda k: {wanted})) > 0)" if keys else "true"
 
 
 def rule_sql(rules: Rules) -> dict[str, str]:
@@ -151,8 +150,7 @@ def build() -> dict[str, str]:
     all_rules = " AND ".join(f"({p})" for p in preds.values())
     cand_cte = f"""
 cand0 AS (SELECT * FROM base WHERE {all_rules}),
-cand AS (SELECT *, array_to_string(list_sort(good_klist), ',') AS good_tag_keys, last_n_nds AS last_nds_size
-         FROM cand0)"""
+cand AS (SELECT * FROM cand0)"""
     life = _with(hist, LIFECYCLE_CTES)
     cand = _with(hist, LIFECYCLE_CTES, cand_cte)
 
@@ -236,19 +234,18 @@ kept AS (SELECT * FROM enr WHERE comment_signal <> 'exclude')"""
           AND NOT isnan(last_lat) AND NOT isnan(last_lon)
           THEN '{{"type":"Point","coordinates":[' || CAST(last_lon AS VARCHAR) || ','
                || CAST(last_lat AS VARCHAR) || ']}}' END AS geometry FROM cand""")
-    style_cases = []
-    from strata.functions.geo import DEFAULT_MARKER, MARKER_FIELDS, MARKER_STYLE
-    for field in MARKER_FIELDS:
-        whens = " ".join(f"WHEN comment_signal = {_q(sig)} THEN {_q(st[field])}"
-                         for sig, st in MARKER_STYLE.items())
-        style_cases.append(f'CASE {whens} ELSE {_q(DEFAULT_MARKER[field])} END AS "{field}"')
-    sql["marker_style"] = f"{enr} SELECT type, id, comment_signal, {', '.join(style_cases)} FROM enr"
+    color = ("CASE comment_signal WHEN 'strong' THEN '#1a9850' WHEN 'neutral' THEN '#999999' "
+             "WHEN 'exclude' THEN '#d73027' ELSE '#666666' END")
+    symbol = ("CASE comment_signal WHEN 'strong' THEN 'star' WHEN 'neutral' THEN 'circle' "
+              "WHEN 'exclude' THEN 'cross' ELSE 'circle' END")
+    size = "CASE comment_signal WHEN 'strong' THEN 'medium' ELSE 'small' END"
+    sql["marker_style"] = (f'{enr} SELECT type, id, comment_signal, {color} AS "marker-color", '
+                           f'{symbol} AS "marker-symbol", {size} AS "marker-size" FROM enr')
     prop_cols = ["type", "id", "num_versions", "distinct_users", "created_at", "last_edit_at", "deleted_at",
                  "lifetime_days", "age_at_deletion_days", "creator_uid", "last_uid", "last_changeset",
                  "last_good_version", "good_klist", "cs_user", "cs_uid", "cs_comment", "cs_created_by",
                  "cs_source", "comment_signal"]
     n_props = " + ".join(f"CAST({c} IS NOT NULL AS BIGINT)" for c in prop_cols)
-    color = style_cases[0].replace(' AS "marker-color"', "")
     sql["feature_properties"] = (
         f"{enr} SELECT type, id, 3 + {n_props} AS n_properties, "
         "strftime(deleted_at, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(deleted_at) % 1000000 <> 0 "
@@ -263,7 +260,7 @@ kept AS (SELECT * FROM enr WHERE comment_signal <> 'exclude')"""
                             "ORDER BY review_key, type, id LIMIT 50")
     sql["resolve_ways"] = f"""{cand},
 refs AS (
-  SELECT c.id AS way_id, c.last_good_version, g.pos, c.id - c.id % 10 + 4 + (c.id + g.pos) % 6 AS ref
+  SELECT c.id AS way_id, c.last_good_version, g.pos, c.id - c.id % 10 + 4 + (c.id + g.pos + c.last_good_version) % 6 AS ref
   FROM cand c, LATERAL (SELECT unnest(generate_series(1, c.last_n_nds)) AS pos) g
   WHERE c.type = 'way'),
 timed AS (SELECT r.*, w.ts AS at FROM refs r JOIN hall w
