@@ -1,19 +1,11 @@
 """The pipeline's stages against the brute-force versions of their operators."""
 
-import sys
 from collections import Counter
-from pathlib import Path
 
-sys.path.insert(0, str(Path(__file__).parent))
+import corpus_pipeline
+from strata.llm.common import prepare
 
-import test_jaccard  # noqa: E402
-import test_lines  # noqa: E402
-import test_packing  # noqa: E402
-import test_quality  # noqa: E402
-import test_substring  # noqa: E402
-
-import corpus_pipeline  # noqa: E402
-from strata.llm.common import prepare  # noqa: E402
+from . import test_jaccard, test_lines, test_packing, test_quality, test_substring
 
 SF = "/root/testdata/sf0.001"
 
