@@ -6,7 +6,8 @@ batch UDF: Spark has no function that turns a double into its bytes).
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,16 +103,16 @@ def feature_json(df: DataFrame) -> Column:
 _WKB_POINT = np.dtype([("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
 
 
-@F.pandas_udf(T.BinaryType())
-def wkb_point(lon: pd.Series, lat: pd.Series) -> pd.Series:
-    """Little-endian ISO WKB Point(lon, lat); NULL when either is missing."""
-    rec = np.zeros(len(lon), dtype=_WKB_POINT)
+@F.arrow_udf(T.BinaryType())
+def wkb_point(lon: pa.Array, lat: pa.Array) -> pa.Array:
+    """Little-endian ISO WKB Point(lon, lat); NULL when either is missing.
+    The packed records are the buffer of the result; nothing is sliced."""
+    x, y = (pc.fill_null(v, float("nan")).to_numpy(zero_copy_only=False) for v in (lon, lat))
+    rec = np.zeros(len(x), dtype=_WKB_POINT)
     rec["order"] = 1
     rec["kind"] = 1
-    rec["x"] = lon.to_numpy(dtype="f8", na_value=np.nan)
-    rec["y"] = lat.to_numpy(dtype="f8", na_value=np.nan)
-    raw = rec.tobytes()
-    size = _WKB_POINT.itemsize
-    out = [raw[i * size:(i + 1) * size] for i in range(len(rec))]
-    missing = (lon.isna() | lat.isna()).to_numpy()
-    return pd.Series([None if m else b for b, m in zip(out, missing)], dtype=object)
+    rec["x"] = x
+    rec["y"] = y
+    known = pa.array(~(np.isnan(x) | np.isnan(y)))
+    offsets = np.arange(len(x) + 1, dtype=np.int32) * _WKB_POINT.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(x), [known.buffers()[1], pa.py_buffer(offsets), pa.py_buffer(rec)])

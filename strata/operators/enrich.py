@@ -4,12 +4,10 @@ its comment, keep what is not excluded.
 Scale: the changeset table is the big side (hundreds of millions of rows);
 the candidates are small. The table is cut down to the needed ids with a
 left-semi join *before* anything else touches it, so the regex and the
-candidate join only ever see needed rows. Whether the id list is broadcast
-is decided from a counted size (``broadcast="auto"``) or left to Spark's
-statistics and AQE (``None``); an explicit ``True`` is checked against
-``max_broadcast_rows`` as well. A hot changeset shared by many candidates
-is only a problem for a shuffled join, where AQE's skew-join split applies
-(left outer, skew on the candidate side).
+candidate join only ever see needed rows. Which side is broadcast, if any, is
+left to Spark's statistics and AQE at every size. A hot changeset shared by
+many candidates is only a problem for a shuffled join, where AQE's skew-join
+split applies (left outer, skew on the candidate side).
 """
 
 from __future__ import annotations
@@ -21,11 +19,6 @@ from strata.functions.signal import comment_signal
 from strata.functions.tags import normalize_tags
 from strata.schema import CHANGESETS, validate
 
-# Id lists up to this many rows (8 bytes each plus hash-table overhead) are
-# small enough to ship to every executor.
-MAX_BROADCAST_ROWS = 5_000_000
-
-
 def project_changesets(changesets: DataFrame) -> DataFrame:
     """id/user/uid renamed, three tag values pulled out, the map dropped.
     A missing tag key gives NULL."""
@@ -51,54 +44,25 @@ def needed_changesets(candidates: DataFrame, changeset_col: str = "last_changese
     return ids.orderBy("cs_id") if ordered else ids
 
 
-def _should_broadcast(ids: DataFrame, broadcast, max_rows: int) -> bool:
-    if broadcast is None or broadcast is False:
-        return False
-    if broadcast == "checked":
-        return True   # the caller has already counted against the bound
-    if broadcast == "auto" or broadcast is True:
-        n = ids.count()
-        if n <= max_rows:
-            return True
-        if broadcast is True:
-            raise ValueError(f"{n} changeset ids exceed the broadcast bound {max_rows}; "
-                             "use broadcast='auto' or None for a shuffled join")
-        return False
-    raise ValueError(f"broadcast must be None, False, True or 'auto', got {broadcast!r}")
-
-
-def changeset_lookup(changesets: DataFrame, needed_ids: DataFrame, broadcast=None,
-                     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                     dedupe: bool = False) -> DataFrame:
+def changeset_lookup(changesets: DataFrame, needed_ids: DataFrame, dedupe: bool = False) -> DataFrame:
     """Projected changesets restricted to ``needed_ids`` (left-semi join).
 
     ``dedupe`` keeps one row per id (the table has unique ids; without it a
     repeated id fans out in the later join, as in the reference).
     """
-    cs = project_changesets(changesets)
-    ids = needed_ids.select("cs_id")
-    if _should_broadcast(ids, broadcast, max_broadcast_rows):
-        ids = F.broadcast(ids)
-    out = cs.join(ids, "cs_id", "left_semi")
-    if dedupe:
-        out = out.dropDuplicates(["cs_id"])
-    return out
+    out = project_changesets(changesets).join(needed_ids.select("cs_id"), "cs_id", "left_semi")
+    return out.dropDuplicates(["cs_id"]) if dedupe else out
 
 
 def enrich(candidates: DataFrame, changesets: DataFrame, lexicon: str = "full",
            unicode_case: bool | None = None, changeset_col: str = "last_changeset",
-           broadcast=None, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-           dedupe: bool = False) -> DataFrame:
+           dedupe: bool = False, needed_ids: DataFrame | None = None) -> DataFrame:
     """Candidates + ``cs_user, cs_uid, cs_comment, cs_created_by, cs_source,
     comment_signal``. Candidates without a changeset row keep NULLs (and are
-    ``neutral``)."""
-    ids = needed_changesets(candidates, changeset_col)
-    small = _should_broadcast(ids, broadcast, max_broadcast_rows)  # decided once
-    # The lookup rows carry free text (comment, user), so a row count does
-    # not bound their bytes: the candidate join is left to AQE, which
-    # broadcasts the cut-down lookup only when its measured size is small.
-    lookup = changeset_lookup(changesets, ids, "checked" if small else None,
-                              max_broadcast_rows, dedupe)
+    ``neutral``). ``candidates`` is read twice, once for the ids unless
+    ``needed_ids`` has them, so it should be a stored table."""
+    ids = needed_changesets(candidates, changeset_col) if needed_ids is None else needed_ids
+    lookup = changeset_lookup(changesets, ids, dedupe)
     joined = (candidates.join(lookup, F.col(changeset_col) == lookup["cs_id"], "left")
                         .drop("cs_id"))
     return joined.withColumn("comment_signal",

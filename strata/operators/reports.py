@@ -70,6 +70,11 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return observed, obs
 
 
+def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def preview(df: DataFrame, n: int = 5, order_by: str = "id") -> DataFrame:
     """The first ``n`` rows of each object type, by ``order_by``."""
     w = Window.partitionBy("type").orderBy(F.col(order_by).asc())

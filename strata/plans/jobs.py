@@ -23,10 +23,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import enrich as E
+from strata.operators import extras as X
 from strata.operators import reports as R
 from strata.operators.rules import Rules, extract_candidates, load_rules
+from strata.schema import ENRICHED
 from strata.scratch import Scratch
-from strata.session import ensure_job_settings, input_bytes, size_partitions
+from strata.session import ensure_job_settings, plan_bytes, size_partitions
 from strata.sources import geo as G
 from strata.sources.tables import (read_candidates, read_changesets, read_history,
                                    write_candidates, write_parquet)
@@ -44,40 +46,70 @@ def _signal_observer(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return out, obs
 
 
+def _size(spark: SparkSession, job: str, *inputs: DataFrame) -> None:
+    ensure_job_settings(spark)
+    sized = size_partitions(spark, plan_bytes(*inputs))
+    if sized:
+        _log(job, f"partition sizing: {json.dumps(sized)}")
+
+
 # ---------------------------------------------------------------- B1
 
 def run_extract(spark: SparkSession, history: DataFrame, rules: Rules, output_uri: str,
-                sample_rate: float = 1.0, dedupe: bool = False) -> dict:
-    """History -> candidates written partitioned by type; returns metrics."""
-    ensure_job_settings(spark)
+                sample_rate: float = 1.0, dedupe: bool = False, review_rows: int = 0) -> dict:
+    """History -> candidates written partitioned by type; returns metrics.
+
+    A bbox in the rules crops to positions inside it; ``dropped_by_crop`` says
+    how many candidates that cost (ways among them: they have no position).
+    ``review_rows`` writes that many rows for manual review beside the output.
+    """
+    _size(spark, "extract", history)
     scratch = Scratch(spark, "extract")
-    candidates = extract_candidates(history, rules, sample_rate=sample_rate, dedupe=dedupe, scratch=scratch)
-    observed, obs = R.observe_counts(candidates, "extract")
+    bbox = rules.extra.get("bbox")
+    whole = extract_candidates(history, rules.replace(bbox=None), sample_rate=sample_rate,
+                               dedupe=dedupe, scratch=scratch)
+    whole, before = R.observe_counts(whole, "extract_whole")
+    observed, obs = R.observe_counts(X.crop_bbox(whole, tuple(bbox) if bbox else None), "extract")
     write_candidates(observed, output_uri)
-    metrics = dict(obs.get)
+    metrics = dict(obs.get) | {"dropped_by_crop": before.get["rows"] - obs.get["rows"]}
     scratch.close()
-    _log("extract", f"candidates written to {output_uri}: {json.dumps(metrics)}")
+    if review_rows:
+        review = X.review_sample(read_candidates(spark, output_uri), review_rows)
+        write_parquet(review, f"{output_uri.rstrip('/')}_review")
+    _log("extract", f"wrote {output_uri}: {json.dumps(metrics)}")
     return metrics
 
 
 # ---------------------------------------------------------------- B2
 
+def _enriched(spark: SparkSession, candidates: DataFrame, changesets: DataFrame, lexicon: str,
+              scratch: Scratch) -> tuple[DataFrame, Observation, int]:
+    """Enriched rows with an observer of them, and the number of different
+    changesets that the candidates name."""
+    ids = scratch.save(E.needed_changesets(candidates), "ids")
+    enriched = E.enrich(candidates, changesets, lexicon=lexicon, needed_ids=ids)
+    return *_signal_observer(enriched, "signals"), ids.count()
+
+
 def run_enrich(spark: SparkSession, candidates: DataFrame, changesets: DataFrame,
                output_uri: str, lexicon: str = "full", show: bool = True) -> dict:
     """Candidates + changesets -> non-excluded rows written partitioned by
-    type; signal counts before and after the filter from the same pass."""
-    ensure_job_settings(spark)
-    enriched = E.enrich(candidates, changesets, lexicon=lexicon, broadcast="auto")
-    enriched, before = _signal_observer(enriched, "signals_before")
+    type; candidates loaded, different changesets, and signal counts before
+    and after the filter from the same pass."""
+    _size(spark, "enrich", candidates, changesets)
+    scratch = Scratch(spark, "enrich")
+    enriched, before, ids = _enriched(spark, candidates, changesets, lexicon, scratch)
     kept, after = _signal_observer(E.keep_signals(enriched), "signals_after")
     write_candidates(kept, output_uri)
-    metrics = {"before": dict(before.get), "after": dict(after.get)}
-    _log("enrich", f"written to {output_uri}: {json.dumps(metrics)}")
+    metrics = {"candidates": before.get["rows"], "unique_changesets": ids,
+               "before": dict(before.get), "after": dict(after.get)}
+    scratch.close()
+    _log("enrich", f"wrote {output_uri}: {json.dumps(metrics)}")
     if show:
-        written = read_candidates(spark, output_uri)
-        _log("enrich", "top editors:")
+        written = read_candidates(spark, output_uri, schema=ENRICHED)
+        _log("enrich", "editors used most:")
         R.top_editors(written, n=15).show(truncate=False)
-        _log("enrich", "sample of 'strong' comments:")
+        _log("enrich", "some comments that say strongly that an object is gone:")
         R.strong_comments(written, n=20).show(truncate=False)
     return metrics
 
@@ -88,12 +120,13 @@ def run_enrich_keep_all(spark: SparkSession, candidates: DataFrame, changesets:
                         output_uri: str, lexicon: str = "short", show: bool = True) -> dict:
     """Every candidate with its changeset fields and signal (nothing
     dropped), one unpartitioned Parquet table."""
-    ensure_job_settings(spark)
-    enriched = E.enrich(candidates, changesets, lexicon=lexicon, broadcast="auto")
-    enriched, obs = _signal_observer(enriched, "signals")
+    _size(spark, "enrich-all", candidates, changesets)
+    scratch = Scratch(spark, "enrich-all")
+    enriched, obs, ids = _enriched(spark, candidates, changesets, lexicon, scratch)
     write_parquet(enriched, output_uri)
-    metrics = dict(obs.get)
-    _log("enrich-all", f"written to {output_uri}: {json.dumps(metrics)}")
+    metrics = dict(obs.get) | {"unique_changesets": ids}
+    scratch.close()
+    _log("enrich-all", f"wrote {output_uri}: {json.dumps(metrics)}")
     if show:
         R.top_editors(spark.read.parquet(output_uri), n=10, drop_null=True).show(truncate=False)
     return metrics
@@ -101,17 +134,27 @@ def run_enrich_keep_all(spark: SparkSession, candidates: DataFrame, changesets:
 
 # ---------------------------------------------------------------- B4
 
-def run_export_geo(spark: SparkSession, rows: DataFrame, output_base: str,
-                   collection: bool = False) -> dict:
+def run_export_geo(spark: SparkSession, rows: DataFrame, output_base: str, collection: bool = False,
+                   archive_dates: bool = False, history: DataFrame | None = None) -> dict:
     """Candidates or enriched rows -> ``<base>.geojson`` (features) and
-    ``<base>.geoparquet`` (node points)."""
-    ensure_job_settings(spark)
+    ``<base>.geoparquet`` (node points). ``archive_dates`` adds start_date and
+    end_date; with ``history``, the ways' lines go to ``<base>.ways``."""
+    _size(spark, "to_geo", rows)
+    if archive_dates:
+        rows = X.with_archive_dates(rows)
     observed, obs = R.observe_counts(rows, "features")
     G.write_geojson(observed, f"{output_base}.geojson", collection=collection)
     counts = dict(obs.get)
     files = G.write_geoparquet(rows, f"{output_base}.geoparquet")
     counts["geoparquet_rows"] = sum(n for _, n in files)
     counts["geoparquet_files"] = len(files)
+    if history is not None:
+        scratch = Scratch(spark, "ways")
+        lines = X.way_linestrings(X.resolve_ways(rows, history, scratch=scratch))
+        lines, seen = R.observe_rows(lines, "ways")
+        write_parquet(lines, f"{output_base}.ways")
+        counts["way_lines"] = seen.get["rows"]
+        scratch.close()
     _log("to_geo", json.dumps(counts))
     return counts
 
@@ -139,6 +182,7 @@ def main(argv=None) -> int:
     x.add_argument("--output_uri", required=True)
     x.add_argument("--sample_rate", type=float, default=1.0)
     x.add_argument("--format", default="orc", choices=["orc", "parquet"])
+    x.add_argument("--review_rows", type=int, default=0)
     x.add_argument("--dedupe", action="store_true", help="keep one row of a version stored twice")
     e = sub.add_parser("enrich")
     e.add_argument("--candidates_uri", required=True)
@@ -154,22 +198,19 @@ def main(argv=None) -> int:
     g.add_argument("--input", required=True)
     g.add_argument("--output_base", required=True)
     g.add_argument("--collection", action="store_true")
+    g.add_argument("--archive_dates", action="store_true")
+    g.add_argument("--history_uri", help="resolve the ways' lines from this history")
+    g.add_argument("--format", default="orc", choices=["orc", "parquet"])
     r = sub.add_parser("profile")
     r.add_argument("--input", required=True)
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"strata-{args.job}").getOrCreate()
     ensure_job_settings(spark)
-    big_input = {"extract": "history_uri", "enrich": "changesets_uri",
-                 "enrich-all": "changesets_uri"}.get(args.job)
-    if big_input and not spark.sparkContext.master.startswith("local"):
-        sized = size_partitions(spark, input_bytes(spark, getattr(args, big_input)))
-        if sized:
-            _log(args.job, f"partition sizing: {json.dumps(sized)}")
     if args.job == "extract":
         run_extract(spark, read_history(spark, args.history_uri, args.format),
                     load_rules(spark, args.rules_uri), args.output_uri,
-                    sample_rate=args.sample_rate, dedupe=args.dedupe)
+                    sample_rate=args.sample_rate, dedupe=args.dedupe, review_rows=args.review_rows)
     elif args.job == "enrich":
         run_enrich(spark, read_candidates(spark, args.candidates_uri),
                    read_changesets(spark, args.changesets_uri, args.format), args.output_uri)
@@ -178,7 +219,8 @@ def main(argv=None) -> int:
                             read_changesets(spark, args.changesets_uri, args.format), args.output)
     elif args.job == "export-geo":
         run_export_geo(spark, read_candidates(spark, args.input, types=["node", "way"]),
-                       args.output_base, collection=args.collection)
+                       args.output_base, collection=args.collection, archive_dates=args.archive_dates,
+                       history=read_history(spark, args.history_uri, args.format) if args.history_uri else None)
     elif args.job == "profile":
         run_profile(spark, read_candidates(spark, args.input, types=["node", "way"]))
     return 0

@@ -46,8 +46,18 @@ CANDIDATE_COLUMNS = [
     "good_tags",
 ]
 
+_CANDIDATE_TYPES = {
+    "type": T.StringType(), "created_at": T.TimestampType(), "last_edit_at": T.TimestampType(),
+    "deleted_at": T.TimestampType(), "lifetime_days": T.IntegerType(),
+    "age_at_deletion_days": T.IntegerType(), "last_lat": T.DoubleType(), "last_lon": T.DoubleType(),
+    "last_nds": T.ArrayType(NODE_REF), "good_tags": TAG_MAP,
+}
+CANDIDATES = T.StructType([T.StructField(c, _CANDIDATE_TYPES.get(c, T.LongType())) for c in CANDIDATE_COLUMNS])
+
 CHANGESET_COLUMNS = ["cs_user", "cs_uid", "cs_comment", "cs_created_by", "cs_source"]
 ENRICHED_COLUMNS = CANDIDATE_COLUMNS + CHANGESET_COLUMNS + ["comment_signal"]
+ENRICHED = T.StructType(CANDIDATES.fields + [
+    T.StructField(c, T.LongType() if c == "cs_uid" else T.StringType()) for c in CHANGESET_COLUMNS + ["comment_signal"]])
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)

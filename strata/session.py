@@ -10,7 +10,7 @@ import math
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Time zone: `datediff` works on calendar
 # dates in the session zone, so the lifecycle day counts are only stable
@@ -60,22 +60,17 @@ def ensure_job_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Partition sizing: bytes a shuffle partition should hold before AQE
-# coalesces small ones, and a cap on the initial count (map outputs times
-# reducers grows with it). 100 TB of input starts at the cap.
+# Bytes a shuffle partition should hold before AQE coalesces small ones.
 SHUFFLE_TARGET_BYTES = 256 << 20
-MAX_INITIAL_PARTITIONS = 32768
-LARGE_INPUT_BYTES = 1 << 40
 
 
-def input_bytes(spark: SparkSession, *uris: str) -> int:
-    """Total size of the files under ``uris`` (a metadata call on the
-    driver through the Hadoop filesystem API; nothing is read)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+def plan_bytes(*frames: DataFrame) -> int:
+    """What Spark's statistics say the frames' inputs hold (file sizes; a
+    metadata call on the driver, nothing is read)."""
     total = 0
-    for uri in uris:
-        path = jvm.org.apache.hadoop.fs.Path(uri)
-        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    for df in frames:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return total
 
 
@@ -84,10 +79,9 @@ def size_partitions(spark: SparkSession, n_bytes: int) -> dict[str, str]:
     left it unset; returns what was set.
 
     AQE starts every shuffle at ``initialPartitionNum`` (enough partitions
-    for ``SHUFFLE_TARGET_BYTES`` each if the whole input were shuffled,
-    capped) and coalesces the small ones to the advisory size, so a cluster
-    default of 200 partitions cannot leave 500 GB to one reducer. Inputs
-    over a terabyte are split into 256 MB scan tasks instead of 128 MB.
+    for ``SHUFFLE_TARGET_BYTES`` each if the whole input were shuffled) and
+    coalesces the small ones to the advisory size, so a cluster default of 200
+    partitions cannot leave 500 GB to one reducer.
     """
     conf = spark.conf
     out = {}
@@ -95,11 +89,11 @@ def size_partitions(spark: SparkSession, n_bytes: int) -> dict[str, str]:
         out["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(SHUFFLE_TARGET_BYTES)
     if conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
         current = int(conf.get("spark.sql.shuffle.partitions"))
-        want = min(MAX_INITIAL_PARTITIONS, max(current, math.ceil(n_bytes / SHUFFLE_TARGET_BYTES)))
+        want = max(current, math.ceil(n_bytes / SHUFFLE_TARGET_BYTES))
+        if n_bytes >= 1 << 60:
+            want = current        # no statistics: Spark's default size for the unknown
         if want > current:
             out["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(want)
-    if n_bytes > LARGE_INPUT_BYTES and conf.get("spark.sql.files.maxPartitionBytes", None) is None:
-        out["spark.sql.files.maxPartitionBytes"] = str(SHUFFLE_TARGET_BYTES)
     for k, v in out.items():
         conf.set(k, v)
     return out

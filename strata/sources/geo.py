@@ -8,26 +8,29 @@ after them, so the part files concatenated in name order are the document
 (``cat part-* > out.geojson``). No task holds the whole collection.
 
 GeoParquet needs the ``geo`` key in the Parquet footer, which Spark's writer
-cannot add. Each task therefore writes its own file with pyarrow inside
-``mapInArrow``: to a name keyed by the partition and attempt, then renamed to
-the partition's final name, so a retried or speculative task overwrites
-rather than duplicates. The target must be a filesystem pyarrow can open
-(local, HDFS, S3).
+cannot add, so each task writes its own file with pyarrow inside
+``mapInArrow``; the driver commits the files of the attempts that counted. The
+target must be a filesystem pyarrow can open (local, HDFS, S3).
+
+Both sinks write beside their target and swap the result in at the end.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.geo import (GEOMETRY_SOURCE_COLUMNS, feature_json, has_point,
                                   iso_timestamp, marker_style, wkb_point)
-
+from strata.scratch import Scratch
+from strata.sources.tables import refuse_self_overwrite, swap_in
 
 
 def features(df: DataFrame) -> DataFrame:
@@ -35,26 +38,41 @@ def features(df: DataFrame) -> DataFrame:
     return df.select(F.col("type"), F.col("id"), feature_json(df).alias("feature"))
 
 
+def _staged(uri: str) -> str:
+    """A folder beside ``uri`` for a run that may fail."""
+    parent, _, name = uri.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}-{uuid.uuid4().hex}" if parent else f"_{name}-{uuid.uuid4().hex}"
+
+
 def write_geojson(df: DataFrame, uri: str, collection: bool = False) -> None:
+    """Features as text under ``uri``. The output replaces an older one only
+    when it is complete."""
+    spark = df.sparkSession
+    refuse_self_overwrite(df, uri)
     feats = features(df)
+    staged = _staged(uri)
     if not collection:
-        feats.select("feature").write.mode("overwrite").text(uri)
+        feats.select("feature").write.text(staged)
+        swap_in(spark, staged, uri)
         return
-    # nodes first, then the other types, each by id
+    # nodes first, then the other types, each by id; written once, because the
+    # first key, the sort's sample and the sort each read the features
     key = F.struct(F.when(F.col("type") == "node", 0).otherwise(1).alias("k"),
                    F.col("type").alias("t"), F.col("id").alias("i"))
-    keyed = feats.select(key.alias("key"), "feature")
+    scratch = Scratch(spark, "geojson")
+    keyed = scratch.save(feats.select(key.alias("key"), "feature"), "features")
     first = keyed.select(F.min("key")).scalar()      # one partial min per task
     body = keyed.select("key", F.when(F.col("key") == first, F.col("feature"))
                                  .otherwise(F.concat(F.lit(","), F.col("feature"))).alias("value"))
-    spark = df.sparkSession
 
     def edge(k, text):
         return spark.createDataFrame([((k, "", 0), text)], body.schema)
     doc = (edge(-1, '{"type":"FeatureCollection","features":[')
            .unionByName(body)
            .unionByName(edge(2, "]}")))
-    doc.orderBy("key").select("value").write.mode("overwrite").text(uri)
+    doc.orderBy("key").select("value").write.text(staged)
+    swap_in(spark, staged, uri)
+    scratch.close()
 
 
 def geoparquet_frame(df: DataFrame) -> DataFrame:
@@ -78,17 +96,30 @@ def geoparquet_frame(df: DataFrame) -> DataFrame:
     return pts.select(*cols)
 
 
+# WGS 84 as a PROJJSON object, the form GeoParquet 1.0.0 asks for.
+CRS = {
+    "$schema": "https://proj.org/schemas/v0.6/projjson.schema.json",
+    "type": "GeographicCRS",
+    "name": "WGS 84",
+    "datum": {
+        "type": "GeodeticReferenceFrame",
+        "name": "World Geodetic System 1984",
+        "ellipsoid": {"name": "WGS 84", "semi_major_axis": 6378137, "inverse_flattening": 298.257223563},
+    },
+    "coordinate_system": {
+        "subtype": "ellipsoidal",
+        "axis": [
+            {"name": "Geodetic latitude", "abbreviation": "Lat", "direction": "north", "unit": "degree"},
+            {"name": "Geodetic longitude", "abbreviation": "Lon", "direction": "east", "unit": "degree"},
+        ],
+    },
+    "id": {"authority": "EPSG", "code": 4326},
+}
+
+
 def _geo_metadata() -> bytes:
-    meta = {
-        "version": "1.0.0",
-        "primary_column": "geometry",
-        "columns": {"geometry": {
-            "encoding": "WKB",
-            "geometry_types": ["Point"],
-            "crs": "EPSG:4326",
-        }},
-    }
-    return json.dumps(meta).encode()
+    column = {"encoding": "WKB", "geometry_types": ["Point"], "crs": CRS}
+    return json.dumps({"version": "1.0.0", "primary_column": "geometry", "columns": {"geometry": column}}).encode()
 
 
 def _arrow_uri(uri: str) -> str:
@@ -100,30 +131,32 @@ def _arrow_uri(uri: str) -> str:
 
 
 def write_geoparquet(df: DataFrame, uri: str) -> list[tuple[str, int]]:
-    """Write GeoParquet files under ``uri``; returns (path, rows) per file.
-
-    Nothing is written when there are no node features. Temporary files of
-    attempts that died before their rename are removed at the end.
+    """Write GeoParquet files under ``uri``; returns (file name, rows) of each.
+
+    Every task attempt writes a file of its own name (its attempt id is unique
+    in the application) into a staging folder. The driver gets one receipt
+    for each partition, from the attempt that counted, removes the files of
+    other attempts, compares the rows with the rows of the plan, adds a
+    ``_SUCCESS`` marker and swaps the folder in. A run that fails leaves an
+    older output as it was. Without node features only the marker is written.
     """
     from pyarrow import fs as pafs
 
-    frame = geoparquet_frame(df)
-    base = _arrow_uri(uri.rstrip("/"))
+    spark = df.sparkSession
+    refuse_self_overwrite(df, uri)
+    counted = Observation("geoparquet")
+    frame = geoparquet_frame(df).observe(counted, F.count(F.lit(1)).alias("rows"))
+    staged = _staged(uri)
+    base = _arrow_uri(staged if "://" in staged or staged.startswith("file:") else os.path.abspath(staged))
     geo = _geo_metadata()
-    # overwrite semantics: part files of an earlier, wider run must not survive
-    filesystem, root = pafs.FileSystem.from_uri(base)
-    if filesystem.get_file_info(root).type != pafs.FileType.NotFound:
-        filesystem.delete_dir_contents(root, missing_dir_ok=True)
 
     def write_part(batches):
         from pyarrow import fs as pafs
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        part, attempt = ctx.partitionId(), ctx.attemptNumber()
+        name = f"part-{ctx.partitionId():05d}-{ctx.taskAttemptId()}.parquet"
         filesystem, root = pafs.FileSystem.from_uri(base)
-        final = f"{root}/part-{part:05d}.parquet"
-        tmp = f"{root}/_tmp-{part:05d}-{attempt}.parquet"
         writer, rows = None, 0
         for batch in batches:             # streamed: one batch in memory at a time
             if batch.num_rows == 0:
@@ -131,24 +164,32 @@ def write_geoparquet(df: DataFrame, uri: str) -> list[tuple[str, int]]:
             if writer is None:
                 filesystem.create_dir(root, recursive=True)
                 schema = batch.schema.with_metadata({**(batch.schema.metadata or {}), b"geo": geo})
-                writer = pq.ParquetWriter(tmp, schema, filesystem=filesystem)
+                writer = pq.ParquetWriter(f"{root}/{name}", schema, filesystem=filesystem)
             writer.write_batch(batch)
             rows += batch.num_rows
-        if writer is None:
-            yield pa.RecordBatch.from_pydict({"path": pa.array([], pa.string()),
-                                              "rows": pa.array([], pa.int64())})
-            return
-        writer.close()
-        filesystem.move(tmp, final)
-        yield pa.RecordBatch.from_pydict({"path": pa.array([final]), "rows": pa.array([rows], pa.int64())})
-
-    written = frame.mapInArrow(write_part, "path string, rows long")
-    # one row per written file (bounded by the partition count)
-    receipts = [(r["path"], r["rows"]) for r in written.collect()]
-    if filesystem.get_file_info(root).type == pafs.FileType.Directory:
+        if writer is not None:
+            writer.close()
+        yield pa.RecordBatch.from_pydict({"path": pa.array([name] if rows else [], pa.string()),
+                                          "rows": pa.array([rows] if rows else [], pa.int64())})
+
+    filesystem, root = pafs.FileSystem.from_uri(base)
+    try:
+        # one row per written file (bounded by the partition count)
+        receipts = sorted((r["path"], r["rows"]) for r in frame.mapInArrow(write_part, "path string, rows long").collect())
+        if sum(n for _, n in receipts) != counted.get["rows"]:
+            raise OSError(f"{uri}: receipts of {sum(n for _, n in receipts)} rows, {counted.get['rows']} expected")
+        filesystem.create_dir(root, recursive=True)
+        names = {name for name, _ in receipts}
         for info in filesystem.get_file_info(pafs.FileSelector(root)):
-            if info.base_name.startswith("_tmp-"):
+            if info.base_name not in names:
                 filesystem.delete_file(info.path)
+        with filesystem.open_output_stream(f"{root}/_SUCCESS"):
+            pass
+    except BaseException:
+        if filesystem.get_file_info(root).type != pafs.FileType.NotFound:
+            filesystem.delete_dir(root)
+        raise
+    swap_in(spark, staged, uri)
     return receipts
 
 

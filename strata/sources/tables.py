@@ -10,14 +10,14 @@ yields no rows.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.tags import normalize_tags
-from strata.schema import CANDIDATE_COLUMNS, CHANGESETS, HISTORY, validate
+from strata.schema import CANDIDATE_COLUMNS, CANDIDATES, CHANGESETS, HISTORY, validate
 
 
 def _reader(spark: SparkSession, fmt: str):
@@ -52,36 +52,78 @@ def read_changesets(spark: SparkSession, uri: str, fmt: str = "orc") -> DataFram
     return df
 
 
-def read_candidates(spark: SparkSession, uri: str,
-                    types: Sequence[str] | None = None) -> DataFrame:
+def _hadoop(spark: SparkSession, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(path)
+
+
+def read_candidates(spark: SparkSession, uri: str, types: Sequence[str] | None = None,
+                    schema: T.StructType = CANDIDATES) -> DataFrame:
     """Candidates (or enriched rows) written partitioned by ``type``.
 
     ``types`` prunes partitions; a type without a directory gives no rows.
+    A root without any ``type=`` directory, which a run that kept nothing
+    leaves, is an empty table of the declared ``schema``.
     """
+    fs, root = _hadoop(spark, uri)
+    if not any(s.getPath().getName().startswith("type=") for s in fs.listStatus(root)):
+        return spark.createDataFrame([], schema)
     df = spark.read.parquet(uri)
     if types is not None:
         df = df.filter(F.col("type").isin(list(types)))
     return df
 
 
-def _refuse_self_overwrite(df: DataFrame, uri: str) -> None:
-    target = os.path.normpath(uri.replace("file:", "")).rstrip("/")
-    for src in df.inputFiles():
-        path = os.path.normpath(src.replace("file:", ""))
-        if path == target or path.startswith(target + "/"):
+def input_roots(df: DataFrame) -> list[str]:
+    """The folders and files that the plan's scans were given (not their
+    contents, which a large table has millions of)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            paths = leaf.relation().location().rootPaths()
+            roots += [paths.apply(k).toString() for k in range(paths.size())]
+    return roots
+
+
+def refuse_self_overwrite(df: DataFrame, uri: str) -> None:
+    _, target = _hadoop(df.sparkSession, uri)
+    target = target.toString().rstrip("/")
+    for root in input_roots(df):
+        source = _hadoop(df.sparkSession, root)[1].toString().rstrip("/")
+        if f"{source}/".startswith(f"{target}/") or f"{target}/".startswith(f"{source}/"):
             raise ValueError(f"refusing to overwrite {uri}: it is an input of this plan")
 
 
+def swap_in(spark: SparkSession, staged: str, uri: str) -> None:
+    """Put the finished folder ``staged`` (beside ``uri``) in the place of
+    ``uri``; what was there goes only once the new folder is in its place."""
+    fs, new = _hadoop(spark, staged)
+    _, target = _hadoop(spark, uri)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{staged}-old")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"{uri} can't be moved aside")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"{staged} can't be renamed to {uri}")
+    if had:
+        fs.delete(old, True)
+
+
 def write_candidates(df: DataFrame, uri: str, mode: str = "overwrite") -> None:
     """Parquet partitioned by ``type`` (a static overwrite replaces every
     ``type=`` directory, as the reference job does)."""
-    _refuse_self_overwrite(df, uri)
+    refuse_self_overwrite(df, uri)
     df.write.mode(mode).partitionBy("type").parquet(uri)
 
 
 def write_parquet(df: DataFrame, uri: str, mode: str = "overwrite") -> None:
     """Unpartitioned Parquet (the keep-everything enrichment output)."""
-    _refuse_self_overwrite(df, uri)
+    refuse_self_overwrite(df, uri)
     df.write.mode(mode).parquet(uri)
 
 

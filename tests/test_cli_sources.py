@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from strata.schema import CANDIDATE_COLUMNS, ENRICHED
 from strata.functions.tags import normalize_tags
 from strata.operators.rules import extract_candidates, load_rules, shipped_rules
 from strata.plans import jobs
@@ -68,27 +69,22 @@ def test_rules_bbox_crops(spark):
 
 
 def test_partition_sizing_fills_only_unset(spark):
-    from strata.session import MAX_INITIAL_PARTITIONS, input_bytes, size_partitions
+    from strata.session import SHUFFLE_TARGET_BYTES, plan_bytes, size_partitions
 
     keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes",
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-            "spark.sql.files.maxPartitionBytes"]
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
     saved = {k: spark.conf.get(k, None) for k in keys}
     try:
         for k in keys:
             spark.conf.unset(k)
-        assert input_bytes(spark, SF_SMALL + "/lineitem.parquet") > 0
-        small = size_partitions(spark, 10 << 20)       # 10 MB: nothing to raise
-        assert "spark.sql.adaptive.coalescePartitions.initialPartitionNum" not in small
+        table = f"{SF_SMALL}/lineitem.parquet"
+        assert plan_bytes(spark.read.parquet(table)) == os.path.getsize(table)
+        assert keys[1] not in size_partitions(spark, 10 << 20)       # 10 MB: nothing to raise
         for k in keys:
             spark.conf.unset(k)
         big = size_partitions(spark, 100 << 40)        # 100 TB
-        assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(MAX_INITIAL_PARTITIONS)
-        assert "spark.sql.files.maxPartitionBytes" in big
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-        again = size_partitions(spark, 100 << 40)      # a deployment's own value wins
-        assert "spark.sql.files.maxPartitionBytes" not in again
+        assert int(big[keys[1]]) == (100 << 40) // SHUFFLE_TARGET_BYTES
+        assert size_partitions(spark, 200 << 40) == {}  # a value that is set wins
     finally:
         for k, v in saved.items():
             if v is None:
@@ -97,6 +93,55 @@ def test_partition_sizing_fills_only_unset(spark):
                 spark.conf.set(k, v)
 
 
+def test_cli_options(spark, scratch):
+    """Every documented option of the jobs, from history to lines of ways."""
+    import glob
+    hist, cs = os.path.join(scratch, "history"), os.path.join(scratch, "changesets")
+    h = fixture_history(spark, SF_SMALL)
+    h.unionByName(h.filter("id % 3 = 0")).write.parquet(hist)      # versions stored twice
+    fixture_changesets(spark, SF_SMALL).write.parquet(cs)
+    rules, out, enr = (os.path.join(scratch, x) for x in ("rules.json", "out", "all"))
+    with open(rules, "w") as f:
+        json.dump(shipped_rules().extra, f)
+    assert jobs.main(["extract", "--history_uri", hist, "--rules_uri", rules, "--output_uri", out,
+                      "--format", "parquet", "--dedupe", "--review_rows", "7"]) == 0
+    assert read_candidates(spark, out).count() == 115
+    assert spark.read.parquet(out + "_review").count() == 7
+    assert jobs.main(["enrich-all", "--input", out, "--changesets_uri", cs, "--output", enr, "--format", "parquet"]) == 0
+    assert spark.read.parquet(enr).count() == 115
+    base = os.path.join(scratch, "export")
+    assert jobs.main(["export-geo", "--input", out, "--output_base", base, "--archive_dates",
+                      "--history_uri", hist, "--format", "parquet"]) == 0
+    feature = json.loads(open(sorted(glob.glob(base + ".geojson/part-*"))[0]).readline())
+    assert feature["properties"]["start_date"] <= feature["properties"]["end_date"]
+    lines = spark.read.parquet(base + ".ways")
+    assert lines.count() == 27 and lines.where("geometry like '%LineString%'").count() > 20
+    assert jobs.main(["profile", "--input", out]) == 0
+
+
+def test_nothing_kept_runs_through_all_jobs(spark, scratch):
+    out, enr, base = (os.path.join(scratch, x) for x in ("out", "enr", "export"))
+    none = shipped_rules().replace(min_versions=10**6)
+    m = jobs.run_extract(spark, fixture_history(spark, SF_SMALL), none, out)
+    assert m["rows"] == 0
+    cands = read_candidates(spark, out)
+    assert cands.count() == 0 and cands.columns == CANDIDATE_COLUMNS
+    em = jobs.run_enrich(spark, cands, fixture_changesets(spark, SF_SMALL), enr)
+    assert em["candidates"] == em["unique_changesets"] == 0
+    jobs.run_enrich_keep_all(spark, cands, fixture_changesets(spark, SF_SMALL), os.path.join(scratch, "all"))
+    for collection in (False, True):
+        gm = jobs.run_export_geo(spark, read_candidates(spark, enr, schema=ENRICHED), base, collection=collection)
+        assert gm["rows"] == gm["geoparquet_rows"] == 0
+    assert os.listdir(base + ".geoparquet") == ["_SUCCESS"]
+    assert jobs.run_profile(spark, read_candidates(spark, enr, schema=ENRICHED)) == {}
+
+
+def test_crop_is_reported(spark, scratch):
+    rules = shipped_rules().replace(bbox=[-180, -90, 180, -50])
+    m = jobs.run_extract(spark, fixture_history(spark, SF_SMALL), rules, os.path.join(scratch, "out"))
+    assert m == {"rows": 22, "nodes": 22, "ways": 0, "dropped_by_crop": 93}
+
+
 def test_cli_extract(spark, scratch):
     hist = os.path.join(scratch, "history")
     fixture_history(spark, SF_SMALL).write.parquet(hist)
