@@ -138,6 +138,54 @@ def signal_sql(col: str, lexicon: str) -> str:
             f"ELSE 'neutral' END")
 
 
+def _little_endian(col: str) -> str:
+    """Hex of a double's bytes, the last one first."""
+    return (f"array_to_string(list_transform(range(8), lambda i: "
+            f"hex(unbin(substr(CAST(CAST({col} AS BIT) AS VARCHAR), 57 - 8 * i, 8)))), '')")
+
+
+def _mix(k: str) -> str:
+    return f"(({k}) * 3432918353) & 4294967295"
+
+
+def _rotate(x: str, n: int) -> str:
+    return f"((({x}) << {n}) | (({x}) >> {32 - n})) & 4294967295"
+
+
+def _murmur_of_word(word: str, seed: int) -> int:
+    """Murmur3 of a short ASCII string, four bytes at a time and then one by
+    one, as 32 unsigned bits."""
+    m = 0xFFFFFFFF
+    data = word.encode()
+    whole = len(data) // 4 * 4
+    units = [int.from_bytes(data[i:i + 4], "little") for i in range(0, whole, 4)] + list(data[whole:])
+    h = seed
+    for k in units:
+        k = k * 0xCC9E2D51 & m
+        k = ((k << 15 | k >> 17) & m) * 0x1B873593 & m
+        h ^= k
+        h = ((h << 13 | h >> 19) & m) * 5 + 0xE6546B64 & m
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & m
+    h = (h ^ h >> 13) * 0xC2B2AE35 & m
+    return h ^ h >> 16
+
+
+def _murmur_cte(buckets: int) -> str:
+    """kept_ids: objects whose Murmur3 of (type, id), seed 42 chained through
+    both, is divisible by ``buckets`` as a signed integer."""
+    m = 4294967295
+    seeds = " ".join(f"WHEN '{t}' THEN {_murmur_of_word(t, 42)}" for t in ("node", "way", "relation"))
+    step = lambda k, h, n: (f"{_mix(k)} AS a{n}, {_rotate(f'a{n}', 15)} AS b{n}, (b{n} * 461845907) & {m} AS c{n}, "
+                            f"xor({h}, c{n}) AS d{n}, {_rotate(f'd{n}', 13)} AS e{n}, (e{n} * 5 + 3864292196) & {m} AS h{n}")
+    return f"""
+hashed AS (SELECT type, id, CAST(CASE type {seeds} END AS HUGEINT) AS h0, CAST(id & {m} AS HUGEINT) AS low, CAST((id >> 32) & {m} AS HUGEINT) AS high,
+  {step('low', 'h0', 1)}, {step('high', 'h1', 2)}, xor(h2, 8) AS f0,
+  (xor(f0, f0 >> 16) * 2246822507) & {m} AS f1, (xor(f1, f1 >> 13) * 3266489909) & {m} AS f2, xor(f2, f2 >> 16) AS f3
+  FROM (SELECT DISTINCT type, id FROM hist)),
+kept_ids AS (SELECT type, id FROM hashed WHERE (CASE WHEN f3 >= 2147483648 THEN f3 - 4294967296 ELSE f3 END) % {buckets} = 0)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -251,6 +299,31 @@ kept AS (SELECT * FROM enr WHERE comment_signal <> 'exclude')"""
         "strftime(deleted_at, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(deleted_at) % 1000000 <> 0 "
         "THEN '.' || lpad(CAST(microsecond(deleted_at) % 1000000 AS VARCHAR), 6, '0') ELSE '' END "
         f"AS deleted_at_iso, {color} AS marker_color, cs_comment FROM kept")
+    feature_cols = prop_cols[:13] + prop_cols[14:]
+    iso = "strftime({0}, '%Y-%m-%dT%H:%M:%S')"
+    shown = {c: iso.format(c) for c in ("created_at", "last_edit_at", "deleted_at")}
+    shown |= {'"marker-color"': color, '"marker-symbol"': symbol, '"marker-size"': size}
+    pairs = ", ".join(f"'{c.strip(chr(34))}=' || CAST({shown.get(c, c)} AS VARCHAR)"
+                      for c in [*feature_cols, '"marker-color"', '"marker-symbol"', '"marker-size"'])
+    sql["geojson_features"] = (
+        f"{enr} SELECT 'Feature' AS feature_type, CASE WHEN last_lat IS NOT NULL THEN 'Point' END AS geometry_type, "
+        "last_lon AS lon, last_lat AS lat, replace(good_tags_text, ',', '|') AS tags_text, "
+        f"array_to_string(list_sort(list_filter([{pairs}], lambda x: x IS NOT NULL)), '|') AS properties_text FROM kept")
+    sql["job_export_geo"] = sql["geojson_features"]
+    sql["tags_json"] = (f"""{_with(hist)} SELECT type, id, version, '{{{{' || array_to_string(list_transform(klist,
+        lambda k: '"' || k || '":"' || k || '-' || version || '"'), ',') || '}}}}' AS tags_json FROM hist""").replace("{{", "{").replace("}}", "}")
+    sql["orc_history"] = sql["filter_object_types"]
+    sql["orc_changesets"] = sql["changeset_projection"]
+    sql["needed_changesets_sorted"] = (f"{cand} SELECT count(DISTINCT last_changeset) AS n, min(last_changeset) AS low, "
+                                       "max(last_changeset) AS high, 0::BIGINT AS out_of_order FROM cand")
+    sql["write_parquet_roundtrip"] = sql["enrich_left"]
+    sql["job_extract"] = sql["extract_candidates"]
+    sql["job_enrich"] = sql["keep_non_excluded"]
+    sql["job_enrich_all"] = sql["enrich_short_keep_all"]
+    sql["job_profile"] = f"{cand} SELECT type, count(*) AS rows FROM cand GROUP BY type"
+    sql["wkb_points"] = (f"{cand} SELECT type, id, '0101000000' || {_little_endian('last_lon')} || {_little_endian('last_lat')} AS wkb_hex "
+                         "FROM cand WHERE type = 'node'")
+    sql["sample_objects"] = f"{_with(hist)}, {_murmur_cte(10)} SELECT {ROW_COLS} FROM hist SEMI JOIN kept_ids USING (type, id)"
     sql["crop_bbox"] = (f"{cand} SELECT {CAND_COLS} FROM cand WHERE last_lon BETWEEN {BBOX[0]} AND {BBOX[2]} "
                         f"AND last_lat BETWEEN {BBOX[1]} AND {BBOX[3]}")
     sql["archive_dates"] = (f"{cand} SELECT type, id, strftime(created_at, '%Y-%m-%d') AS start_date, "
@@ -272,5 +345,8 @@ pairs AS (
 SELECT t.way_id, CAST(t.pos AS INTEGER) AS pos, t.ref, p.version AS node_version,
   CASE WHEN p.visible THEN p.lon END AS lon, CASE WHEN p.visible THEN p.lat END AS lat
 FROM timed t LEFT JOIN pairs p ON p.way_id = t.way_id AND p.pos = t.pos AND p.rk = 1"""
+    sql["way_linestrings"] = f"""SELECT way_id, CASE WHEN n >= 2 THEN n END AS n_points, CASE WHEN n >= 2 THEN first_lon END AS first_lon,
+  CASE WHEN n >= 2 THEN last_lat END AS last_lat FROM (SELECT way_id, count(*) AS n, arg_min(lon, pos) AS first_lon, arg_max(lat, pos) AS last_lat
+  FROM ({sql["resolve_ways"]}) WHERE lon IS NOT NULL AND lat IS NOT NULL GROUP BY way_id)"""
     sql["deletion_changeset"] = (f"{cand} SELECT type, id, last_changeset, deletion_changeset FROM cand")
     return sql
