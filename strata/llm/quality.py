@@ -117,8 +117,9 @@ def judge(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 SQL = r"""
 with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
 w as (select rid, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from d),
-g as (select rid, unnest(range(1, len(ws) - 1)) as i, ws from w where len(ws) >= 3),
-h as (select rid, i, count(*) over (partition by rid, ws[i], ws[i + 1], ws[i + 2]) as c from g),
+u as (select rid, unnest(range(len(ws))) as i, unnest(ws) as a from w),
+g as (select rid, i, a, lead(a, 1) over o as b, lead(a, 2) over o as c from u window o as (partition by rid order by i)),
+h as (select rid, i, count(*) over (partition by rid, a, b, c) as c from g where c is not null),
 p as (select rid, count(distinct i + o) as n from h, (values (0), (1), (2)) t(o) where c > 1 group by rid),
 l as (select rid, count(*) - count(distinct line) as n from (select rid, unnest(string_split(text, chr(10))) as line from d)
   where regexp_matches(line, '[^\x20\x09-\x0D]') group by rid),
