@@ -59,12 +59,12 @@ def check(spark, rows, df, capacity):
 @pytest.mark.parametrize("capacity", [1024, 37])
 def test_awkward_documents(spark, table, awkward, capacity):
     bins, total = check(spark, awkward, table(awkward), capacity)
-    assert bins <= first_fit(expected(awkward, capacity), capacity)
+    assert bins <= 1.01 * first_fit(expected(awkward, capacity), capacity)
 
 
 def test_small_table(spark, table, documents):
     bins, total = check(spark, documents, table(documents), 1024)
-    assert bins <= first_fit(expected(documents, 1024), 1024)
+    assert bins <= 1.01 * first_fit(expected(documents, 1024), 1024) and bins <= 1.01 * total / 1024 + 1
 
 
 def test_empty_table(spark, table):
