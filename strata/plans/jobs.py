@@ -56,7 +56,8 @@ def _size(spark: SparkSession, job: str, *inputs: DataFrame) -> None:
 # ---------------------------------------------------------------- B1
 
 def run_extract(spark: SparkSession, history: DataFrame, rules: Rules, output_uri: str,
-                sample_rate: float = 1.0, dedupe: bool = False, review_rows: int = 0) -> dict:
+                sample_rate: float = 1.0, dedupe: bool = False, review_rows: int = 0,
+                deletion_changeset: bool = False) -> dict:
     """History -> candidates written partitioned by type; returns metrics.
 
     A bbox in the rules crops to positions inside it; ``dropped_by_crop`` says
@@ -67,7 +68,7 @@ def run_extract(spark: SparkSession, history: DataFrame, rules: Rules, output_ur
     scratch = Scratch(spark, "extract")
     bbox = rules.extra.get("bbox")
     whole = extract_candidates(history, rules.replace(bbox=None), sample_rate=sample_rate,
-                               dedupe=dedupe, scratch=scratch)
+                               dedupe=dedupe, deletion_changeset=deletion_changeset, scratch=scratch)
     whole, before = R.observe_counts(whole, "extract_whole")
     observed, obs = R.observe_counts(X.crop_bbox(whole, tuple(bbox) if bbox else None), "extract")
     write_candidates(observed, output_uri)
@@ -183,6 +184,7 @@ def main(argv=None) -> int:
     x.add_argument("--sample_rate", type=float, default=1.0)
     x.add_argument("--format", default="orc", choices=["orc", "parquet"])
     x.add_argument("--review_rows", type=int, default=0)
+    x.add_argument("--deletion_changeset", action="store_true")
     x.add_argument("--dedupe", action="store_true", help="keep one row of a version stored twice")
     e = sub.add_parser("enrich")
     e.add_argument("--candidates_uri", required=True)
@@ -210,7 +212,7 @@ def main(argv=None) -> int:
     if args.job == "extract":
         run_extract(spark, read_history(spark, args.history_uri, args.format),
                     load_rules(spark, args.rules_uri), args.output_uri,
-                    sample_rate=args.sample_rate, dedupe=args.dedupe, review_rows=args.review_rows)
+                    sample_rate=args.sample_rate, dedupe=args.dedupe, review_rows=args.review_rows, deletion_changeset=args.deletion_changeset)
     elif args.job == "enrich":
         run_enrich(spark, read_candidates(spark, args.candidates_uri),
                    read_changesets(spark, args.changesets_uri, args.format), args.output_uri)

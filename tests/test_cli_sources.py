@@ -104,8 +104,8 @@ def test_cli_options(spark, scratch):
     with open(rules, "w") as f:
         json.dump(shipped_rules().extra, f)
     assert jobs.main(["extract", "--history_uri", hist, "--rules_uri", rules, "--output_uri", out,
-                      "--format", "parquet", "--dedupe", "--review_rows", "7"]) == 0
-    assert read_candidates(spark, out).count() == 115
+                      "--format", "parquet", "--dedupe", "--review_rows", "7", "--deletion_changeset"]) == 0
+    assert read_candidates(spark, out).where("deletion_changeset is not null").count() == 115
     assert spark.read.parquet(out + "_review").count() == 7
     assert jobs.main(["enrich-all", "--input", out, "--changesets_uri", cs, "--output", enr, "--format", "parquet"]) == 0
     assert spark.read.parquet(enr).count() == 115
