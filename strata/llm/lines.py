@@ -34,14 +34,14 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.withColumn("n", F.size("words"))
 
 
-def _halves() -> Column:
+def _halves() -> list[Column]:
     """Keys of the halves that a line may share with one of as many words, or
     one more or one fewer."""
     def keys(n):
         half = F.floor(n / 2).cast("int")
         return [F.xxhash64(F.lit(1), half, F.slice("words", F.lit(1), half)),
                 F.xxhash64(F.lit(2), n - half, F.reverse(F.slice(F.reverse("words"), F.lit(1), n - half)))]
-    return F.array_distinct(F.array(*keys(F.col("n")), *keys(F.col("n") - 1)))
+    return keys(F.col("n")) + keys(F.col("n") - 1)
 
 
 def _scan(values: Column) -> Column:
@@ -83,34 +83,37 @@ def _one_edit(a: Column, b: Column) -> Column:
 def earlier_lines(docs: DataFrame, scratch: Scratch, least: int = LEAST, fuzzy: int = FUZZY) -> DataFrame:
     """(doc, copy, line) of every line with an earlier one at most an edit away."""
     key = [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(3), F.array_join("words", " ")).alias("k2")]
-    halves = F.when(F.col("n") >= fuzzy, _halves()).otherwise(F.array().cast("array<long>"))
-    found = scratch.save(_lines(docs).where(F.col("n") >= least).select("doc", "copy", "line", *key, halves.alias("halves")), "lines")
-    distinct = found.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("copies"))
-    distinct = scratch.save(distinct, "distinct")
+    halves = [F.when(F.col("n") >= fuzzy, h).alias(f"h{i}") for i, h in enumerate(_halves())]
+    found = scratch.save(_lines(docs).where(F.col("n") >= least).select("doc", "copy", "line", *key, *halves), "lines")
+    distinct = found.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "copy")).alias("f"), F.count("*").alias("copies"), *[F.first(f"h{i}").alias(f"h{i}") for i in range(len(halves))])
+    distinct = scratch.save(distinct.select("k1", "k2", F.struct("f.doc", "f.line").alias("first"), F.col("f.copy").alias("copy"), "copies", *[f"h{i}" for i in range(len(halves))]), "distinct")
 
-    one = found.join(distinct, ["k1", "k2"]).where(F.struct("doc", "line") == F.col("first"))
-    one = scratch.save(one.select("k1", "k2", "first", "copy", F.explode("halves").alias("half")), "halves")
+    each = F.array_distinct(F.array(*[F.col(f"h{i}") for i in range(len(halves))]))
+    one = distinct.where("h0 is not null").select("k1", "k2", F.explode(each).alias("half"))
     shared = scratch.save(one.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("half"), "shared")
-    chosen = one.join(shared, "half").select(F.col("first.doc").alias("doc"), "copy", F.col("first.line").alias("line"), "k1", "k2", "first").distinct()
-    chosen = scratch.save(chosen.groupBy("doc", "copy").agg(F.collect_list(F.struct("line", "k1", "k2", "first")).alias("chosen")), "chosen")
+    keys = one.join(shared, "half", "left_semi").select("k1", "k2").distinct()
+    chosen = distinct.join(scratch.save(keys, "keys"), ["k1", "k2"]).select(F.col("first.doc").alias("doc"), "copy", F.struct(F.col("first.line").alias("line"), "k1", "k2", "first").alias("c"))
+    chosen = scratch.save(chosen.groupBy("doc", "copy").agg(F.collect_list("c").alias("chosen")), "chosen")
     text = F.col("text").cast("string")
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("copy"), F.split(text, "\n").alias("lines")).distinct()
-    picked = texts.join(chosen, ["doc", "copy"]).withColumn("c", F.explode("chosen"))
-    lines = picked.select("c.k1", "c.k2", "c.first", words_of(F.element_at("lines", F.col("c.line") + 1)).alias("words"))
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("copy"), text.alias("text"))
+    picked = texts.join(chosen, ["doc", "copy"]).select("chosen", F.split("text", "\n").alias("lines"))
+    # The lines are read twice below, which keeps their array a column of its own.
+    there = F.filter("chosen", lambda c: c["line"] < F.size("lines"))
+    picked = picked.select(F.explode(F.transform(there, lambda c: F.struct(c["k1"].alias("k1"), c["k2"].alias("k2"), c["first"].alias("first"), F.element_at("lines", c["line"] + 1).alias("line")))).alias("c"))
+    lines = picked.select("c.k1", "c.k2", "c.first", words_of(F.col("c.line")).alias("words"))
     lines = scratch.save(lines.dropDuplicates(["k1", "k2"]), "words")
-    scratch.drop("halves", "shared", "chosen")
+    scratch.drop("shared", "keys", "chosen")
 
     rows = scratch.save(variants(lines), "variants")
-    groups = rows.groupBy("v", "size", "place").agg(F.min("first").alias("low"), F.max("first").alias("high"))
-    whole = F.when(F.col("place") < 0, F.col("low"))
-    rest = F.when(F.col("place") >= 0, F.col("low"))
-    meets = scratch.save(groups.groupBy("v", "size").agg(F.min(whole).alias("whole"), F.min(rest).alias("rest"), F.max("high").alias("high"), F.min("low").alias("low"))
-                         .where("low < high").select("v", "size", "whole", "rest"), "meets")
-    near = scratch.save(rows.join(meets, ["v", "size"]), "near")
+    meets = rows.groupBy("v", "size").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("v", "size")
+    near = scratch.save(rows.join(scratch.save(meets, "meets"), ["v", "size"], "left_semi"), "near")
     scratch.drop("variants")
+    whole = F.when(F.col("place") < 0, F.col("first"))
+    rest = F.when(F.col("place") >= 0, F.col("first"))
+    sides = scratch.save(near.groupBy("v", "size").agg(F.min(whole).alias("whole"), F.min(rest).alias("rest")), "sides")
     same = scratch.save(near.groupBy("v", "size", "place").agg(F.min("first").alias("same")), "same")
     partner = F.when(F.col("place") < 0, F.col("rest")).otherwise(F.least("same", "whole"))
-    best = near.join(same, ["v", "size", "place"]).withColumn("partner", partner).where("partner < first")
+    best = near.join(same, ["v", "size", "place"]).join(sides, ["v", "size"]).withColumn("partner", partner).where("partner < first")
     best = scratch.save(best.groupBy("k1", "k2").agg(F.min("partner").alias("partner")), "partners")
     mine = best.join(lines.select("k1", "k2", F.col("words").alias("a")), ["k1", "k2"])
     pairs = mine.join(lines.select(F.col("first").alias("partner"), F.col("words").alias("b")), "partner")
@@ -137,9 +140,9 @@ def remove_lines(docs: DataFrame, least: int = LEAST, fuzzy: int = FUZZY) -> Dat
     gone = scratch.save(gone.select(F.col("doc").alias("__doc"), F.col("copy").alias("__copy"), F.col("gone").alias("__gone")), "gone")
     kept = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_removed")]
     text = F.col("text").cast("string")
-    rows = docs.select(*kept, F.col("doc_id").cast("long").alias("__doc"), F.xxhash64(text).alias("__copy"), F.split(text, "\n").alias("__lines"))
+    rows = docs.select(*kept, F.col("doc_id").cast("long").alias("__doc"), F.xxhash64(text).alias("__copy"))
     none = F.array().cast("array<int>")
-    rows = rows.join(gone, ["__doc", "__copy"], "left").withColumn("__gone", F.coalesce("__gone", none))
+    rows = rows.join(gone, ["__doc", "__copy"], "left").withColumn("__gone", F.coalesce("__gone", none)).withColumn("__lines", F.split(text, "\n"))
     # The lines between two removed ones, for all neighbours in the list.
     parts = F.zip_with(F.concat(F.array(F.lit(-1)), F.col("__gone")), F.concat(F.col("__gone"), F.array(F.size("__lines"))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     left = F.flatten(F.transform(parts, lambda p: F.slice("__lines", p["a"] + 2, F.greatest(p["b"] - p["a"] - 1, F.lit(0)))))
