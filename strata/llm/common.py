@@ -160,6 +160,7 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
         small = large.join(low2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low2.select("u", F.col("m").alias("v")))
         step += 1
         e = scratch.save(small.distinct(), f"{label}-{step}")
+        scratch.drop(f"{label}-{step - 1}", f"{label}-{step - 1}l", f"{label}-{step - 1}s")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -24,14 +24,15 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, Windows, components, map_rows, mix, second, signed, word_hashes
 
 SLOTS = 64
-#: Sets of a bucket that one task compares, and the greatest depth of splits.
-BLOCK, DEPTH = 256, 4
+#: Sets of a bucket that one task compares, n-grams that they may hold
+#: together, and the greatest depth of splits.
+BLOCK, GRAMS, DEPTH = 256, 1_000_000, 4
 #: Slots drawn at a node: one, and with this probability a second one.
 EXTRA = 0.25
 #: Signatures count as alike from this much below the threshold (four standard
@@ -182,13 +183,12 @@ def alike(cells: DataFrame, least: float) -> DataFrame:
     return cells.mapInArrow(run, "a long, b long")
 
 
-def _cells(rows: DataFrame, key: str, size: str, payload: list[str]) -> DataFrame:
+def _cells(rows: DataFrame, key: str, blocks: Column, payload: list[str]) -> DataFrame:
     """Every row once for each cell (key, i, j), i <= j, of its block: a group
-    of ``size`` rows falls into blocks of about BLOCK rows, and two blocks meet
-    in one cell. A group of one block has one cell."""
-    blocks = F.ceil(F.col(size) / BLOCK).cast("int")
+    falls into ``blocks`` blocks, and two blocks meet in one cell. A group of
+    one block has one cell."""
     mine = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.col("__blocks")).cast("int")
-    rows = rows.withColumn("__blocks", blocks).withColumn("__mine", mine)
+    rows = rows.withColumn("__blocks", blocks.cast("int")).withColumn("__mine", mine)
     rows = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
     return rows.select(F.col(key).alias("node"), F.least("__mine", "__other").alias("i"), F.greatest("__mine", "__other").alias("j"),
                        F.col("__mine").alias("block"), *payload).repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
@@ -212,8 +212,10 @@ def candidates(sets: DataFrame, threshold: float, recall: float, scratch: Scratc
             live = scratch.save(larger.join(sets, "doc_id").select("node", "doc_id", "signature"), f"live{depth}")
             if live.isEmpty():
                 break
-    cells = _cells(found.join(sets, "doc_id"), "node", "size", ["doc_id", "signature"])
-    return scratch.save(alike(cells, threshold - SLACK).distinct(), "links")
+    cells = _cells(found.join(sets, "doc_id"), "node", F.ceil(F.col("size") / BLOCK), ["doc_id", "signature"])
+    links = scratch.save(alike(cells, threshold - SLACK).distinct(), "links")
+    scratch.drop(*[f"{name}{d}" for name in ("children", "sizes", "ready", "live") for d in range(1, DEPTH + 1)])
+    return links
 
 
 # ------------------------------------------------------------ verification
@@ -305,17 +307,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     scratch = Scratch(docs.sparkSession, "jaccard")
     rows = scratch.save(sketch(docs, n), "sketch")
     sets = rows.where("doc_id is not null and k1 is not null").groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("signature").alias("signature"))
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("grams").alias("grams"), F.first("signature").alias("signature"))
     sets = scratch.save(sets, "sets")
     links = candidates(sets.select("doc_id", "signature"), threshold, recall, scratch)
     member = components(links, scratch, "look")
     member = member.unionByName(member.select(F.col("root").alias("node"), "root").distinct())
     member = scratch.save(member, "member")
-    size = scratch.save(member.groupBy("root").agg(F.count("*").alias("size")), "size")
+    size = member.join(sets.select(F.col("doc_id").alias("node"), "grams"), "node").groupBy("root").agg(F.count("*").alias("size"), F.sum("grams").alias("total"))
+    size = scratch.save(size, "size")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     inside = member.join(size, "root").withColumnRenamed("node", "doc_id").join(sets.drop("signature"), "doc_id")
-    inside = inside.join(texts, "doc_id")
-    cells = _cells(inside, "root", "size", ["doc_id", "copies", "k1", "k2", "text"])
+    inside = inside.drop("grams").join(texts, "doc_id")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / GRAMS))
+    cells = _cells(inside, "root", blocks, ["doc_id", "copies", "k1", "k2", "text"])
     proved = scratch.save(verify(cells, n, threshold), "proved")
     degree = scratch.save(proved.where("b is null").groupBy("a").agg(F.sum("links").alias("links")), "degree")
     classes = components(proved.where("b is not null").select("a", "b"), scratch, "class")

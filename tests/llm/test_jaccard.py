@@ -64,6 +64,7 @@ def test_large_groups_meet_in_blocks(table, monkeypatch):
             words[rng.randrange(120)] = f"e{rng.randint(0, 9)}"
         rows.append((i, " ".join(words)))
     monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "GRAMS", 1000)
     got = run(table(rows), recall=0.9999)
     want = brute(rows, 5, 0.8)
     assert got == want and max(r[2] for r in want) > 30
