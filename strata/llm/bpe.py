@@ -17,7 +17,9 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,66 +36,150 @@ NOT_SPACE = re.compile("[\x1c-\x1f]")
 _shared: dict[str, WordBpe] = {}
 
 
-class PairTree:
-    """The smallest (rank, place) over a row of leaves. A leaf without a pair
-    that can be merged holds NONE."""
+#: Bits of an id in a packed pair or merge, and what a tree holds where no
+#: pair can be merged.
+ID, NONE = 17, 1 << 62
 
-    NONE = (1 << 62, 0)
 
-    def __init__(self, leaves: list[tuple[int, int]]):
-        self.size = 1 << max(0, (len(leaves) - 1).bit_length())
-        self.nodes = [self.NONE] * self.size + leaves + [self.NONE] * (self.size - len(leaves))
-        for i in range(self.size - 1, 0, -1):
-            a, b = self.nodes[2 * i], self.nodes[2 * i + 1]
-            self.nodes[i] = a if a <= b else b
+def packed(merges: dict[tuple[int, int], tuple[int, int]]) -> dict[int, int]:
+    """{(left, right): (rank, merged id)} with both sides as one integer."""
+    return {a << ID | b: rank << ID | new for (a, b), (rank, new) in merges.items()}
 
-    def put(self, place: int, rank: int | None) -> None:
-        nodes, i = self.nodes, self.size + place
-        nodes[i] = self.NONE if rank is None else (rank, place)
-        i >>= 1
-        while i:
-            a, b = nodes[2 * i], nodes[2 * i + 1]
-            best = a if a <= b else b
-            if nodes[i] == best:
-                return
-            nodes[i] = best
-            i >>= 1
 
-    def best(self) -> tuple[int, int]:
-        return self.nodes[1]
+def merge(symbols: list[int], merges: dict[int, int]) -> list[int]:
+    """The ids left after all merges (``merges`` as ``packed``).
 
-
-def merge(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """The ids left after all merges; ``merges`` gives (rank, merged id)."""
+    ``tree`` is a segment tree as a heap: leaf ``size + i`` holds the rank and
+    the place of the pair that begins at symbol ``i``, an inner node the smaller
+    of its two, so the root is the leftmost pair of the lowest rank.
+    """
     n = len(symbols)
     if n < 2:
         return symbols
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    found = [merges.get(p) for p in zip(symbols, symbols[1:])]
-    if not any(found):
+    size = 1 << (n - 2).bit_length()
+    tree, into, get = [NONE] * (2 * size), [0] * n, merges.get
+    left, any_pair = symbols[0], False
+    for i in range(1, n):
+        right = symbols[i]
+        if (m := get(left << ID | right)) is not None:
+            tree[size + i - 1] = m >> ID << 32 | i - 1
+            into[i - 1] = m & (1 << ID) - 1
+            any_pair = True
+        left = right
+    if not any_pair:
         return symbols
-    tree = PairTree([PairTree.NONE if m is None else (m[0], i) for i, m in enumerate(found)])
-    symbols = list(symbols)
-    while (top := tree.best()) != PairTree.NONE:
-        at = top[1]
+    for i in range(size - 1, 0, -1):
+        a, b = tree[2 * i], tree[2 * i + 1]
+        tree[i] = a if a < b else b
+    after, before, symbols = list(range(1, n + 1)), list(range(-1, n - 1)), list(symbols)
+    while (top := tree[1]) != NONE:
+        at = top & 0xFFFFFFFF
         gone = after[at]
-        symbols[at] = merges[symbols[at], symbols[gone]][1]
+        symbols[at] = left = into[at]
         symbols[gone] = -1
         end = after[at] = after[gone]
-        if gone < n - 1:
-            tree.put(gone, None)
+        changed = [at]
         if end < n:
             before[end] = at
-            m = merges.get((symbols[at], symbols[end]))
-            tree.put(at, m and m[0])
+            tree[size + gone] = NONE
+            changed.append(gone)
+            m = get(left << ID | symbols[end])
         else:
-            tree.put(at, None)
+            m = None
+        if m is None:
+            tree[size + at] = NONE
+        else:
+            tree[size + at] = m >> ID << 32 | at
+            into[at] = m & (1 << ID) - 1
         if (prior := before[at]) >= 0:
-            m = merges.get((symbols[prior], symbols[at]))
-            tree.put(prior, m and m[0])
+            m = get(symbols[prior] << ID | left)
+            if m is None:
+                tree[size + prior] = NONE
+            else:
+                tree[size + prior] = m >> ID << 32 | prior
+                into[prior] = m & (1 << ID) - 1
+            changed.append(prior)
+        for i in changed:
+            i = size + i >> 1
+            while i:
+                a, b = tree[2 * i], tree[2 * i + 1]
+                best = a if a < b else b
+                if tree[i] == best:
+                    break
+                tree[i] = best
+                i >>= 1
     return [s for s in symbols if s >= 0]
 
 
+class Forest:
+    """``merge`` for many short words at once: one segment tree per row of an
+    array, so each step (read the roots, merge, update the changed leaves and
+    the nodes above them) runs over all words that still have a pair."""
+
+    #: Symbols of the longest word of each forest.
+    SIZES = (8, 16, 32, 64)
+
+    def __init__(self, merges: dict[int, int]):
+        self.pairs = np.array(sorted(merges), np.int64)
+        self.found = np.array([merges[k] for k in self.pairs.tolist()], np.int64)
+
+    def _leaf(self, left: np.ndarray, right: np.ndarray, place) -> tuple[np.ndarray, np.ndarray]:
+        """What the leaves of these pairs hold, and the ids they merge into."""
+        pair = left << ID | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        hit, m = self.pairs[at] == pair, self.found[at]
+        return np.where(hit & (right >= 0), m >> ID << 32 | place, NONE), m & (1 << ID) - 1
+
+    def merge(self, words: list[list[int]]) -> list[list[int]]:
+        """The ids left of words of at most SIZES[-1] symbols."""
+        out: list = [None] * len(words)
+        groups: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            groups.setdefault(next(s for s in self.SIZES if len(w) <= s), []).append(i)
+        for size, rows in groups.items():
+            for lo in range(0, len(rows), 20_000):
+                part = rows[lo:lo + 20_000]
+                for i, ids in zip(part, self._merge([words[i] for i in part], size)):
+                    out[i] = ids
+        return out
+
+    def _merge(self, words: list[list[int]], size: int) -> list[list[int]]:
+        n = np.array([len(w) for w in words])
+        symbols = np.full((len(words), size + 1), -1, np.int64)
+        symbols[np.arange(size + 1) < n[:, None]] = np.concatenate([np.array(w, np.int64) for w in words])
+        after = np.tile(np.arange(1, size + 2), (len(words), 1))
+        before = np.tile(np.arange(-1, size), (len(words), 1))
+        tree = np.full((len(words), 2 * size), NONE, np.int64)
+        tree[:, size:], into = self._leaf(symbols[:, :-1], symbols[:, 1:], np.arange(size))
+        level = size
+        while level > 1:
+            tree[:, level // 2:level] = np.minimum(tree[:, level:2 * level:2], tree[:, level + 1:2 * level:2])
+            level //= 2
+        rows = np.arange(len(words))
+        while len(rows := rows[tree[rows, 1] != NONE]):
+            at = tree[rows, 1] & 0xFFFFFFFF
+            gone = after[rows, at]
+            symbols[rows, at] = into[rows, at]
+            symbols[rows, gone] = -1
+            end = np.minimum(after[rows, gone], size)
+            after[rows, at] = end
+            before[rows, end] = at
+            prior = before[rows, at]
+            tree[rows, size + np.minimum(gone, size - 1)] = NONE
+            changed = [(rows, np.minimum(gone, size - 1)), (rows, at)]
+            tree[rows, size + at], into[rows, at] = self._leaf(symbols[rows, at], symbols[rows, end], at)
+            some = prior >= 0
+            r, p = rows[some], prior[some]
+            tree[r, size + p], into[r, p] = self._leaf(symbols[r, p], symbols[r, at[some]], p)
+            changed.append((r, p))
+            for r, i in changed:
+                i = size + i >> 1
+                while size > 1 and i[0:1].any():
+                    tree[r, i] = np.minimum(tree[r, 2 * i], tree[r, 2 * i + 1])
+                    i = i >> 1
+        return [[x for x in row if x >= 0] for row in symbols.tolist()]
+
+
 class WordBpe:
     """Encoder and decoder of a vocabulary file with word ends."""
 
@@ -103,17 +189,21 @@ class WordBpe:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
-        self.merges = {}
+        merges: dict = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
-        self.symbol = {b: c for c, b in byte_of_symbol().items()}
+            merges.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
+        self.merges = packed(merges)
+        symbol = {b: c for c, b in byte_of_symbol().items()}
+        self.inner = [self.vocab[symbol[b]] for b in range(256)]
+        self.last = [self.vocab[symbol[b] + self.end] for b in range(256)]
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.added = added
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")").split if added else None
         parts = spec["pre_tokenizer"]["pretokenizers"]
-        self.pieces = regex.compile(next(p["pattern"]["Regex"] for p in parts if p["type"] == "Split")).findall
+        self.find = regex.compile(next(p["pattern"]["Regex"] for p in parts if p["type"] == "Split")).findall
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in added.items()}
+        self.forest = Forest(self.merges)
         self.words: dict[str, tuple] = {}
         self.known: dict[str, tuple] = {}
 
@@ -123,12 +213,22 @@ class WordBpe:
             _shared[path] = cls(path)
         return _shared[path]
 
+    def pieces(self, word: str) -> list[str]:
+        """The pieces of a word by the file's pattern. Letters alone, and
+        letters before a comma or a full stop, need no pattern."""
+        if word.isalpha():
+            return [word]
+        if word[-1] in ",." and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.find(word)
+
     def _piece(self, piece: str) -> tuple:
         ids = self.known.get(piece)
         if ids is None:
-            symbols = [self.symbol[b] for b in piece.encode()]
-            symbols[-1] += self.end
-            ids = tuple(merge([self.vocab[s] for s in symbols], self.merges))
+            data, inner = piece.encode(), self.inner
+            symbols = [inner[b] for b in data]
+            symbols[-1] = self.last[data[-1]]
+            ids = tuple(merge(symbols, self.merges))
             if len(piece) <= LONGEST:
                 if len(self.known) >= CACHED:
                     self.known.clear()
@@ -136,7 +236,10 @@ class WordBpe:
         return ids
 
     def _word(self, word: str) -> tuple:
-        ids = tuple(i for piece in self.pieces(word) for i in self._piece(piece))
+        found, known = [], self.known
+        for piece in self.pieces(word):
+            found += known.get(piece) or self._piece(piece)
+        ids = tuple(found)
         if len(word) <= LONGEST:
             if len(self.words) >= CACHED:
                 self.words.clear()
@@ -161,6 +264,40 @@ class WordBpe:
                 out += self.words.get(word) or self._word(word)
         return out
 
+    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+        """``encode`` of each text; new words of all of them are merged together."""
+        split: list[list[str] | None] = []
+        for text in texts:
+            if any(t in text for t in self.added) or NOT_SPACE.search(text):
+                split.append(None)
+            else:
+                split.append(self.normalise(text).split())
+        every = set().union(*[ws for ws in split if ws])
+        if len(self.words) + len(every) > CACHED:
+            self.words.clear()
+        pieces = {w: self.pieces(w) for w in every.difference(self.words)}
+        fresh = {p for ps in pieces.values() for p in ps}
+        if len(self.known) + len(fresh) > CACHED:
+            self.known.clear()
+        new = [p for p in fresh.difference(self.known) if len(p.encode()) <= Forest.SIZES[-1]]
+        symbols = []
+        for p in new:
+            data = p.encode()
+            ids = [self.inner[b] for b in data]
+            ids[-1] = self.last[data[-1]]
+            symbols.append(ids)
+        self.known.update(zip(new, map(tuple, self.forest.merge(symbols))))
+        known, words = self.known, self.words
+        for w, ps in pieces.items():
+            if len(ps) == 1:
+                words[w] = known.get(ps[0]) or self._piece(ps[0])
+            else:
+                words[w] = tuple(chain.from_iterable([known.get(p) or self._piece(p) for p in ps]))
+        out = [None if ws is None else list(chain.from_iterable(map(words.__getitem__, ws))) for ws in split]
+        for w in [w for w in pieces if len(w) > LONGEST]:
+            del words[w]
+        return [self.encode(text) if ids is None else ids for text, ids in zip(texts, out)]
+
     def decode(self, ids: list[int]) -> str:
         """The tokens of the ids, joined by one space, as the library gives
         them for a file without a decoder."""
@@ -178,17 +315,20 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(cols) -> Iterator[dict]:
         import pyarrow as pa
         bpe = WordBpe.shared(vocabulary)
-        ids, decoded, docs, held = [], [], [], 0
+        docs, texts, held = [], [], 0
+
+        def done():
+            ids = bpe.encode_batch(texts)
+            return dict(doc_id=docs, ids=pa.array(ids, pa.list_(pa.int32())), decoded=list(map(bpe.decode, ids)))
+
         for doc, text in zip(cols["doc_id"].to_pylist(), cols["text"]):
-            found = bpe.encode(text.as_py() or "")
             docs.append(doc)
-            ids.append(found)
-            decoded.append(bpe.decode(found))
-            held += len(found)
-            if held > 500_000:
-                yield dict(doc_id=docs, ids=pa.array(ids, pa.list_(pa.int32())), decoded=decoded)
-                ids, decoded, docs, held = [], [], [], 0
-        yield dict(doc_id=docs, ids=pa.array(ids, pa.list_(pa.int32())), decoded=decoded)
+            texts.append(text.as_py() or "")
+            held += len(texts[-1])
+            if held > 1_000_000:
+                yield done()
+                docs, texts, held = [], [], 0
+        yield done()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_rows(rows, run, "doc_id long, ids array<int>, decoded string")

@@ -59,7 +59,7 @@ def test_tree_merges_the_leftmost_lowest_pair():
                 break
             i = min(found)[1]
             want[i:i + 2] = [merges[want[i], want[i + 1]][1]]
-        assert bpe.merge(symbols, merges) == want
+        assert bpe.merge(symbols, bpe.packed(merges)) == want
 
 
 def test_a_full_cache_starts_anew(monkeypatch):
