@@ -53,9 +53,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document with their places in sequences."""
+    """The pieces of every document with their ids and places in sequences,
+    and the CRC-32 of the ids."""
     prepare(spark)
-    return packing.pack_digests(docs, BYTE_BPE)
+    return packing.pack(docs, BYTE_BPE).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
@@ -72,11 +73,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``: the packed pieces with their ids."""
     scratch = Scratch(prepare(spark), "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES[:-1]):
         docs = scratch.save(stage(spark, docs, sf_dir), f"stage{i}")
         if i:
             scratch.drop(f"stage{i - 1}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return STAGES[-1][1](spark, docs, sf_dir).drop("ids_crc32")

@@ -141,8 +141,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end: int = 2) ->
     return assign(scratch.save(cut_documents(docs, tokenizer, capacity, end), "pieces"), scratch, capacity)
 
 
+def digests(packed: DataFrame) -> DataFrame:
+    """Rows of ``pack`` with the CRC-32 of the ids in place of the ids."""
+    return packed.select(*[F.crc32("ids").alias("ids_crc32") if c == "ids" else F.col(c) for c in packed.columns])
+
+
 def pack_digests(docs: DataFrame, tokenizer: str, capacity: int = 1024, end: int = 2) -> DataFrame:
     """As ``pack``, with the CRC-32 of the ids in place of the ids."""
-    scratch = Scratch(docs.sparkSession, "packing")
-    pieces = cut_documents(docs, tokenizer, capacity, end).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return assign(scratch.save(pieces, "pieces"), scratch, capacity)
+    return digests(pack(docs, tokenizer, capacity, end))

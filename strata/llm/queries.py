@@ -28,7 +28,7 @@ def _sha256(text) -> F.Column:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_digests(_table(spark, sf_dir, "documents"), BYTE_BPE)
+    return packing.digests(packing.pack(_table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,11 +4,12 @@ import struct
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from strata.llm import packing
+from strata.llm import packing, queries
 from strata.llm.common import prepare
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,6 +77,17 @@ def test_the_operator_returns_ids(spark, table):
     assert [x.length for x in r] == [len(r[0].ids) // 4] and r[0].ids.endswith(struct.pack("<I", 2))
 
 
+def test_the_pipeline_and_the_query_pack_ids(spark, table, monkeypatch):
+    rows = [(1, "a b c " * 900), (1, "a b c " * 900), (2, None), (None, "x")]
+    last = corpus_pipeline.STAGES[-1][1](spark, table(rows), None).collect()
+    got = Counter((r.doc_id, r.piece, r.start, len(r.ids) // 4, zlib.crc32(r.ids)) for r in last)
+    assert got == expected(rows, 1024) and all(r.length == len(r.ids) // 4 for r in last)
+    called = []
+    monkeypatch.setattr(packing, "pack", lambda *a, f=packing.pack, **b: called.append(f(*a, **b)) or called[-1])
+    out = queries.op1_best_fit_packing(spark, "/root/testdata/sf0.001")
+    assert called and "ids" in called[0].columns and out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
 def test_fullest_is_the_largest_subset_sum():
     import itertools
     import random
