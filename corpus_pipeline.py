@@ -1,7 +1,7 @@
 """A corpus pipeline of five operators, each stage written and read again.
 
 Quality rules drop documents, line dedup cuts repeated lines, the n-gram join
-keeps one document of each near-duplicate class, substring dedup cuts repeated
+keeps one text of each near-duplicate class, substring dedup cuts repeated
 passages, and packing lays the tokens of what is left into sequences.
 """
 
@@ -36,11 +36,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate class."""
+    """One text of each class of near-duplicate texts, that with the smallest
+    doc_id. Texts under one doc_id are classed apart; of rows that repeat a
+    doc_id and a text the smallest by all columns stays. Rows with a null
+    doc_id stay whole and are no one's copy."""
     prepare(spark)
-    first = jaccard.near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    first = Scratch(spark, "first").save(first, "first")
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    first = Scratch(spark, "first").save(jaccard.representatives(docs), "first").toDF("__doc", "__copy")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("__doc"), F.xxhash64(F.col("text").cast("string")).alias("__copy"))
+    kept = rows.join(first, ["__doc", "__copy"], "left_semi").groupBy("__doc", "__copy").agg(F.min("row").alias("row"))
+    return kept.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

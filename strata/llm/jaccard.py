@@ -82,20 +82,25 @@ def signature(one: np.ndarray) -> np.ndarray:
     return (mix(low) >> np.uint64(32)).astype(np.uint32)
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
+
+
 def sketch(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, k1, k2, grams, signature) of every row; the k of documents
-    without words, and signatures of those, are null."""
+    """(doc_id, copy, k1, k2, grams, signature) of every row, ``copy`` a hash
+    of its text; the k of documents without words, and signatures of those,
+    are null."""
     def run(cols) -> Iterator[dict]:
-        out = {c: [] for c in ("doc_id", "k1", "k2", "grams", "signature")}
-        for doc, text in zip(cols["doc_id"].to_pylist(), cols["text"]):
+        out = {c: [] for c in ("doc_id", "copy", "k1", "k2", "grams", "signature")}
+        for doc, copy, text in zip(cols["doc_id"].to_pylist(), cols["copy"].to_pylist(), cols["text"]):
             one, two = shingles(text.as_py(), n)
             k1, k2 = identity(one, two) if len(one) else (None, None)
-            for c, v in zip(out, (doc, k1, k2, len(one), signature(one).tobytes() if len(one) else None)):
+            for c, v in zip(out, (doc, copy, k1, k2, len(one), signature(one).tobytes() if len(one) else None)):
                 out[c].append(v)
         yield out
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_rows(rows, run, "doc_id long, k1 long, k2 long, grams long, signature binary")
+    return map_rows(_texts(docs), run, "doc_id long, copy long, k1 long, k2 long, grams long, signature binary")
 
 
 # ------------------------------------------------------------ chosen paths
@@ -108,10 +113,10 @@ def _draw(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def split(rows: DataFrame) -> DataFrame:
-    """The children (node, doc_id) of rows (node, doc_id, signature)."""
+    """The children (node, id) of rows (node, id, signature)."""
     def run(cols) -> Iterator[dict]:
         node = cols["node"].to_numpy(zero_copy_only=False).view(np.uint64)
-        doc = cols["doc_id"].to_numpy(zero_copy_only=False)
+        doc = cols["id"].to_numpy(zero_copy_only=False)
         sig = np.frombuffer(b"".join(cols["signature"].to_pylist()), np.uint32).reshape(-1, SLOTS)
         first, other, both = _draw(node)
         at = np.arange(len(node))
@@ -120,9 +125,9 @@ def split(rows: DataFrame) -> DataFrame:
             return signed(mix(node[rows] * np.uint64(31) + mix((slot.astype(np.uint64) << np.uint64(32)) + sig[rows, slot])))
 
         two = at[both]
-        yield dict(node=np.concatenate((child(at, first), child(two, other[both]))), doc_id=np.concatenate((doc, doc[two])))
+        yield dict(node=np.concatenate((child(at, first), child(two, other[both]))), id=np.concatenate((doc, doc[two])))
 
-    return map_rows(rows.select("node", "doc_id", "signature"), run, "node long, doc_id long")
+    return map_rows(rows.select("node", "id", "signature"), run, "node long, id long")
 
 
 def _star(n: int, linked: np.ndarray) -> np.ndarray:
@@ -158,14 +163,14 @@ def _groups(batches, keys: list[str]):
 
 def alike(cells: DataFrame, least: float) -> DataFrame:
     """Spanning stars (a, b) of the signatures that look alike, in every cell
-    (node, i, j) of rows (doc_id, signature)."""
+    (node, i, j) of rows (id, signature)."""
     need = math.ceil(least * SLOTS)
 
     def run(batches):
         import pyarrow as pa
         a, b = [], []
         for _, rows in _groups(batches, ["node", "i", "j"]):
-            rows.sort(key=lambda r: r["doc_id"])
+            rows.sort(key=lambda r: r["id"])
             sig = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint32).reshape(-1, SLOTS)
             n = len(rows)
             same = np.zeros((n, n), np.uint8)
@@ -173,8 +178,8 @@ def alike(cells: DataFrame, least: float) -> DataFrame:
                 same += sig[:, s, None] == sig[None, :, s]
             low = _star(n, same >= need)
             for x in np.flatnonzero(low != np.arange(n)):
-                a.append(rows[x]["doc_id"])
-                b.append(rows[low[x]]["doc_id"])
+                a.append(rows[x]["id"])
+                b.append(rows[low[x]]["id"])
             if len(a) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
                 a, b = [], []
@@ -187,7 +192,7 @@ def _cells(rows: DataFrame, key: str, blocks: Column, payload: list[str]) -> Dat
     """Every row once for each cell (key, i, j), i <= j, of its block: a group
     falls into ``blocks`` blocks, and two blocks meet in one cell. A group of
     one block has one cell."""
-    mine = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.col("__blocks")).cast("int")
+    mine = F.pmod(F.xxhash64(F.col("id"), F.lit(7)), F.col("__blocks")).cast("int")
     rows = rows.withColumn("__blocks", blocks.cast("int")).withColumn("__mine", mine)
     rows = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
     return rows.select(F.col(key).alias("node"), F.least("__mine", "__other").alias("i"), F.greatest("__mine", "__other").alias("j"),
@@ -195,7 +200,7 @@ def _cells(rows: DataFrame, key: str, blocks: Column, payload: list[str]) -> Dat
 
 
 def candidates(sets: DataFrame, threshold: float, recall: float, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between sets (doc_id, signature) that look alike."""
+    """Links (a, b) between sets (id, signature) that look alike."""
     runs = runs_for(recall, threshold)
     seeds = F.array(*[F.lit(int(signed(mix(np.array([r + 1], np.uint64)))[0])) for r in range(runs)])
     live = sets.withColumn("node", F.explode(seeds))
@@ -205,14 +210,14 @@ def candidates(sets: DataFrame, threshold: float, recall: float, scratch: Scratc
         sizes = scratch.save(children.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), f"sizes{depth}")
         groups = children.join(sizes, "node")
         ready = groups if depth == DEPTH else groups.where(F.col("size") <= BLOCK)
-        ready = scratch.save(ready.select("node", "doc_id", "size"), f"ready{depth}")
+        ready = scratch.save(ready.select("node", "id", "size"), f"ready{depth}")
         found = ready if found is None else found.unionByName(ready)
         if depth < DEPTH:
-            larger = groups.where(F.col("size") > BLOCK).select("node", "doc_id")
-            live = scratch.save(larger.join(sets, "doc_id").select("node", "doc_id", "signature"), f"live{depth}")
+            larger = groups.where(F.col("size") > BLOCK).select("node", "id")
+            live = scratch.save(larger.join(sets, "id").select("node", "id", "signature"), f"live{depth}")
             if live.isEmpty():
                 break
-    cells = _cells(found.join(sets, "doc_id"), "node", F.ceil(F.col("size") / BLOCK), ["doc_id", "signature"])
+    cells = _cells(found.join(sets, "id"), "node", F.ceil(F.col("size") / BLOCK), ["id", "signature"])
     links = scratch.save(alike(cells, threshold - SLACK).distinct(), "links")
     scratch.drop(*[f"{name}{d}" for name in ("children", "sizes", "ready", "live") for d in range(1, DEPTH + 1)])
     return links
@@ -258,7 +263,7 @@ def verify(cells: DataFrame, n: int, threshold: float) -> DataFrame:
             for r in rows:
                 one, two = shingles(r["text"], n)
                 if len(one) and identity(one, two) == (r["k1"], r["k2"]):
-                    sets.append((r["block"], r["doc_id"], r["copies"], one))
+                    sets.append((r["block"], r["id"], r["copies"], one))
             sets.sort(key=lambda s: (s[0], s[1]))
             left = [s for s in sets if s[0] == i]
             right = left if i == j else [s for s in sets if s[0] == j]
@@ -294,41 +299,70 @@ def verify(cells: DataFrame, n: int, threshold: float) -> DataFrame:
     return cells.mapInArrow(run, "a long, b long, links long")
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id (the smallest doc_id that
-    links of Jaccard ``threshold`` or more lead to), n_links (the number of
-    other rows that similar, equal texts among them) and n_grams.
+def _classed(docs: DataFrame, n: int, threshold: float, recall: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``sketch`` of the rows, and their different n-gram sets (k1, k2, doc_id,
+    copy, root, n_links): the smallest doc_id with the set and its text, one
+    number for all sets that verified links lead to, and the number of other
+    rows similar to one with the set.
 
-    Grams are sets of ``n`` words; a text of fewer words is one gram. Null and
-    empty texts have no links and are classes of their own. Rows with a null
-    doc_id get a null class and no links. Rows that repeat a doc_id fall into
-    one class.
-    """
-    scratch = Scratch(docs.sparkSession, "jaccard")
+    Sets go by numbers of their own, so texts under one doc_id stay apart."""
     rows = scratch.save(sketch(docs, n), "sketch")
     sets = rows.where("doc_id is not null and k1 is not null").groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("grams").alias("grams"), F.first("signature").alias("signature"))
-    sets = scratch.save(sets, "sets")
-    links = candidates(sets.select("doc_id", "signature"), threshold, recall, scratch)
+        F.min(F.struct("doc_id", "copy")).alias("f"), F.count("*").alias("copies"), F.first("grams").alias("grams"), F.first("signature").alias("signature"))
+    sets = scratch.save(sets.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "f.doc_id", "f.copy", "copies", "grams", "signature"), "sets")
+    links = candidates(sets.select("id", "signature"), threshold, recall, scratch)
     member = components(links, scratch, "look")
     member = member.unionByName(member.select(F.col("root").alias("node"), "root").distinct())
     member = scratch.save(member, "member")
-    size = member.join(sets.select(F.col("doc_id").alias("node"), "grams"), "node").groupBy("root").agg(F.count("*").alias("size"), F.sum("grams").alias("total"))
+    size = member.join(sets.select(F.col("id").alias("node"), "grams"), "node").groupBy("root").agg(F.count("*").alias("size"), F.sum("grams").alias("total"))
     size = scratch.save(size, "size")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    inside = member.join(size, "root").withColumnRenamed("node", "doc_id").join(sets.drop("signature"), "doc_id")
-    inside = inside.drop("grams").join(texts, "doc_id")
+    inside = member.join(size, "root").withColumnRenamed("node", "id").join(sets.drop("grams", "signature"), "id")
+    inside = inside.join(_texts(docs), ["doc_id", "copy"])
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / GRAMS))
-    cells = _cells(inside, "root", blocks, ["doc_id", "copies", "k1", "k2", "text"])
+    cells = _cells(inside, "root", blocks, ["id", "copies", "k1", "k2", "text"])
     proved = scratch.save(verify(cells, n, threshold), "proved")
     degree = scratch.save(proved.where("b is null").groupBy("a").agg(F.sum("links").alias("links")), "degree")
     classes = components(proved.where("b is not null").select("a", "b"), scratch, "class")
-    known = sets.select("k1", "k2", "doc_id", "copies").join(degree.withColumnRenamed("a", "doc_id"), "doc_id", "left").join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    known = scratch.save(known.select("k1", "k2", F.coalesce("root", "doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known")
+    known = sets.drop("grams", "signature").join(degree.withColumnRenamed("a", "id"), "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left")
+    known = known.select("k1", "k2", "doc_id", "copy", F.coalesce("root", "id").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return rows, scratch.save(known, "known")
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id (the smallest doc_id that
+    links of Jaccard ``threshold`` or more lead to), n_links (the number of
+    other rows that similar, equal texts among them) and n_grams.
+
+    Grams are sets of ``n`` words; a text of fewer words is one gram. Null and
+    empty texts have no links and are classes of their own. Rows with a null
+    doc_id get a null class and no links. Texts with words under one doc_id
+    are compared and counted apart, but fall into one class.
+    """
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    rows, known = _classed(docs, n, threshold, recall, scratch)
+    several = rows.where("doc_id is not null and k1 is not null").groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("a"), F.max(F.struct("k1", "k2")).alias("b"))
+    several = scratch.save(several.where("a <> b").select("doc_id"), "several")
+    if not several.isEmpty():
+        shared = rows.join(several, "doc_id").select("doc_id", "k1", "k2").distinct().join(known.select("k1", "k2", "root"), ["k1", "k2"])
+        shared = scratch.save(shared.select("doc_id", F.col("root").alias("a")).distinct(), "shared")
+        edges = shared.join(shared.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b")
+        joined = components(edges, scratch, "joined").select(F.col("node").alias("root"), F.col("root").alias("whole"))
+        known = scratch.save(known.join(joined, "root", "left").withColumn("root", F.coalesce("whole", "root")).drop("whole"), "whole")
+    known = known.join(known.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("k1", "k2", "class_id", "n_links")
     out = rows.alias("r").join(known.alias("k"), (F.col("r.k1") == F.col("k.k1")) & (F.col("r.k2") == F.col("k.k2")) & F.col("r.doc_id").isNotNull(), "left")
     return out.select("r.doc_id", F.coalesce("k.class_id", "r.doc_id").alias("class_id"), F.coalesce("k.n_links", F.lit(0)).cast("long").alias("n_links"), F.col("r.grams").alias("n_grams"))
 
 
+def representatives(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """(doc_id, copy) of the text to keep of each class of similar texts, the
+    smallest by (doc_id, k1, k2); ``copy`` is ``xxhash64`` of the text. Texts
+    under one doc_id are classed apart, and all without words are kept. Rows
+    with a null doc_id are no one's copy and have none here."""
+    rows, known = _classed(docs, n, threshold, recall, Scratch(docs.sparkSession, "jaccard"))
+    first = known.groupBy("root").agg(F.min(F.struct("doc_id", "k1", "k2", "copy")).alias("f")).select("f.doc_id", "f.copy")
+    return first.unionByName(rows.where("doc_id is not null and k1 is null").select("doc_id", "copy").distinct())
+
+
 SQL = r"""
 with recursive d as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
 g as (select distinct doc_id, array_to_string(w[i + 1:i + 5], ' ') as gram from (select doc_id, w, unnest(range(greatest(len(w) - 4, 1))) as i from d where len(w) > 0)),

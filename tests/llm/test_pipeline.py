@@ -53,3 +53,12 @@ def test_stages_on_an_empty_table(spark, table):
     docs = table([]).select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).collect() == []
+
+
+def test_texts_that_share_a_doc_id_and_null_doc_ids(spark, table, awkward):
+    docs = table(awkward).select("doc_id", "text", "lang", "source", "n_chars")
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    units = sorted({r for r in awkward if r[0] is not None}, key=lambda r: (r[0], r[1] or ""))
+    classes = test_jaccard.brute([(i, t) for i, (_, t) in enumerate(units)], 5, 0.8)
+    want = Counter([units[i] for i, root, _ in classes if i == root] + [r for r in awkward if r[0] is None])
+    assert got == want and got[awkward[-1]] == 1 and (60, awkward[-3][1]) not in got
