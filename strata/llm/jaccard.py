@@ -317,7 +317,8 @@ def _classed(docs: DataFrame, n: int, threshold: float, recall: float, scratch:
     size = member.join(sets.select(F.col("id").alias("node"), "grams"), "node").groupBy("root").agg(F.count("*").alias("size"), F.sum("grams").alias("total"))
     size = scratch.save(size, "size")
     inside = member.join(size, "root").withColumnRenamed("node", "id").join(sets.drop("grams", "signature"), "id")
-    inside = inside.join(_texts(docs), ["doc_id", "copy"])
+    # A row that is stored more than once gives its set one text.
+    inside = inside.join(_texts(docs), ["doc_id", "copy"]).dropDuplicates(["doc_id", "copy", "id"])
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / GRAMS))
     cells = _cells(inside, "root", blocks, ["id", "copies", "k1", "k2", "text"])
     proved = scratch.save(verify(cells, n, threshold), "proved")

@@ -48,6 +48,13 @@ def test_rows_that_repeat_a_doc_id_with_other_texts(table, awkward):
     assert got[60] == 6
 
 
+def test_rows_that_repeat_the_smallest_doc_id_of_a_class(table):
+    words = [f"w{i}" for i in range(100)]
+    base, near = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(6, base), (6, base), (10, near)]
+    assert run(table(rows)) == brute(rows, 5, 0.8) == [(6, 6, 2), (6, 6, 2), (10, 6, 2)]
+
+
 def test_small_table(table, documents):
     got = run(table(documents))
     assert got == brute(documents, 5, 0.8) and len({r[1] for r in got}) < len(got)
