@@ -53,8 +53,30 @@ def survival(similarity: float, depth: int) -> float:
     return alive
 
 
+def equal_slots(similarity: float) -> list[float]:
+    """Probability of each number of equal slots of two sets of this similarity."""
+    return [math.comb(SLOTS, k) * similarity ** k * (1 - similarity) ** (SLOTS - k) for k in range(SLOTS + 1)]
+
+
+def slots_for(recall: float, similarity: float) -> int:
+    """Equal slots from which on signatures count as alike: ``SLACK`` below
+    the threshold, or fewer if that loses more than half of what may be lost."""
+    chance, need = equal_slots(similarity), math.ceil((similarity - SLACK) * SLOTS)
+    while need > 0 and sum(chance[:need]) > (1 - recall) / 2:
+        need -= 1
+    return max(need, 0)
+
+
 def runs_for(recall: float, similarity: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, DEPTH)))
+    """Runs that find this share of the pairs of this similarity. All runs
+    draw from the same slots, so a pair's chance in each is that of its equal
+    slots, and pairs with too few of them count as lost."""
+    chance, need = equal_slots(similarity), slots_for(recall, similarity)
+    lost = [1 - survival(k / SLOTS, DEPTH) for k in range(SLOTS + 1)]
+    runs = 1
+    while sum(chance[:need]) + sum(c * x ** runs for c, x in zip(chance[need:], lost[need:])) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def shingles(text: str | None, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,11 +183,9 @@ def _groups(batches, keys: list[str]):
         yield now, rows
 
 
-def alike(cells: DataFrame, least: float) -> DataFrame:
-    """Spanning stars (a, b) of the signatures that look alike, in every cell
-    (node, i, j) of rows (id, signature)."""
-    need = math.ceil(least * SLOTS)
-
+def alike(cells: DataFrame, need: int) -> DataFrame:
+    """Spanning stars (a, b) of the signatures with ``need`` equal slots, in
+    every cell (node, i, j) of rows (id, signature)."""
     def run(batches):
         import pyarrow as pa
         a, b = [], []
@@ -218,7 +238,7 @@ def candidates(sets: DataFrame, threshold: float, recall: float, scratch: Scratc
             if live.isEmpty():
                 break
     cells = _cells(found.join(sets, "id"), "node", F.ceil(F.col("size") / BLOCK), ["id", "signature"])
-    links = scratch.save(alike(cells, threshold - SLACK).distinct(), "links")
+    links = scratch.save(alike(cells, slots_for(recall, threshold)).distinct(), "links")
     scratch.drop(*[f"{name}{d}" for name in ("children", "sizes", "ready", "live") for d in range(1, DEPTH + 1)])
     return links
 
