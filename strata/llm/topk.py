@@ -88,11 +88,13 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) ->
     are all with another vec_id. Scores are integer inner products, ties go
     to the smaller vec_id. Vectors of other lengths than the query's are no
     candidates. Rows with a null vec_id take no part; a repeated row is a
-    candidate as often as it occurs, and a query as one.
+    candidate as often as it occurs, and a query as one. Different vectors
+    under one vec_id are one query: all of them are compared, and its ``k``
+    results are the best of all their scores.
     """
     scratch = Scratch(vectors.sparkSession, "topk")
     rows = scratch.save(quantize(vectors, scale).withColumn("size", F.size("v")), "vectors")
-    queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "size"])
+    queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
     many, asked = rows.count(), queries.count()
     blocks, parts = max(1, math.ceil(many / CANDIDATES)), max(1, math.ceil(asked / QUERIES))
     number = lambda salt, n: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")

@@ -47,6 +47,15 @@ def test_awkward_vectors(spark):
     assert run(spark, rows) == brute(rows, 5, 50)
 
 
+def test_different_vectors_under_one_vec_id(spark):
+    rows = vectors(40, 3) + [(50, [0.5, 0.0, 0.0]), (50, [0.0, -0.5, 0.0]), (50, [0.0, -0.5, 0.0]), (50, [0.0, 0.0, 0.25])]
+    asked = {tuple(math.floor(256 * x) for x in v) for i, v in rows if i == 50}
+    every = sorted((-sum(x * math.floor(256 * y) for x, y in zip(a, b)), i) for a in asked for i, b in rows if i != 50)
+    got = run(spark, [r for r in rows if r[0]])
+    want = [x for x in every if x[1]][:5]
+    assert got == Counter((50, r + 1, i, -s) for r, (s, i) in enumerate(want))
+
+
 def test_fewer_candidates_than_k(spark):
     rows = vectors(4, 5)
     assert run(spark, rows, every=2) == brute(rows, 5, 2)
