@@ -42,10 +42,11 @@ def quantize(vectors: DataFrame, scale: int = 256) -> DataFrame:
         F.col("vec_id").cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x)).alias("v"))
 
 
-def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple]:
+def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, stops: dict | None = None) -> Iterator[tuple]:
     """(query, vec_ids, scores) of the up to ``k`` best candidates of a block
     for each query, by score and then by smaller id. ``x`` and ``q`` hold
-    integers in double precision, whose sums are exact."""
+    integers in double precision, whose sums are exact. ``stops`` gets the
+    number of queries that stop at each depth; at 1.0 all scores are taken."""
     n = len(ids)
     x = x[np.argsort(ids, kind="stable")]
     ids = np.sort(ids)
@@ -70,6 +71,8 @@ def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.nd
         else:
             left = ~mine
             done = np.ones(len(open_queries), bool)
+        if stops is not None:
+            stops[depth] = int(done.sum())
         for at in np.flatnonzero(done):
             rows = np.flatnonzero(left[at])
             scores = x[rows] @ q[open_queries[at]]

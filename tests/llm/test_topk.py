@@ -71,3 +71,11 @@ def test_bounds_stop_early_on_spread_vectors():
         every[query] = -np.inf
         order = np.lexsort((ids, -every))[:5]
         assert (found == ids[order]).all() and (scores == every[order]).all()
+
+
+def test_depth_at_which_queries_stop():
+    rng = np.random.default_rng(3)
+    for x, early in ((np.floor(256 * rng.standard_normal((2000, 4)) ** 3), True), (np.floor(256 * rng.standard_normal((2000, 64))), False)):
+        stops = {}
+        assert len(list(topk.search_block(np.arange(2000), x, np.arange(40), x[:40], 5, stops))) == 40 == sum(stops.values())
+        assert (stops.get(1.0, 0) < 40) == early
