@@ -8,11 +8,13 @@ takes O(n log n), however long it is.
 
 The vocabulary file is one of the ``tokenizers`` library, of the kind with word
 ends: texts are normalised, split by its pattern, and each piece is a word.
-Workers keep the ids of words and pieces seen, within a bound.
+Workers number the words they have seen, within a bound in bytes, and keep their
+ids in one array, so the ids of a batch of texts are one gather from it.
 """
 
 from __future__ import annotations
 
+import array
 import json
 import re
 import unicodedata
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +30,13 @@ from pyspark.sql import functions as F
 from strata.llm.common import map_rows
 from strata.llm.tokens import byte_of_symbol
 
-#: Words, and pieces of words, kept by a worker (about 60 MB each).
-CACHED, LONGEST = 200_000, 64
+#: Bytes of the words and pieces that a worker keeps between batches.
+CACHED = 256 << 20
+#: Bytes that a kept word or piece, and a word's tokens, take beside their characters.
+ENTRY, SHOWN = 160, 60
 
 #: Characters that ``str.split`` takes for white space and the library doesn't.
-NOT_SPACE = re.compile("[\x1c-\x1f]")
+NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 _shared: dict[str, WordBpe] = {}
 
@@ -180,6 +185,26 @@ class Forest:
         return [[x for x in row if x >= 0] for row in symbols.tolist()]
 
 
+class Numbers(dict):
+    """Numbers of words from 0; a word that has none gets the next and is put on ``new``."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
+def _put(values: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
+    """``values`` with ``more`` from place ``at``; it doubles when it is full."""
+    while at + len(more) > len(values):
+        values = np.concatenate([values, np.zeros_like(values)])
+    values[at:at + len(more)] = more
+    return values
+
+
 class WordBpe:
     """Encoder and decoder of a vocabulary file with word ends."""
 
@@ -189,29 +214,47 @@ class WordBpe:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
-        merges: dict = {}
-        for rank, pair in enumerate(model["merges"]):
-            a, b = pair.split(" ") if isinstance(pair, str) else pair
-            merges.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
-        self.merges = packed(merges)
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
         symbol = {b: c for c, b in byte_of_symbol().items()}
         self.inner = [self.vocab[symbol[b]] for b in range(256)]
         self.last = [self.vocab[symbol[b] + self.end] for b in range(256)]
-        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.added = added
-        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")").split if added else None
+        self.prepare(pairs)
+        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")").split if self.added else None
         parts = spec["pre_tokenizer"]["pretokenizers"]
         self.find = regex.compile(next(p["pattern"]["Regex"] for p in parts if p["type"] == "Split")).findall
-        self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in added.items()}
-        self.forest = Forest(self.merges)
-        self.words: dict[str, tuple] = {}
-        self.known: dict[str, tuple] = {}
+        self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
+        self.clear()
 
     @classmethod
     def shared(cls, path: str) -> WordBpe:
-        if path not in _shared:
-            _shared[path] = cls(path)
-        return _shared[path]
+        key = f"{cls.__name__} {path}"
+        if key not in _shared:
+            _shared[key] = cls(path)
+        return _shared[key]
+
+    def prepare(self, pairs: list) -> None:
+        """Set up the merges of the file, the first of equal ones counts."""
+        merges: dict = {}
+        for rank, (a, b) in enumerate(pairs):
+            merges.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
+        self.merges = packed(merges)
+        self.forest = Forest(self.merges)
+
+    def merged(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece: short ones in one forest, others by a tree each."""
+        symbols = []
+        for p in pieces:
+            data = p.encode()
+            ids = [self.inner[b] for b in data]
+            ids[-1] = self.last[data[-1]]
+            symbols.append(ids)
+        short = [i for i, ids in enumerate(symbols) if len(ids) <= Forest.SIZES[-1]]
+        for i, ids in zip(short, self.forest.merge([symbols[i] for i in short])):
+            symbols[i] = ids
+        for i in set(range(len(pieces))).difference(short):
+            symbols[i] = merge(symbols[i], self.merges)
+        return [array.array("I", ids).tobytes() for ids in symbols]
 
     def pieces(self, word: str) -> list[str]:
         """The pieces of a word by the file's pattern. Letters alone, and
@@ -222,29 +265,37 @@ class WordBpe:
             return [word[:-1], word[-1]]
         return self.find(word)
 
-    def _piece(self, piece: str) -> tuple:
-        ids = self.known.get(piece)
-        if ids is None:
-            data, inner = piece.encode(), self.inner
-            symbols = [inner[b] for b in data]
-            symbols[-1] = self.last[data[-1]]
-            ids = tuple(merge(symbols, self.merges))
-            if len(piece) <= LONGEST:
-                if len(self.known) >= CACHED:
-                    self.known.clear()
-                self.known[piece] = ids
-        return ids
-
-    def _word(self, word: str) -> tuple:
-        found, known = [], self.known
-        for piece in self.pieces(word):
-            found += known.get(piece) or self._piece(piece)
-        ids = tuple(found)
-        if len(word) <= LONGEST:
-            if len(self.words) >= CACHED:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
+    def clear(self) -> None:
+        """An empty table of words: their numbers, and by number the ids, as one
+        array with the place where each word's begin, and the tokens."""
+        self.words, self.held = Numbers(), 0
+        self.known = {" " + t: array.array("I", [i]).tobytes() for t, i in self.added.items()}
+        self.ids, self.starts = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
+        self.shown: list[str] = []
+
+    def learn(self) -> None:
+        """Fill in the ids of the words that got a number since the last time."""
+        new, self.words.new = self.words.new, []
+        pieces = [[w] if w[0] == " " else self.pieces(w) for w in new]
+        fresh = list({p for ps in pieces for p in ps}.difference(self.known))
+        known = self.known
+        known.update(zip(fresh, self.merged(fresh)))
+        found = [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in pieces]
+        first = len(self.words) - len(new)
+        begin = int(self.starts[first])
+        more = np.frombuffer(b"".join(found), "<u4")
+        self.ids = _put(self.ids, begin, more)
+        self.starts = _put(self.starts, first + 1, begin + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4))
+        self.held += ENTRY * (len(new) + len(fresh)) + 4 * (sum(map(len, new)) + sum(map(len, fresh))) + 4 * len(more)
+
+    def show(self) -> None:
+        """Bring the words' tokens up to their ids."""
+        names, first = self.names, len(self.shown)
+        ends = self.starts[first:len(self.words) + 1].tolist()
+        ids = [names[i] for i in self.ids[ends[0]:ends[-1]].tolist()]
+        more = [" ".join(ids[a - ends[0]:b - ends[0]]) for a, b in zip(ends, ends[1:])]
+        self.shown += more
+        self.held += SHOWN * len(more) + sum(map(len, more))
 
     @staticmethod
     def normalise(text: str) -> str:
@@ -253,50 +304,47 @@ class WordBpe:
         text = unicodedata.normalize("NFC", text)
         return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def _words(self, text: str) -> list[str]:
+        """The words of a text; an added token is one that begins with a space. White space that
+        ``str.split`` takes for it and the library doesn't separates pieces only."""
+        odd = any(c in text for c in NOT_SPACE)
+        if not odd and not any(t in text for t in self.added):
+            return self.normalise(text).split()
+        words: list[str] = []
         for part in self.cut(text) if self.cut else [text]:
             if part in self.added:
-                out.append(self.added[part])
+                words.append(" " + part)
                 continue
             part = self.normalise(part)
-            for word in [part] if NOT_SPACE.search(part) else part.split():
-                out += self.words.get(word) or self._word(word)
-        return out
+            words += self.find(part) if odd else part.split()
+        return words
+
+    def encode_batch(self, texts: list[str], shown: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(ids of all texts, where each text's begin and the last ones end,
+        with ``shown`` the tokens of each text joined by a space)."""
+        if self.held > CACHED:
+            self.clear()
+        number = self.words.__getitem__
+        split = [self._words(text) for text in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(number, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        self.learn()
+        start, count = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        ids = self.ids[np.repeat(start - ends[:-1], count) + np.arange(ends[-1])]
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        tokens: list[str] = []
+        if shown:
+            self.show()
+            get = self.shown.__getitem__
+            at[count == 0] = -1
+            for a, b in zip(edges.tolist(), edges[1:].tolist()):
+                part = at[a:b]
+                tokens.append(" ".join(map(get, part[part >= 0].tolist())))
+        return ids, ends[edges], tokens
 
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        """``encode`` of each text; new words of all of them are merged together."""
-        split: list[list[str] | None] = []
-        for text in texts:
-            if any(t in text for t in self.added) or NOT_SPACE.search(text):
-                split.append(None)
-            else:
-                split.append(self.normalise(text).split())
-        every = set().union(*[ws for ws in split if ws])
-        if len(self.words) + len(every) > CACHED:
-            self.words.clear()
-        pieces = {w: self.pieces(w) for w in every.difference(self.words)}
-        fresh = {p for ps in pieces.values() for p in ps}
-        if len(self.known) + len(fresh) > CACHED:
-            self.known.clear()
-        new = [p for p in fresh.difference(self.known) if len(p.encode()) <= Forest.SIZES[-1]]
-        symbols = []
-        for p in new:
-            data = p.encode()
-            ids = [self.inner[b] for b in data]
-            ids[-1] = self.last[data[-1]]
-            symbols.append(ids)
-        self.known.update(zip(new, map(tuple, self.forest.merge(symbols))))
-        known, words = self.known, self.words
-        for w, ps in pieces.items():
-            if len(ps) == 1:
-                words[w] = known.get(ps[0]) or self._piece(ps[0])
-            else:
-                words[w] = tuple(chain.from_iterable([known.get(p) or self._piece(p) for p in ps]))
-        out = [None if ws is None else list(chain.from_iterable(map(words.__getitem__, ws))) for ws in split]
-        for w in [w for w in pieces if len(w) > LONGEST]:
-            del words[w]
-        return [self.encode(text) if ids is None else ids for text, ids in zip(texts, out)]
+    def encode(self, text: str) -> list[int]:
+        return self.encode_batch([text])[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The tokens of the ids, joined by one space, as the library gives
@@ -313,13 +361,12 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     texts have no ids. A null doc_id stays null, repeated rows are repeated.
     """
     def run(cols) -> Iterator[dict]:
-        import pyarrow as pa
         bpe = WordBpe.shared(vocabulary)
         docs, texts, held = [], [], 0
 
         def done():
-            ids = bpe.encode_batch(texts)
-            return dict(doc_id=docs, ids=pa.array(ids, pa.list_(pa.int32())), decoded=list(map(bpe.decode, ids)))
+            ids, edges, tokens = bpe.encode_batch(texts, shown=True)
+            return dict(doc_id=docs, ids=pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids.view(np.int32))), decoded=tokens)
 
         for doc, text in zip(cols["doc_id"].to_pylist(), cols["text"]):
             docs.append(doc)

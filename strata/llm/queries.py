@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their DuckDB SQL.
+"""The registered queries of the operators and their DuckDB SQL.
 
 Every query reads its whole table. Digest columns are derived here from the
 operators' texts and ids.
@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, jaccard, lines, packing, quality, rollups, substring, topk, warc
+from strata.llm import bpe, chat, differencing, interactions, jaccard, lines, merkle, packing, quality, rollups, substring, topk, warc
 from strata.llm.common import prepare
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,14 +71,29 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_differencing_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = differencing.pack(_table(spark, sf_dir, "documents"), WORD_BPE)
+    return out.select(*[F.crc32("ids").alias("ids_crc32") if c == "ids" else c for c in out.columns])
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_substring_dedup, op3_bpe_encoding, op4_chat_formatting, op5_token_counts,
-        op6_exact_topk, op7_quality_rules, op8_line_dedup, op9_warc, op10_ngram_jaccard_join)}
+        op6_exact_topk, op7_quality_rules, op8_line_dedup, op9_warc, op10_ngram_jaccard_join, op11_filter_interactions,
+        op12_differencing_packing, op13_merkle_manifest)}
 
 
 #: Packing, tokenizers and the 128-bit windows of long texts are beyond SQL, or
-#: too slow in it over whole tables: op1, op3 and op5 have none.
+#: too slow in it over whole tables: op1, op3, op5 and op12 have none.
 def oracle_sql() -> dict[str, str]:
     return {"op2_substring_dedup": substring.SQL, "op4_chat_formatting": chat.SQL, "op6_exact_topk": topk.SQL, "op7_quality_rules": quality.SQL,
-            "op8_line_dedup": lines.SQL, "op9_warc": warc.SQL, "op10_ngram_jaccard_join": jaccard.SQL}
+            "op8_line_dedup": lines.SQL, "op9_warc": warc.SQL, "op10_ngram_jaccard_join": jaccard.SQL,
+            "op11_filter_interactions": interactions.SQL, "op13_merkle_manifest": merkle.SQL}

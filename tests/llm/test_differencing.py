@@ -1,0 +1,135 @@
+"""Differencing against the library's ids, an exact partition and padding bounds."""
+
+import itertools
+import random
+import struct
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from strata.llm import differencing
+from strata.llm.common import prepare
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def library(texts):
+    t = Tokenizer.from_file(PATH)
+    t.no_padding()
+    t.no_truncation()
+    return [t.encode(x or "", add_special_tokens=False).ids + [2] for x in texts]
+
+
+def padding(sequences, capacity):
+    return sum(capacity - n for n in sequences if n & (n - 1))
+
+
+def check(spark, rows, df, capacity=4096, tile=differencing.TILE):
+    prepare(spark)
+    got = differencing.pack(df, PATH, capacity, tile=tile).collect()
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in got:
+        assert 0 < r.length == len(r.ids) // 4
+        pieces[r.doc_id].append((r.start, r.length, r.doc_tokens, r.ids))
+        windows[r.sequence_id].append((r.offset, r.length))
+    for places in windows.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    want = defaultdict(list)
+    for (doc, _), ids in zip(rows, library([t for _, t in rows])):
+        want[doc].append(ids)
+    assert set(want) == set(pieces)
+    for doc, all_ids in want.items():
+        if len(all_ids) > 1:   # rows that share a doc_id: the same tokens in all
+            assert sum(p[1] for p in pieces[doc]) == sum(map(len, all_ids))
+            continue
+        found = sorted(pieces[doc])
+        assert b"".join(p[3] for p in found) == struct.pack(f"<{len(all_ids[0])}I", *all_ids[0])
+        assert [p[0] for p in found] == [0, *itertools.accumulate(p[1] for p in found)][:-1] and {p[2] for p in found} == {len(all_ids[0])}
+    fill = [sum(n for _, n in p) for p in windows.values()]
+    return padding(fill, capacity) / max(1, sum(fill))
+
+
+@pytest.mark.parametrize("capacity, tile", [(4096, 512), (4096, 2), (128, 16)])
+def test_awkward_documents(spark, table, awkward, capacity, tile):
+    assert check(spark, awkward, table(awkward), capacity, tile) < 0.02
+
+
+def test_small_table(spark, table, documents):
+    assert check(spark, documents, table(documents)) < 0.005
+
+
+def test_empty_table(spark, table):
+    assert differencing.pack(table([]), PATH).collect() == []
+
+
+def test_the_query_has_the_crc_of_the_ids(spark):
+    from strata.llm import queries
+    out = queries.op12_differencing_packing(spark, "/root/testdata/sf0.001").collect()
+    docs = dict(map(tuple, spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()))
+    ids = dict(zip(docs, library(docs.values())))
+    for r in out:
+        part = ids[r.doc_id][r.start:r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(part)}I", *part)) and r.doc_tokens == len(ids[r.doc_id])
+
+
+def sums(sizes, window, k):
+    return np.bincount(window, weights=sizes, minlength=k)
+
+
+def slow_difference(sizes, k):
+    """Differencing on whole k-tuples, one slot after the other."""
+    parts = [([0] * (k - 1) + [s], i) for i, s in enumerate(sizes)]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (min(p[0]) - max(p[0]), p[1]))
+        (a, _), (b, j) = parts[0], parts[1]
+        parts[:2] = [(sorted(x + y for x, y in zip(sorted(a), sorted(b, reverse=True))), j)]
+    return parts[0][0]
+
+
+def test_difference_merges_opposing_imbalances():
+    rng = random.Random(5)
+    for _ in range(150):
+        k, sizes = rng.randint(1, 6), [rng.randint(1, 60) for _ in range(rng.randint(1, 25))]
+        window = differencing.difference(np.array(sizes), k)
+        assert sorted(sums(sizes, window, k)) == slow_difference(sizes, k)
+
+
+def test_balanced_bundles_small_pieces():
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(1, 30, 5000)
+    filled = sums(sizes, differencing.balanced(sizes, 20, 64), 20)
+    assert filled.max() - filled.min() <= 64
+
+
+@pytest.mark.parametrize("lengths", [[2100] * 300, [3000] * 200, [4095] * 50, [4096] * 5, [100_000] * 3, [1] * 20_000, [300], [5000, 3000, 10], []])
+def test_tiles_that_do_not_balance(lengths):
+    out = differencing.pack_tile(lengths, 4096)
+    fill = [sum(p[2] for p in s) for s in out]
+    assert sum(fill) == sum(lengths) and all(0 < f <= 4096 for f in fill) and padding(fill, 4096) <= 2 / differencing.MOST * sum(fill)
+    found = defaultdict(list)
+    for s in out:
+        for doc, start, length in s:
+            found[doc].append((start, length))
+    for doc, n in enumerate(lengths):
+        assert [a for a, _ in sorted(found[doc])] + [n] == [0, *itertools.accumulate(b for _, b in sorted(found[doc]))]
+
+
+def test_the_number_of_windows_rises():
+    """Nine pieces of 1,000 tokens need a third window, as four fill one."""
+    out = differencing.pack_tile([1000] * 8 + [96], 4096)
+    assert len(out) == 2 or sum(sum(p[2] for p in s) for s in out) == 8096
+
+
+def test_fewest_bits():
+    for low in range(1, 70):
+        for high in range(low, 140):
+            best = differencing.fewest_bits(low, high)
+            assert low <= best <= high and best.bit_count() == min(x.bit_count() for x in range(low, high + 1))

@@ -29,7 +29,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_one_query_for_every_operator():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_the_rest_works_without_the_subpackage(tmp_path):
