@@ -19,10 +19,10 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -224,6 +224,7 @@ class WordBpe:
         parts = spec["pre_tokenizer"]["pretokenizers"]
         self.find = regex.compile(next(p["pattern"]["Regex"] for p in parts if p["type"] == "Split")).findall
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
+        self.marks = NOT_SPACE + "".join({t[0] for t in self.added})
         self.clear()
 
     @classmethod
@@ -261,6 +262,8 @@ class WordBpe:
         letters before a comma or a full stop, need no pattern."""
         if word.isalpha():
             return [word]
+        if not word:   # what Arrow sees before white space at a text's beginning
+            return []
         if word[-1] in ",." and word[:-1].isalpha():
             return [word[:-1], word[-1]]
         return self.find(word)
@@ -273,20 +276,27 @@ class WordBpe:
         self.ids, self.starts = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
         self.shown: list[str] = []
 
-    def learn(self) -> None:
-        """Fill in the ids of the words that got a number since the last time."""
-        new, self.words.new = self.words.new, []
-        pieces = [[w] if w[0] == " " else self.pieces(w) for w in new]
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after the other, and how many each has."""
+        pieces = [[w] if w[:1] == " " else self.pieces(w) for w in words]
         fresh = list({p for ps in pieces for p in ps}.difference(self.known))
         known = self.known
         known.update(zip(fresh, self.merged(fresh)))
+        self.held += ENTRY * len(fresh) + 4 * sum(map(len, fresh))
         found = [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in pieces]
+        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+    def learn(self) -> None:
+        """Fill in the ids of the words that got a number since the last time."""
+        new, self.words.new = self.words.new, []
+        if not new:
+            return
+        ids, counts = self.ids_of(new)
         first = len(self.words) - len(new)
         begin = int(self.starts[first])
-        more = np.frombuffer(b"".join(found), "<u4")
-        self.ids = _put(self.ids, begin, more)
-        self.starts = _put(self.starts, first + 1, begin + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4))
-        self.held += ENTRY * (len(new) + len(fresh)) + 4 * (sum(map(len, new)) + sum(map(len, fresh))) + 4 * len(more)
+        self.ids = _put(self.ids, begin, ids)
+        self.starts = _put(self.starts, first + 1, begin + np.cumsum(counts))
+        self.held += ENTRY * len(new) + 4 * sum(map(len, new)) + 4 * len(ids)
 
     def show(self) -> None:
         """Bring the words' tokens up to their ids."""
@@ -304,12 +314,14 @@ class WordBpe:
         text = unicodedata.normalize("NFC", text)
         return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
 
-    def _words(self, text: str) -> list[str]:
-        """The words of a text; an added token is one that begins with a space. White space that
-        ``str.split`` takes for it and the library doesn't separates pieces only."""
+    def _is_odd(self, text: str) -> bool:
+        return any(c in text for c in NOT_SPACE) or any(t in text for t in self.added)
+
+    def _odd_words(self, text: str) -> list[str]:
+        """The words of a text with an added token, which is one that begins with a
+        space, or with white space that ``str.split`` takes for it and the
+        library doesn't, which separates pieces only."""
         odd = any(c in text for c in NOT_SPACE)
-        if not odd and not any(t in text for t in self.added):
-            return self.normalise(text).split()
         words: list[str] = []
         for part in self.cut(text) if self.cut else [text]:
             if part in self.added:
@@ -324,10 +336,17 @@ class WordBpe:
         with ``shown`` the tokens of each text joined by a space)."""
         if self.held > CACHED:
             self.clear()
-        number = self.words.__getitem__
-        split = [self._words(text) for text in texts]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(number, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        # Arrow splits at the same white space as ``str.split`` and numbers the words
+        # of the batch, so only different ones are looked up in the table.
+        odd = {i: self._odd_words(t) for i, t in enumerate(texts) if any(c in t for c in self.marks) and self._is_odd(t)}
+        split = pc.utf8_split_whitespace(pa.array(["" if i in odd else self.normalise(t) for i, t in enumerate(texts)], pa.large_string()))
+        sizes, words = np.diff(split.offsets.to_numpy()).astype(np.int64), split.flatten()
+        if odd:
+            lists = [odd.get(i) for i in range(len(texts))]
+            sizes = np.array([len(x) if x is not None else n for x, n in zip(lists, sizes)], np.int64)
+            words = pa.concat_arrays([pa.array(x, words.type) if x is not None else y.values for x, y in zip(lists, split)])
+        words = words.dictionary_encode()
+        at = np.fromiter(map(self.words.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)), np.int64, len(words.dictionary))[words.indices.to_numpy()]
         self.learn()
         start, count = self.starts[at], self.starts[at + 1] - self.starts[at]
         ends = np.concatenate([[0], np.cumsum(count)])
@@ -372,7 +391,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
             docs.append(doc)
             texts.append(text.as_py() or "")
             held += len(texts[-1])
-            if held > 1_000_000:
+            if held > 4_000_000:
                 yield done()
                 docs, texts, held = [], [], 0
         yield done()

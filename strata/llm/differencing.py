@@ -19,6 +19,7 @@ such lengths.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
 import struct
@@ -61,7 +62,7 @@ def encode(docs: DataFrame, tokenizer: str, end: int = 2) -> DataFrame:
             group.append(doc)
             texts.append(text.as_py() or "")
             held += len(texts[-1])
-            if held > 1_000_000:
+            if held > 4_000_000:
                 yield done(group, texts)
                 held, group, texts = 0, [], []
         yield done(group, texts)
@@ -72,40 +73,41 @@ def encode(docs: DataFrame, tokenizer: str, end: int = 2) -> DataFrame:
 def difference(sizes: np.ndarray, k: int) -> np.ndarray:
     """The window, from 0 to ``k`` - 1, of each size by k-way differencing.
 
-    A partition keeps its filled windows only, the fullest first, and a node
-    for each: an item, or two nodes put into one window by a merge.
+    A partition keeps its filled windows only, the emptiest first, as (fill,
+    node): a node is an item, or two nodes put into one window by a merge.
     """
     n = len(sizes)
-    parts = {i: (sizes[i:i + 1].astype(np.int64), np.array([i])) for i in range(n)}
-    spread = sizes if k > 1 else np.zeros(n, np.int64)
-    heap = [(-int(s), i) for i, s in enumerate(spread)]
+    parts: list = [[(s, i)] for i, s in enumerate(sizes.tolist())]
+    heap = [(-p[0][0] if k > 1 else 0, i) for i, p in enumerate(parts)]
     heapq.heapify(heap)
-    joined, nodes = [], n
+    joined: list[tuple[int, int]] = []
     while len(heap) > 1:
-        _, i = heapq.heappop(heap)
-        _, j = heapq.heappop(heap)
-        (a, a_node), (b, b_node) = parts.pop(i), parts[j]
+        i, j = heapq.heappop(heap)[1], heapq.heappop(heap)[1]
+        a, b = parts[i], parts[j]
+        parts[i] = None
         both = len(a) + len(b) - k   # windows that are filled in both
         if both > 0:
-            first = k - len(b)
-            b, b_node = b[::-1], b_node[::-1]
-            a, a_node = a.copy(), a_node.copy()
-            a[first:] += b[:both]
-            joined.append((nodes, a_node[first:].copy(), b_node[:both]))
-            a_node[first:] = np.arange(nodes, nodes + both)
-            nodes += both
-            b, b_node = b[both:], b_node[both:]
-        a, a_node = np.concatenate([a, b]), np.concatenate([a_node, b_node])
-        order = np.argsort(-a, kind="stable")
-        a = a[order]
-        parts[j] = a, a_node[order]
-        heapq.heappush(heap, (int((a[-1] if len(a) == k else 0) - a[0]), j))
-    window = np.zeros(nodes, np.int64)
-    last = parts[heap[0][1]][1]
-    window[last] = np.arange(len(last))
-    for new, left, right in reversed(joined):
-        window[left] = window[right] = window[new:new + len(left)]
-    return window[:n]
+            met = []
+            for (x, left), (y, right) in zip(a[both - 1::-1], b):
+                met.append((x + y, n + len(joined)))
+                joined.append((left, right))
+            a, b = a[both:], b[both:] + met
+        if len(b) == 1:
+            bisect.insort(a, b[0])
+        elif len(a) == 1:
+            bisect.insort(b, a[0])
+            a = b
+        else:
+            a = sorted(a + b)
+        parts[j] = a
+        heapq.heappush(heap, ((a[0][0] if len(a) == k else 0) - a[-1][0], j))
+    window = [0] * (n + len(joined))
+    for w, (_, node) in enumerate(parts[heap[0][1]]):
+        window[node] = w
+    for at in range(len(joined) - 1, -1, -1):
+        left, right = joined[at]
+        window[left] = window[right] = window[n + at]
+    return np.array(window[:n], np.int64)
 
 
 def balanced(sizes: np.ndarray, k: int, least: int) -> np.ndarray:

@@ -5,7 +5,7 @@ import random
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from strata.llm import bpe
+from strata.llm import bpe, wordids
 from strata.llm.common import prepare
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -67,3 +67,12 @@ def test_a_full_cache_starts_anew(monkeypatch):
     coder = bpe.WordBpe(PATH)
     texts = ["one two three four five six seven eight nine ten one two"] * 2
     assert [coder.encode(t) for t in texts] == [i for i, _ in library(texts)]
+
+
+def test_word_ids_equal_the_library(awkward, documents):
+    texts = ODD + [t or "" for _, t in awkward + documents]
+    for coder in (wordids.WordIds(PATH), bpe.WordBpe(PATH)):
+        ids, edges, _ = coder.encode_batch(texts)
+        assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [i for i, _ in library(texts)]
+        assert coder.encode_batch([])[0].tolist() == [] and coder.encode_batch([""])[1].tolist() == [0, 0]
+    assert wordids.WordIds(PATH).coder is not None
