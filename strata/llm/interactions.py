@@ -70,10 +70,10 @@ def failures(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     rows = scratch.save(masks(docs), "masks")
     known = rows.where("doc_id is not null").groupBy("doc_id", "part", "copy", "mask").agg(F.count("*").alias("n")).join(marks, "doc_id", "left")
     label = [F.coalesce(c, F.lit(0)).alias(c) for c in ("good", "toxic")]
-    texts = known.groupBy("copy", "mask", "part", *label).agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "n")).alias("first"))
+    texts = known.groupBy("copy", "mask", "part", *label).agg(F.sum("n").alias("n"), F.min("doc_id").alias("first"), F.min_by("n", "doc_id").alias("n_first"))
     texts = scratch.save(texts, "texts")
-    least = texts.groupBy("copy").agg(F.min("first.doc_id").alias("least"))
-    earliest = F.when(F.col("first.doc_id") == F.col("least"), F.col("first.n")).otherwise(0)
+    least = texts.groupBy("copy").agg(F.min("first").alias("least"))
+    earliest = F.when(F.col("first") == F.col("least"), F.col("n_first")).otherwise(0)
     sides = F.array(F.struct(F.col("mask").alias("failed"), earliest.alias("rows")),
                     F.struct((F.col("mask") + (1 << COPY)).alias("failed"), (F.col("n") - earliest).alias("rows")))
     found = texts.join(least, "copy").select("part", "good", "toxic", F.inline(sides))
