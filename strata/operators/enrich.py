@@ -69,6 +69,48 @@ def enrich(candidates: DataFrame, changesets: DataFrame, lexicon: str = "full",
                              comment_signal(F.col("cs_comment"), lexicon, unicode_case))
 
 
-def keep_signals(enriched: DataFrame) -> DataFrame:
+#: Changeset columns of a candidate and what the columns of their changeset begin with.
+ROLES = {"last_changeset": "", "deletion_changeset": "deletion_"}
+
+
+def needed_by_roles(candidates: DataFrame, roles: dict[str, str] = ROLES) -> DataFrame:
+    """Distinct changeset ids (``cs_id``) that any role of a candidate names."""
+    return (candidates.select(F.explode(F.array(*roles)).alias("cs_id"))
+                      .filter(F.col("cs_id").isNotNull()).distinct())
+
+
+def enrich_roles(candidates: DataFrame, changesets: DataFrame, roles: dict[str, str] = ROLES,
+                 lexicon: str = "full", unicode_case: bool | None = None,
+                 needed_ids: DataFrame | None = None) -> DataFrame:
+    """``enrich`` for several changesets of a candidate at once: for every role
+    its ``<prefix>cs_*`` columns and ``<prefix>comment_signal``.
+
+    The ids of all roles are unpivoted into one narrow column, so the changeset
+    table is scanned and cut down once; what is found is pivoted back to one row
+    per (type, id) before the candidates are joined. One row comes out per
+    candidate: of changesets under one id the smallest by all columns counts.
+    A role without a changeset row keeps NULLs and is ``neutral``.
+    ``candidates`` is read three times, so it should be a stored table.
+    """
+    missing = [c for c in roles if c not in candidates.columns]
+    if missing:
+        raise ValueError(f"candidates lack {', '.join(missing)} (extract with the deletion's changeset)")
+    ids = needed_by_roles(candidates, roles) if needed_ids is None else needed_ids
+    lookup = changeset_lookup(changesets, ids)
+    fields = [c for c in lookup.columns if c != "cs_id"]
+    named = candidates.select("type", "id", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("role"), F.col(c).alias("cs_id")) for c in roles])).alias("one")).select("type", "id", "one.*")
+    found = named.join(lookup, "cs_id").groupBy("type", "id").agg(*[
+        F.min(F.when(F.col("role") == c, F.struct(*fields))).alias(f"_{c}") for c in roles])
+    mine, theirs = candidates.alias("c"), found.alias("f")
+    joined = mine.join(theirs, (F.col("c.type") == F.col("f.type")) & (F.col("c.id") == F.col("f.id")), "left")
+    out = []
+    for column, prefix in roles.items():
+        out += [F.col(f"f._{column}.{name}").alias(prefix + name) for name in fields]
+        out.append(comment_signal(F.col(f"f._{column}.cs_comment"), lexicon, unicode_case).alias(f"{prefix}comment_signal"))
+    return joined.select("c.*", *out)
+
+
+def keep_signals(enriched: DataFrame, signal_col: str = "comment_signal") -> DataFrame:
     """Drop ``exclude`` rows; ``strong`` and ``neutral`` stay."""
-    return enriched.filter(F.col("comment_signal") != "exclude")
+    return enriched.filter(F.col(signal_col) != "exclude")

@@ -6,21 +6,73 @@ says which.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.scratch import Scratch
 
+Box = tuple[float, float, float, float]
+
+
+def longitudes(box: Box) -> list[tuple[float, float]]:
+    """The longitude ranges of a box: two where it goes over 180 degrees."""
+    west, _, east, _ = box
+    return [(west, east)] if west <= east else [(west, 180.0), (-180.0, east)]
+
 
 def crop_bbox(df: DataFrame, bbox: tuple[float, float, float, float] | None) -> DataFrame:
     """Keep rows whose last visible position lies in ``(min_lon, min_lat,
     max_lon, max_lat)`` (inclusive). ``None`` = the whole planet. Rows
-    without a position (ways, never-visible objects) fall outside."""
+    without a position (ways, never-visible objects) fall outside. A box
+    whose ``min_lon`` is the larger one goes over 180 degrees."""
     if bbox is None:
         return df
-    min_lon, min_lat, max_lon, max_lat = bbox
-    return df.filter(F.col("last_lon").between(min_lon, max_lon)
-                     & F.col("last_lat").between(min_lat, max_lat))
+    inside = F.lit(False)
+    for west, east in longitudes(bbox):
+        inside = inside | F.col("last_lon").between(west, east)
+    return df.filter(inside & F.col("last_lat").between(bbox[1], bbox[3]))
+
+
+def way_envelopes(resolved: DataFrame) -> DataFrame:
+    """(way_id, west, south, east, north) of the positions in ``resolve_ways``
+    output; ways without any position have no row.
+
+    ``west`` > ``east`` says that the envelope goes over 180 degrees: of the two
+    ways round the globe the narrower one counts. The four numbers and the
+    shifted longitudes merge partially before the shuffle.
+    """
+    known = resolved.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    turned = F.when(F.col("lon") < 0, F.col("lon") + 360).otherwise(F.col("lon"))
+    ends = known.groupBy("way_id").agg(
+        F.min("lon").alias("w"), F.max("lon").alias("e"), F.min("lat").alias("south"), F.max("lat").alias("north"),
+        F.max(F.when(F.col("lon") < 0, F.col("lon"))).alias("e_turned"), F.min(F.when(F.col("lon") >= 0, F.col("lon"))).alias("w_turned"),
+        (F.max(turned) - F.min(turned)).alias("width"))
+    over = F.coalesce(F.col("width") < F.col("e") - F.col("w"), F.lit(False)) & F.col("e_turned").isNotNull() & F.col("w_turned").isNotNull()
+    return ends.select("way_id", F.when(over, F.col("w_turned")).otherwise(F.col("w")).alias("west"), "south",
+                       F.when(over, F.col("e_turned")).otherwise(F.col("e")).alias("east"), "north")
+
+
+def crop_objects(candidates: DataFrame, history: DataFrame, bbox: Box | None,
+                 scratch: Scratch | None = None) -> DataFrame:
+    """``candidates`` with ``crop``: ``inside`` the box, ``outside`` it, or
+    ``nowhere`` (no position at all). Nodes are judged by their last visible
+    position, ways by whether the envelope of their nodes' positions, as of the
+    way's last visible version, meets the box. ``None`` = the whole planet:
+    everything is inside. ``candidates`` should be a stored table."""
+    if bbox is None:
+        return candidates.withColumn("crop", F.lit("inside"))
+    envelopes = way_envelopes(resolve_ways(candidates, history, scratch=scratch)).alias("w")
+    c = candidates.alias("c")
+    of_node = F.col("c.last_lon").isNotNull() & F.col("c.last_lat").isNotNull()
+    west, east = F.coalesce("c.last_lon", "w.west"), F.coalesce("c.last_lon", "w.east")
+    south, north = F.coalesce("c.last_lat", "w.south"), F.coalesce("c.last_lat", "w.north")
+    meets = F.lit(False)
+    for low, high in longitudes(bbox):
+        plain = (west <= high) & (east >= low)
+        meets = meets | F.when(west <= east, plain).otherwise((west <= high) | (east >= low))
+    meets = meets & (south <= bbox[3]) & (north >= bbox[1])
+    where = F.when(~of_node & F.col("w.way_id").isNull(), "nowhere").when(meets, "inside").otherwise("outside")
+    return c.join(envelopes, (F.col("c.type") == "way") & (F.col("c.id") == F.col("w.way_id")), "left").select("c.*", where.alias("crop"))
 
 
 def with_archive_dates(df: DataFrame) -> DataFrame:
@@ -146,3 +198,58 @@ def way_linestrings(resolved: DataFrame) -> DataFrame:
                F.to_json(F.struct(F.lit("LineString").alias("type"),
                                   F.transform("pts", lambda p: p["xy"]).alias("coordinates"))))
          .alias("geometry"))
+
+
+# Ours: closed ways with one of these keys are lines unless they say area=yes.
+LINEAR_KEYS = ["highway", "barrier", "railway", "waterway"]
+
+
+def is_area(tags: Column) -> Column:
+    """If a closed way with these tags is an area (our definition)."""
+    linear = F.exists(F.map_keys(tags), lambda k: k.isin(LINEAR_KEYS))
+    return F.coalesce(tags["area"] == "yes", F.lit(False)) | (~F.coalesce(linear, F.lit(False)) & F.coalesce(tags["area"] != "no", F.lit(True)))
+
+
+def way_geometries(resolved: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(way_id, n_refs, n_resolved, geometry_type, n_parts, geometry) of every
+    way with node refs in ``resolve_ways`` output; no line skips a vertex.
+
+    Consecutive resolved vertices make a run, and a run of two or more is a
+    line: one is a LineString, several (gaps between them) a MultiLineString,
+    none leaves the geometry NULL. A way of four refs or more that ends where
+    it begins, without a gap, is a Polygon if ``is_area`` takes its ``good_tags`` for
+    an area. A way's node list is bounded by the data format (at most 2000
+    refs in OSM), so gathering it is safe.
+    """
+    per_way = resolved.groupBy("way_id").agg(F.array_sort(F.collect_list(F.struct("pos", "ref", "lon", "lat"))).alias("refs"))
+    known = F.filter("refs", lambda r: r["lon"].isNotNull() & r["lat"].isNotNull())
+    # vertices of one run keep their distance from their number among the resolved ones
+    placed = F.transform(F.col("known"), lambda r, i: F.struct((r["pos"] - i).alias("run"), F.array(r["lon"], r["lat"]).alias("xy")))
+    runs = F.transform(F.array_distinct(F.transform("placed", lambda p: p["run"])),
+                       lambda n: F.transform(F.filter("placed", lambda p: p["run"] == n), lambda p: p["xy"]))
+    out = per_way.withColumn("known", known).withColumn("placed", placed).withColumn("lines", F.filter(runs, lambda x: F.size(x) >= 2))
+    tags = candidates.filter(F.col("type") == "way").select(F.col("id").alias("way_id"), is_area(F.col("good_tags")).alias("area"))
+    out = out.join(tags, "way_id", "left")
+    n = F.size("refs")
+    closed = (n >= 4) & (F.size("known") == n) & (F.element_at("refs", 1)["ref"] == F.element_at("refs", -1)["ref"])
+    kind = (F.when(F.size("lines") == 0, None).when(closed & F.coalesce("area", F.lit(False)), "Polygon")
+             .when(F.size("lines") == 1, "LineString").otherwise("MultiLineString"))
+    out = out.withColumn("geometry_type", kind)
+    text = lambda shape: F.to_json(F.struct(F.col("geometry_type").alias("type"), shape.alias("coordinates")))
+    geometry = F.when(F.col("geometry_type") == "LineString", text(F.col("lines")[0])).when(F.col("geometry_type").isNotNull(), text(F.col("lines")))
+    return out.select("way_id", n.cast("long").alias("n_refs"), F.size("known").cast("long").alias("n_resolved"), "geometry_type",
+                      F.size("lines").cast("long").alias("n_parts"), geometry.alias("geometry"))
+
+
+def stratified_sample(df: DataFrame, k: int, strata: list[str], seed: int = 7) -> DataFrame:
+    """``k`` rows of every stratum for review, those with the smallest hash of
+    (type, id), the same under any partitioning.
+
+    Each task keeps the ``k`` smallest of its rows per stratum before anything
+    is shuffled (a rank filtered by a literal is such a partial limit), so a
+    stratum with most rows costs ``k`` rows per task.
+    """
+    order = Window.partitionBy(*strata).orderBy("sample_key", "type", "id")
+    return (df.withColumn("sample_key", F.xxhash64(F.lit(seed), "type", "id"))
+              .withColumn("sample_rank", F.row_number().over(order))
+              .filter(F.col("sample_rank") <= k))

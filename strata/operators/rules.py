@@ -17,13 +17,13 @@ import json
 from dataclasses import dataclass, field
 from importlib import resources
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.tags import has_any_key
 from strata.schema import CANDIDATE_COLUMNS
 from strata.operators.lifecycle import attach_payload, lifecycle_scalar, prepare_history
-from strata.operators.extras import crop_bbox
+from strata.operators.extras import crop_bbox, crop_objects
 from strata.operators.sampling import sample_objects
 from strata.scratch import Scratch
 
@@ -141,6 +141,33 @@ def compile_rules(rules: Rules, only=None, skip=()) -> Column:
     return out
 
 
+def funnel_counts(rules: Rules, only=None, skip=()) -> list[Column]:
+    """Aggregates that say what each rule rejects (a rule that is NULL rejects
+    too): ``<rule>`` all rows that fail it, ``<rule>:alone`` those that fail no
+    other one, ``<rule>:after`` those that the rules before it let through. A
+    row's failures are one bit per rule; only the counts are kept."""
+    names = [n for n in rule_predicates(rules) if (only is None or n in only) and n not in skip]
+    preds = rule_predicates(rules)
+    bits = F.lit(0)
+    for i, n in enumerate(names):
+        bits = bits + F.when(preds[n], 0).otherwise(1 << i)
+    out = [F.count(F.lit(1)).alias("rows"), F.count_if(bits == 0).alias("kept")]
+    for i, n in enumerate(names):
+        out += [F.count_if(bits.bitwiseAND(F.lit(1 << i)) != 0).alias(n), F.count_if(bits == 1 << i).alias(f"{n}:alone"),
+                F.count_if(bits.bitwiseAND(F.lit((1 << i + 1) - 1)) == 1 << i).alias(f"{n}:after")]
+    return out
+
+
+def rule_funnel(objects: DataFrame, rules: Rules, only=None, skip=()) -> DataFrame:
+    """(step, rule, rejects, alone, after) over lifecycle rows: one aggregate of
+    their failure patterns, partial before the shuffle, then one row per rule."""
+    names = [n for n in rule_predicates(rules) if (only is None or n in only) and n not in skip]
+    counts = objects.agg(*funnel_counts(rules, only, skip))
+    rows = [F.struct(F.lit(i + 1).alias("step"), F.lit(n).alias("rule"), F.col(f"`{n}`").alias("rejects"),
+                     F.col(f"`{n}:alone`").alias("alone"), F.col(f"`{n}:after`").alias("after")) for i, n in enumerate(names)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def project_candidates(base: DataFrame, extra: list[str] | None = None) -> DataFrame:
     return (base.withColumn("lifetime_days", lifetime_days())
                 .withColumn("age_at_deletion_days", age_at_deletion_days())
@@ -148,31 +175,42 @@ def project_candidates(base: DataFrame, extra: list[str] | None = None) -> DataF
 
 
 def survivors_of_scalar_rules(history: DataFrame, rules: Rules,
-                              deletion_changeset: bool = False) -> DataFrame:
-    """Hash-aggregated lifecycle rows passing every rule that needs no payload."""
-    return (lifecycle_scalar(history, deletion_changeset)
-            .filter(compile_rules(rules, skip=PAYLOAD_RULES)))
+                              deletion_changeset: bool = False, funnel: Observation | None = None) -> DataFrame:
+    """Hash-aggregated lifecycle rows passing every rule that needs no payload.
+    ``funnel`` observes what each of these rules rejects in the same pass."""
+    objects = lifecycle_scalar(history, deletion_changeset)
+    if funnel is not None:
+        objects = objects.observe(funnel, *funnel_counts(rules, skip=PAYLOAD_RULES))
+    return objects.filter(compile_rules(rules, skip=PAYLOAD_RULES))
 
 
 def extract_candidates(history: DataFrame, rules: Rules, sample_rate: float = 1.0,
                        dedupe: bool = False, deletion_changeset: bool = False,
-                       scratch: Scratch | None = None) -> DataFrame:
+                       scratch: Scratch | None = None, funnel: tuple[Observation, Observation] | None = None,
+                       crop_ways: bool = False) -> DataFrame:
     """Version history -> deleted objects worth keeping (17 columns).
 
     The rules that need numbers only run on the narrow aggregate. Its few
     survivors are written to ``scratch`` (this part runs at once), and only
     they are joined to the tags and node refs, which the remaining rules judge.
     The same plan runs at every size; Spark picks the join from the
-    survivors' file size.
+    survivors' file size. ``funnel`` observes the rules of both halves. A box in
+    the rules keeps nodes inside it; with ``crop_ways`` ways that meet it too.
     """
     h = prepare_history(history, dedupe=dedupe)
     h = sample_objects(h, sample_rate)
     h = h.filter(F.col("type").isin(list(rules.object_types)))
     scratch = scratch or Scratch(h.sparkSession, "extract")
-    survivors = scratch.save(survivors_of_scalar_rules(h, rules, deletion_changeset), "survivors")
-    base = attach_payload(survivors, h).filter(compile_rules(rules, only=PAYLOAD_RULES))
+    survivors = scratch.save(survivors_of_scalar_rules(h, rules, deletion_changeset, funnel and funnel[0]), "survivors")
+    base = attach_payload(survivors, h)
+    if funnel:
+        base = base.observe(funnel[1], *funnel_counts(rules, only=PAYLOAD_RULES))
+    base = base.filter(compile_rules(rules, only=PAYLOAD_RULES))
     out = project_candidates(base, ["deletion_changeset"] if deletion_changeset else None)
     # optional crop (documented for the rule file, never shipped): a bbox
     # [min_lon, min_lat, max_lon, max_lat] on the last visible position
     bbox = rules.extra.get("bbox")
+    if bbox and crop_ways:
+        whole = scratch.save(out, "uncropped")
+        return crop_objects(whole, prepare_history(history, dedupe=dedupe), tuple(bbox), scratch).filter("crop = 'inside'").drop("crop")
     return crop_bbox(out, tuple(bbox)) if bbox else out

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from strata.operators import enrich as E
 from strata.operators import extras as X
 from strata.operators import reports as R
+from strata.operators.lifecycle import prepare_history
 from strata.operators.rules import Rules, extract_candidates, load_rules
 from strata.schema import ENRICHED
 from strata.scratch import Scratch
@@ -57,25 +58,41 @@ def _size(spark: SparkSession, job: str, *inputs: DataFrame) -> None:
 
 def run_extract(spark: SparkSession, history: DataFrame, rules: Rules, output_uri: str,
                 sample_rate: float = 1.0, dedupe: bool = False, review_rows: int = 0,
-                deletion_changeset: bool = False) -> dict:
+                deletion_changeset: bool = False, crop_ways: bool = False, review_strata: int = 0) -> dict:
     """History -> candidates written partitioned by type; returns metrics.
 
     A bbox in the rules crops to positions inside it; ``dropped_by_crop`` says
     how many candidates that cost (ways among them: they have no position).
-    ``review_rows`` writes that many rows for manual review beside the output.
+    With ``crop_ways`` ways whose envelope meets the box stay, ``outside_crop`` are
+    those elsewhere and ``dropped_by_crop`` those without any position.
+    ``review_rows`` writes that many rows for manual review beside the output,
+    ``review_strata`` as many of each type. What each rule rejects is logged;
+    it is counted in the passes that apply the rules.
     """
     _size(spark, "extract", history)
     scratch = Scratch(spark, "extract")
     bbox = rules.extra.get("bbox")
-    whole = extract_candidates(history, rules.replace(bbox=None), sample_rate=sample_rate,
-                               dedupe=dedupe, deletion_changeset=deletion_changeset, scratch=scratch)
-    whole, before = R.observe_counts(whole, "extract_whole")
-    observed, obs = R.observe_counts(X.crop_bbox(whole, tuple(bbox) if bbox else None), "extract")
-    write_candidates(observed, output_uri)
-    metrics = dict(obs.get) | {"dropped_by_crop": before.get["rows"] - obs.get["rows"]}
+    funnel = Observation("scalar_rules"), Observation("payload_rules")
+    whole = extract_candidates(history, rules.replace(bbox=None), sample_rate=sample_rate, dedupe=dedupe,
+                               deletion_changeset=deletion_changeset, scratch=scratch, funnel=funnel)
+    if bbox and crop_ways:
+        whole = scratch.save(whole, "uncropped")
+        judged = scratch.save(X.crop_objects(whole, prepare_history(history, dedupe=dedupe), tuple(bbox), scratch), "cropped")
+        lost = {r["crop"]: r["n"] for r in judged.groupBy("crop").agg(F.count(F.lit(1)).alias("n")).collect()}   # three rows
+        observed, obs = R.observe_counts(judged.filter("crop = 'inside'").drop("crop"), "extract")
+        write_candidates(observed, output_uri)
+        metrics = dict(obs.get) | {"dropped_by_crop": lost.get("nowhere", 0), "outside_crop": lost.get("outside", 0)}
+    else:
+        whole, before = R.observe_counts(whole, "extract_whole")
+        observed, obs = R.observe_counts(X.crop_bbox(whole, tuple(bbox) if bbox else None), "extract")
+        write_candidates(observed, output_uri)
+        metrics = dict(obs.get) | {"dropped_by_crop": before.get["rows"] - obs.get["rows"]}
     scratch.close()
-    if review_rows:
-        review = X.review_sample(read_candidates(spark, output_uri), review_rows)
+    for part in funnel:
+        _log("extract", f"{part._name}: {json.dumps(part.get)}")
+    if review_rows or review_strata:
+        rows = read_candidates(spark, output_uri)
+        review = X.stratified_sample(rows, review_strata, ["type"]) if review_strata else X.review_sample(rows, review_rows)
         write_parquet(review, f"{output_uri.rstrip('/')}_review")
     _log("extract", f"wrote {output_uri}: {json.dumps(metrics)}")
     return metrics
@@ -83,24 +100,35 @@ def run_extract(spark: SparkSession, history: DataFrame, rules: Rules, output_ur
 
 # ---------------------------------------------------------------- B2
 
-def _enriched(spark: SparkSession, candidates: DataFrame, changesets: DataFrame, lexicon: str,
-              scratch: Scratch) -> tuple[DataFrame, Observation, int]:
+def _enriched(spark: SparkSession, candidates: DataFrame, changesets: DataFrame, lexicon: str, scratch: Scratch,
+              dedupe: bool = False, unicode_case: bool | None = None, deletion: bool = False) -> tuple[DataFrame, Observation, int]:
     """Enriched rows with an observer of them, and the number of different
     changesets that the candidates name."""
-    ids = scratch.save(E.needed_changesets(candidates), "ids")
-    enriched = E.enrich(candidates, changesets, lexicon=lexicon, needed_ids=ids)
+    if deletion:
+        ids = scratch.save(E.needed_by_roles(candidates), "ids")
+        enriched = E.enrich_roles(candidates, changesets, lexicon=lexicon, unicode_case=unicode_case, needed_ids=ids)
+    else:
+        ids = scratch.save(E.needed_changesets(candidates), "ids")
+        enriched = E.enrich(candidates, changesets, lexicon=lexicon, unicode_case=unicode_case, dedupe=dedupe, needed_ids=ids)
     return *_signal_observer(enriched, "signals"), ids.count()
 
 
 def run_enrich(spark: SparkSession, candidates: DataFrame, changesets: DataFrame,
-               output_uri: str, lexicon: str = "full", show: bool = True) -> dict:
+               output_uri: str, lexicon: str = "full", show: bool = True, dedupe: bool = False,
+               unicode_case: bool | None = None, deletion: bool = False, keep_by: str = "comment_signal") -> dict:
     """Candidates + changesets -> non-excluded rows written partitioned by
     type; candidates loaded, different changesets, and signal counts before
-    and after the filter from the same pass."""
+    and after the filter from the same pass.
+
+    ``deletion`` adds the changeset that deleted the object and its signal, for
+    candidates extracted with it; ``keep_by`` names the signal that decides.
+    ``dedupe`` takes one row of a changeset that is stored twice (``deletion``
+    always does).
+    """
     _size(spark, "enrich", candidates, changesets)
     scratch = Scratch(spark, "enrich")
-    enriched, before, ids = _enriched(spark, candidates, changesets, lexicon, scratch)
-    kept, after = _signal_observer(E.keep_signals(enriched), "signals_after")
+    enriched, before, ids = _enriched(spark, candidates, changesets, lexicon, scratch, dedupe, unicode_case, deletion)
+    kept, after = _signal_observer(E.keep_signals(enriched, keep_by), "signals_after")
     write_candidates(kept, output_uri)
     metrics = {"candidates": before.get["rows"], "unique_changesets": ids,
                "before": dict(before.get), "after": dict(after.get)}
@@ -118,12 +146,13 @@ def run_enrich(spark: SparkSession, candidates: DataFrame, changesets: DataFrame
 # ---------------------------------------------------------------- B3
 
 def run_enrich_keep_all(spark: SparkSession, candidates: DataFrame, changesets: DataFrame,
-                        output_uri: str, lexicon: str = "short", show: bool = True) -> dict:
+                        output_uri: str, lexicon: str = "short", show: bool = True, dedupe: bool = False,
+                        unicode_case: bool | None = None, deletion: bool = False) -> dict:
     """Every candidate with its changeset fields and signal (nothing
-    dropped), one unpartitioned Parquet table."""
+    dropped), one unpartitioned Parquet table. Options as of ``run_enrich``."""
     _size(spark, "enrich-all", candidates, changesets)
     scratch = Scratch(spark, "enrich-all")
-    enriched, obs, ids = _enriched(spark, candidates, changesets, lexicon, scratch)
+    enriched, obs, ids = _enriched(spark, candidates, changesets, lexicon, scratch, dedupe, unicode_case, deletion)
     write_parquet(enriched, output_uri)
     metrics = dict(obs.get) | {"unique_changesets": ids}
     scratch.close()
@@ -136,10 +165,11 @@ def run_enrich_keep_all(spark: SparkSession, candidates: DataFrame, changesets:
 # ---------------------------------------------------------------- B4
 
 def run_export_geo(spark: SparkSession, rows: DataFrame, output_base: str, collection: bool = False,
-                   archive_dates: bool = False, history: DataFrame | None = None) -> dict:
+                   archive_dates: bool = False, history: DataFrame | None = None, way_geometries: bool = False) -> dict:
     """Candidates or enriched rows -> ``<base>.geojson`` (features) and
     ``<base>.geoparquet`` (node points). ``archive_dates`` adds start_date and
-    end_date; with ``history``, the ways' lines go to ``<base>.ways``."""
+    end_date; with ``history``, the ways' lines go to ``<base>.ways``, or with
+    ``way_geometries`` their lines and polygons, broken where a vertex is not known."""
     _size(spark, "to_geo", rows)
     if archive_dates:
         rows = X.with_archive_dates(rows)
@@ -151,7 +181,8 @@ def run_export_geo(spark: SparkSession, rows: DataFrame, output_base: str, colle
     counts["geoparquet_files"] = len(files)
     if history is not None:
         scratch = Scratch(spark, "ways")
-        lines = X.way_linestrings(X.resolve_ways(rows, history, scratch=scratch))
+        resolved = scratch.save(X.resolve_ways(rows, history, scratch=scratch), "resolved")
+        lines = X.way_geometries(resolved, rows) if way_geometries else X.way_linestrings(resolved)
         lines, seen = R.observe_rows(lines, "ways")
         write_parquet(lines, f"{output_base}.ways")
         counts["way_lines"] = seen.get["rows"]
@@ -186,6 +217,8 @@ def main(argv=None) -> int:
     x.add_argument("--review_rows", type=int, default=0)
     x.add_argument("--deletion_changeset", action="store_true")
     x.add_argument("--dedupe", action="store_true", help="keep one row of a version stored twice")
+    x.add_argument("--crop_ways", action="store_true", help="a bbox keeps the ways that meet it")
+    x.add_argument("--review_strata", type=int, default=0, help="rows of each type for manual review")
     e = sub.add_parser("enrich")
     e.add_argument("--candidates_uri", required=True)
     e.add_argument("--changesets_uri", required=True)
@@ -196,12 +229,18 @@ def main(argv=None) -> int:
     a.add_argument("--changesets_uri", required=True)
     a.add_argument("--output", required=True)
     a.add_argument("--format", default="orc", choices=["orc", "parquet"])
+    for job in (e, a):
+        job.add_argument("--dedupe", action="store_true", help="take one row of a changeset stored twice")
+        job.add_argument("--deletion", action="store_true", help="add the changeset that deleted the object")
+        job.add_argument("--unicode_case", action=argparse.BooleanOptionalAction, help="fold case beyond ASCII")
+    e.add_argument("--keep_by", default="comment_signal", choices=["comment_signal", "deletion_comment_signal"])
     g = sub.add_parser("export-geo")
     g.add_argument("--input", required=True)
     g.add_argument("--output_base", required=True)
     g.add_argument("--collection", action="store_true")
     g.add_argument("--archive_dates", action="store_true")
     g.add_argument("--history_uri", help="resolve the ways' lines from this history")
+    g.add_argument("--way_geometries", action="store_true", help="lines broken at unknown vertices, and polygons")
     g.add_argument("--format", default="orc", choices=["orc", "parquet"])
     r = sub.add_parser("profile")
     r.add_argument("--input", required=True)
@@ -212,16 +251,19 @@ def main(argv=None) -> int:
     if args.job == "extract":
         run_extract(spark, read_history(spark, args.history_uri, args.format),
                     load_rules(spark, args.rules_uri), args.output_uri,
-                    sample_rate=args.sample_rate, dedupe=args.dedupe, review_rows=args.review_rows, deletion_changeset=args.deletion_changeset)
+                    sample_rate=args.sample_rate, dedupe=args.dedupe, review_rows=args.review_rows, deletion_changeset=args.deletion_changeset,
+                    crop_ways=args.crop_ways, review_strata=args.review_strata)
     elif args.job == "enrich":
         run_enrich(spark, read_candidates(spark, args.candidates_uri),
-                   read_changesets(spark, args.changesets_uri, args.format), args.output_uri)
+                   read_changesets(spark, args.changesets_uri, args.format), args.output_uri, dedupe=args.dedupe,
+                   unicode_case=args.unicode_case, deletion=args.deletion, keep_by=args.keep_by)
     elif args.job == "enrich-all":
         run_enrich_keep_all(spark, read_candidates(spark, args.input, types=["node", "way"]),
-                            read_changesets(spark, args.changesets_uri, args.format), args.output)
+                            read_changesets(spark, args.changesets_uri, args.format), args.output, dedupe=args.dedupe,
+                            unicode_case=args.unicode_case, deletion=args.deletion)
     elif args.job == "export-geo":
         run_export_geo(spark, read_candidates(spark, args.input, types=["node", "way"]),
-                       args.output_base, collection=args.collection, archive_dates=args.archive_dates,
+                       args.output_base, collection=args.collection, archive_dates=args.archive_dates, way_geometries=args.way_geometries,
                        history=read_history(spark, args.history_uri, args.format) if args.history_uri else None)
     elif args.job == "profile":
         run_profile(spark, read_candidates(spark, args.input, types=["node", "way"]))

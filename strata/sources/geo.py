@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import json
 import os
-import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -30,7 +29,7 @@ from pyspark.sql import types as T
 from strata.functions.geo import (GEOMETRY_SOURCE_COLUMNS, feature_json, has_point,
                                   iso_timestamp, marker_style, wkb_point)
 from strata.scratch import Scratch
-from strata.sources.tables import refuse_self_overwrite, swap_in
+from strata.sources.tables import refuse_self_overwrite, staged_uri, swap_in
 
 
 def features(df: DataFrame) -> DataFrame:
@@ -38,19 +37,13 @@ def features(df: DataFrame) -> DataFrame:
     return df.select(F.col("type"), F.col("id"), feature_json(df).alias("feature"))
 
 
-def _staged(uri: str) -> str:
-    """A folder beside ``uri`` for a run that may fail."""
-    parent, _, name = uri.rstrip("/").rpartition("/")
-    return f"{parent}/_{name}-{uuid.uuid4().hex}" if parent else f"_{name}-{uuid.uuid4().hex}"
-
-
 def write_geojson(df: DataFrame, uri: str, collection: bool = False) -> None:
     """Features as text under ``uri``. The output replaces an older one only
     when it is complete."""
     spark = df.sparkSession
     refuse_self_overwrite(df, uri)
     feats = features(df)
-    staged = _staged(uri)
+    staged = staged_uri(uri)
     if not collection:
         feats.select("feature").write.text(staged)
         swap_in(spark, staged, uri)
@@ -146,7 +139,7 @@ def write_geoparquet(df: DataFrame, uri: str) -> list[tuple[str, int]]:
     refuse_self_overwrite(df, uri)
     counted = Observation("geoparquet")
     frame = geoparquet_frame(df).observe(counted, F.count(F.lit(1)).alias("rows"))
-    staged = _staged(uri)
+    staged = staged_uri(uri)
     base = _arrow_uri(staged if "://" in staged or staged.startswith("file:") else os.path.abspath(staged))
     geo = _geo_metadata()
 

@@ -10,6 +10,7 @@ yields no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,17 +115,38 @@ def swap_in(spark: SparkSession, staged: str, uri: str) -> None:
         fs.delete(old, True)
 
 
+def staged_uri(uri: str) -> str:
+    """A folder beside ``uri`` for a run that may fail."""
+    parent, _, name = uri.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}-{uuid.uuid4().hex}" if parent else f"_{name}-{uuid.uuid4().hex}"
+
+
+def _write(df: DataFrame, uri: str, mode: str, partition_by: list[str]) -> None:
+    """An overwrite goes beside ``uri`` and is swapped in when it is complete, so
+    a run that fails leaves an older output as it was."""
+    refuse_self_overwrite(df, uri)
+    if mode != "overwrite":
+        df.write.mode(mode).partitionBy(*partition_by).parquet(uri)
+        return
+    spark, staged = df.sparkSession, staged_uri(uri)
+    try:
+        df.write.partitionBy(*partition_by).parquet(staged)
+        swap_in(spark, staged, uri)
+    except BaseException:
+        fs, path = _hadoop(spark, staged)
+        fs.delete(path, True)
+        raise
+
+
 def write_candidates(df: DataFrame, uri: str, mode: str = "overwrite") -> None:
-    """Parquet partitioned by ``type`` (a static overwrite replaces every
+    """Parquet partitioned by ``type`` (an overwrite replaces every
     ``type=`` directory, as the reference job does)."""
-    refuse_self_overwrite(df, uri)
-    df.write.mode(mode).partitionBy("type").parquet(uri)
+    _write(df, uri, mode, ["type"])
 
 
 def write_parquet(df: DataFrame, uri: str, mode: str = "overwrite") -> None:
     """Unpartitioned Parquet (the keep-everything enrichment output)."""
-    refuse_self_overwrite(df, uri)
-    df.write.mode(mode).parquet(uri)
+    _write(df, uri, mode, [])
 
 
 def candidate_columns(df: DataFrame) -> list[str]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from strata.functions.lexicon import LEXICONS, alternation
 from strata.operators.rules import Rules, shipped_rules
-from strata.plans.catalog import BBOX, EXACT_KEYS, PREFIX_KEYS, RULE_QUERY_NAMES
+from strata.plans.catalog import BBOX, BBOX_OVER, EXACT_KEYS, PREFIX_KEYS, RULE_QUERY_NAMES
 
 # ---------------------------------------------------------------- fixtures
 
@@ -348,5 +348,65 @@ FROM timed t LEFT JOIN pairs p ON p.way_id = t.way_id AND p.pos = t.pos AND p.rk
     sql["way_linestrings"] = f"""SELECT way_id, CASE WHEN n >= 2 THEN n END AS n_points, CASE WHEN n >= 2 THEN first_lon END AS first_lon,
   CASE WHEN n >= 2 THEN last_lat END AS last_lat FROM (SELECT way_id, count(*) AS n, arg_min(lon, pos) AS first_lon, arg_max(lat, pos) AS last_lat
   FROM ({sql["resolve_ways"]}) WHERE lon IS NOT NULL AND lat IS NOT NULL GROUP BY way_id)"""
+    both = f"""
+two AS (
+  SELECT c.*, l.cs_user, l.cs_uid, l.cs_comment, l.cs_created_by, l.cs_source, {signal_sql('l.cs_comment', 'full')} AS comment_signal,
+    d.cs_user AS deletion_cs_user, d.cs_uid AS deletion_cs_uid, d.cs_comment AS deletion_cs_comment, d.cs_created_by AS deletion_cs_created_by,
+    d.cs_source AS deletion_cs_source, {signal_sql('d.cs_comment', 'full')} AS deletion_comment_signal
+  FROM cand c LEFT JOIN cs l ON c.last_changeset = l.cs_id LEFT JOIN cs d ON c.deletion_changeset = d.cs_id)"""
+    two_cols = enr_cols + ", deletion_changeset, " + ", ".join(
+        f"deletion_{c}" for c in ("cs_user", "cs_uid", "cs_comment", "cs_created_by", "cs_source", "comment_signal"))
+    two = _with(hist, LIFECYCLE_CTES, cand_cte, CHANGESET_CTES, both)
+    sql["enrich_deletion"] = f"{two} SELECT {two_cols} FROM two"
+    sql["job_enrich_deletion"] = f"{two} SELECT {two_cols} FROM two WHERE deletion_comment_signal <> 'exclude'"
+    sql["enrich_dedupe"] = sql["enrich_left"]
+
+    def crop_sql(box):
+        """Degree by degree: a way's arc is the shorter one round the globe that
+        holds its vertices; it meets the box if any of its whole hundredths does."""
+        west, south, east, north = box
+        inside = f"BETWEEN {west} AND {east}" if west <= east else f"NOT BETWEEN {east + 0.005} AND {west - 0.005}"
+        return f"""WITH pos AS ({sql["resolve_ways"]}),
+spread AS (SELECT way_id, min(lat) AS south, max(lat) AS north, min(lon) AS w, max(lon) AS e,
+  min(CASE WHEN lon < 0 THEN lon + 360 ELSE lon END) AS w2, max(CASE WHEN lon < 0 THEN lon + 360 ELSE lon END) AS e2
+  FROM pos WHERE lon IS NOT NULL AND lat IS NOT NULL GROUP BY way_id),
+arc AS (SELECT way_id, south, north, CASE WHEN e2 - w2 < e - w THEN w2 ELSE w END AS a, CASE WHEN e2 - w2 < e - w THEN e2 ELSE e END AS b FROM spread),
+step AS (SELECT way_id, south, north, unnest(generate_series(CAST(round(a * 100) AS BIGINT), CAST(round(b * 100) AS BIGINT))) / 100.0 AS x FROM arc),
+hit AS (SELECT way_id, bool_or((CASE WHEN x > 180 THEN x - 360 ELSE x END) {inside} AND south <= {north} AND north >= {south}) AS hit FROM step GROUP BY way_id)"""
+
+    judged = lambda box: (
+        f"CASE WHEN type = 'way' THEN CASE WHEN h.hit IS NULL THEN 'nowhere' WHEN h.hit THEN 'inside' ELSE 'outside' END "
+        f"WHEN last_lon IS NULL OR last_lat IS NULL THEN 'nowhere' WHEN last_lon {'' if box[0] <= box[2] else 'NOT '}BETWEEN "
+        + (f"{box[0]} AND {box[2]}" if box[0] <= box[2] else f"{box[2] + 0.005} AND {box[0] - 0.005}")
+        + f" AND last_lat BETWEEN {box[1]} AND {box[3]} THEN 'inside' ELSE 'outside' END AS crop")
+    of_ways = "(SELECT * FROM ({cand} SELECT * FROM cand)) c LEFT JOIN hit h ON c.type = 'way' AND h.way_id = c.id".replace("{cand}", cand)
+    sql["crop_bbox_ways"] = f"{crop_sql(BBOX)} SELECT type, id, {judged(BBOX)} FROM {of_ways}"
+    sql["crop_bbox_antimeridian"] = f"{crop_sql(BBOX_OVER)} SELECT type, id, {judged(BBOX_OVER)} FROM {of_ways}"
+    sql["job_extract_crop_ways"] = f"{crop_sql(BBOX)} SELECT {CAND_COLS} FROM (SELECT c.*, {judged(BBOX)} FROM {of_ways}) WHERE crop = 'inside'"
+    linear = "list_has_any(good_klist, ['highway', 'barrier', 'railway', 'waterway'])"   # no fixture object has an area tag
+    sql["way_geometries"] = f"""WITH pos AS ({sql["resolve_ways"]}),
+ends AS (SELECT way_id, count(*) AS n_refs, count(lon) AS n_resolved, arg_min(ref, pos) = arg_max(ref, pos) AS same FROM pos GROUP BY way_id),
+island AS (SELECT way_id, pos, '[' || lon || ',' || lat || ']' AS xy, pos - row_number() OVER (PARTITION BY way_id ORDER BY pos) AS run FROM pos WHERE lon IS NOT NULL),
+line AS (SELECT way_id, min(pos) AS first, '[' || string_agg(xy, ',' ORDER BY pos) || ']' AS line FROM island GROUP BY way_id, run HAVING count(*) >= 2),
+shape AS (SELECT way_id, count(*) AS n_parts, string_agg(line, ',' ORDER BY first) AS lines FROM line GROUP BY way_id),
+typed AS (SELECT e.*, coalesce(n_parts, 0) AS n_parts, lines, CASE WHEN n_parts IS NULL THEN NULL
+  WHEN same AND n_refs >= 4 AND n_resolved = n_refs AND NOT {linear} THEN 'Polygon' WHEN n_parts = 1 THEN 'LineString' ELSE 'MultiLineString' END AS geometry_type
+  FROM ends e LEFT JOIN shape s USING (way_id) JOIN (SELECT * FROM ({cand} SELECT * FROM cand)) c ON c.type = 'way' AND c.id = e.way_id)
+SELECT way_id, n_refs, n_resolved, geometry_type, n_parts, '{{"type":"' || geometry_type || '","coordinates":' ||
+  CASE WHEN geometry_type = 'LineString' THEN lines ELSE '[' || lines || ']' END || '}}' AS geometry FROM typed"""
+    fails = {rule: f"(NOT coalesce({pred}, false))" for rule, pred in preds.items()}
+    steps = []
+    for i, (rule, fail) in enumerate(fails.items()):
+        others = " AND ".join(f"NOT {f}" for r, f in fails.items() if r != rule) or "true"
+        before = " AND ".join(f"NOT {f}" for f in list(fails.values())[:i]) or "true"
+        steps.append(f"SELECT CAST({i + 1} AS INTEGER) AS step, '{rule}' AS rule, count(*) FILTER ({fail}) AS rejects, "
+                     f"count(*) FILTER ({fail} AND {others}) AS alone, count(*) FILTER ({fail} AND {before}) AS after FROM base")
+    sql["rule_funnel"] = f"{life} " + " UNION ALL ".join(steps)
+    sql["review_strata"] = f"{enr} SELECT type, comment_signal, least(count(*), 5) AS n FROM enr GROUP BY type, comment_signal"
+    sql["rules_from_file"] = sql["rules_all"]
+    sql["geoparquet_roundtrip"] = (
+        f"{enr} SELECT type, id, '0101000000' || {_little_endian('last_lon')} || {_little_endian('last_lat')} AS wkb_hex, "
+        f"strftime(deleted_at, '%Y-%m-%dT%H:%M:%S') AS deleted_at, comment_signal, {color} AS marker_color FROM kept "
+        "WHERE type = 'node' AND last_lat IS NOT NULL")
     sql["deletion_changeset"] = (f"{cand} SELECT type, id, last_changeset, deletion_changeset FROM cand")
     return sql
