@@ -15,8 +15,8 @@ class Scratch:
     ``save`` writes a step's result and reads it back, so a lost executor
     costs the running step only, and the plan of the next step starts from a
     table of known size. The step's shuffle files go as soon as its table is
-    written. ``drop`` removes tables that no later step reads; ``close``
-    removes all of them (for callers that know the result has been written).
+    written. ``drop`` removes tables that no later step reads, ``keep`` all
+    but those that one does, and ``close`` removes all of them (for callers that know the result has been written).
     """
 
     CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -45,5 +45,13 @@ class Scratch:
         for name in names:
             self._delete(self.path(name))
 
+    def keep(self, *names: str) -> None:
+        """Remove every table but these."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.dir)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in fs.listStatus(root) if fs.exists(root) else []:
+            if status.getPath().getName() not in names:
+                fs.delete(status.getPath(), True)
+
     def close(self) -> None:
         self._delete(self.dir)
