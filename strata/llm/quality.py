@@ -42,12 +42,14 @@ def features(docs: DataFrame) -> DataFrame:
     place = lambda x: [x["i"], x["i"] + 1, x["i"] + 2]
     twice = F.zip_with("__grams", after, lambda x, y: F.when(x["h"] == y["h"], F.array(*place(x), *place(y))).otherwise(F.array().cast("array<int>")))
     repeat = F.when(n < 3, 0).otherwise(F.size(F.array_distinct(F.flatten(twice))))
-    return rows.select(
-        *docs.drop(*FEATURES).columns, n.cast("long").alias("n_words"),
+    # A generator at the end: a filter on what follows from the features stays
+    # above it and is not pushed below, where it would compute them once more.
+    return rows.select(*docs.drop(*FEATURES).columns, F.inline(F.array(F.struct(
+        n.cast("long").alias("n_words"),
         F.length(F.translate(text, SPACE, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        repeat.cast("long").alias("n_repeat_words"))
+        repeat.cast("long").alias("n_repeat_words")))))
 
 
 def base_failed() -> Column:
