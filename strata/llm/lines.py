@@ -40,13 +40,30 @@ def _halves() -> list[Column]:
     def keys(n):
         half = F.floor(n / 2).cast("int")
         return [F.xxhash64(F.lit(1), half, F.slice("words", F.lit(1), half)),
-                F.xxhash64(F.lit(2), n - half, F.reverse(F.slice(F.reverse("words"), F.lit(1), n - half)))]
+                F.xxhash64(F.lit(2), n - half, F.slice("words", F.col("n") - (n - half) + 1, n - half))]
     return keys(F.col("n")) + keys(F.col("n") - 1)
 
 
+#: Words of a line that are scanned in one go.
+BLOCK = 64
+
+
+def _running(values: Column, start: Column) -> Column:
+    return F.aggregate(values, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1).bitwiseXOR(x))))
+
+
 def _scan(values: Column) -> Column:
-    """The running XOR of an array, beginning with 0, one longer than it."""
-    return F.aggregate(values, F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1).bitwiseXOR(x))))
+    """The running XOR of an array, beginning with 0, one longer than it.
+
+    Every step copies what it has so far; long arrays are therefore scanned
+    block by block from the running XOR of the blocks, which leaves one copy of
+    a number per block in place of one per word."""
+    zero = F.lit(0).cast("long")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int")), lambda i: F.slice(values, i * BLOCK + 1, F.lit(BLOCK)))
+    total = lambda block: F.aggregate(block, zero, lambda acc, x: acc.bitwiseXOR(x))
+    starts = _running(F.transform(blocks, total), zero)
+    parts = F.zip_with(blocks, starts, lambda block, start: F.when(block.isNotNull(), F.slice(_running(block, start), F.lit(2), F.lit(BLOCK))))
+    return F.when(F.size(values) <= BLOCK, _running(values, zero)).otherwise(F.concat(F.array(zero), F.flatten(F.filter(parts, lambda p: p.isNotNull()))))
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -138,6 +155,7 @@ def remove_lines(docs: DataFrame, least: int = LEAST, fuzzy: int = FUZZY) -> Dat
     scratch = Scratch(docs.sparkSession, "lines")
     gone = earlier_lines(docs, scratch, least, fuzzy).groupBy("doc", "copy").agg(F.sort_array(F.collect_list("line")).alias("gone"))
     gone = scratch.save(gone.select(F.col("doc").alias("__doc"), F.col("copy").alias("__copy"), F.col("gone").alias("__gone")), "gone")
+    scratch.keep("gone")
     kept = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_removed")]
     text = F.col("text").cast("string")
     rows = docs.select(*kept, F.col("doc_id").cast("long").alias("__doc"), F.xxhash64(text).alias("__copy"))

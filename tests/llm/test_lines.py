@@ -93,3 +93,28 @@ def test_empty_table(table):
     df = table([])
     out = lines.remove_lines(df)
     assert out.collect() == [] and set(out.columns) == set(df.columns) | {"n_lines", "n_removed"}
+
+
+def test_long_lines_with_one_edit(spark, table):
+    """Lines of several blocks of the scan, an edit at their ends and between blocks."""
+    words = [f"w{i}" for i in range(200)]
+    for n, at in ((63, 0), (64, 63), (65, 64), (128, 127), (129, 64), (200, 199)):
+        line = words[:n]
+        rows = [(1, " ".join(line)), (2, " ".join(line[:at] + ["edit"] + line[at + 1:])), (3, " ".join(line[:at] + line[at + 1:])), (4, " ".join(line[:at] + ["new"] + line[at:])),
+                (5, " ".join(line[:at] + ["new", "more"] + line[at:]))]
+        got = {r.doc_id: r.n_removed for r in lines.remove_lines(table(rows)).collect()}
+        assert got == {1: 0, 2: 1, 3: 1, 4: 1, 5: 1}, n   # 5 is one edit from 4
+
+
+def test_a_line_of_a_hundred_thousand_words(spark, table):
+    line = [f"w{i % 977}" for i in range(100_000)]
+    other = [*line[:50_000], "edit", *line[50_001:]]
+    got = {r.doc_id: r.n_removed for r in lines.remove_lines(table([(1, " ".join(line)), (2, " ".join(other)), (3, " ".join(line[::-1]))])).collect()}
+    assert got == {1: 0, 2: 1, 3: 0}
+
+
+def test_scratch_holds_the_verdicts_only(spark, table, scratch, monkeypatch):
+    import os
+    monkeypatch.setattr("strata.scratch.checkpoint_dir", lambda spark: scratch)
+    lines.remove_lines(table([(1, "a b c d e f"), (2, "a b c d e f")])).collect()
+    assert [os.listdir(f"{scratch}/{d}") for d in os.listdir(scratch)] == [["gone"]]
