@@ -346,7 +346,9 @@ def _classed(docs: DataFrame, n: int, threshold: float, recall: float, scratch:
     classes = components(proved.where("b is not null").select("a", "b"), scratch, "class")
     known = sets.drop("grams", "signature").join(degree.withColumnRenamed("a", "id"), "id", "left").join(classes.withColumnRenamed("node", "id"), "id", "left")
     known = known.select("k1", "k2", "doc_id", "copy", F.coalesce("root", "id").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return rows, scratch.save(known, "known")
+    known = scratch.save(known, "known")
+    scratch.keep("sketch", "known")
+    return rows, known
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
@@ -379,9 +381,12 @@ def representatives(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     smallest by (doc_id, k1, k2); ``copy`` is ``xxhash64`` of the text. Texts
     under one doc_id are classed apart, and all without words are kept. Rows
     with a null doc_id are no one's copy and have none here."""
-    rows, known = _classed(docs, n, threshold, recall, Scratch(docs.sparkSession, "jaccard"))
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    rows, known = _classed(docs, n, threshold, recall, scratch)
     first = known.groupBy("root").agg(F.min(F.struct("doc_id", "k1", "k2", "copy")).alias("f")).select("f.doc_id", "f.copy")
-    return first.unionByName(rows.where("doc_id is not null and k1 is null").select("doc_id", "copy").distinct())
+    first = scratch.save(first.unionByName(rows.where("doc_id is not null and k1 is null").select("doc_id", "copy").distinct()), "first")
+    scratch.keep("first")
+    return first
 
 
 SQL = r"""

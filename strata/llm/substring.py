@@ -138,6 +138,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "substring")
     spans = scratch.save(repeated_spans(docs, window, scratch), "spans")
+    scratch.keep("spans")
     kept = [c for c in docs.columns if c not in ("kept_text", "n_words", "n_removed")]
     rows = docs.select(*kept).withColumn("__doc", F.col("doc_id").cast("long")).withColumn("__copy", F.xxhash64(F.col("text").cast("string")))
     spans = spans.select(F.col("doc").alias("__doc"), F.col("copy").alias("__copy"), F.col("spans").alias("__spans"))
