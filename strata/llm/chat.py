@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import Scratch, buckets_for
 
 #: One level of quotation for each ``>`` that a line begins with.
-QUOTE = r"^([ \t]*>)+[ \t]?"
+QUOTE = r"^[ \t>]*>[ \t]?"
+#: ASCII white space, which is cut off the ends of a message.
+BLANK = " \t\n\x0b\f\r"
 TEMPLATE = ("<|im_start|>", "\n", "<|im_end|>")
 
 
@@ -113,7 +115,7 @@ def format_chats(messages: DataFrame, template: tuple[str, str, str] = TEMPLATE)
     quoted = F.size(F.split("text", "\n")) - F.size(own)
     rows = rows.join(known, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", "role", "reply_to", F.coalesce("thread", "turn").alias("thread"), quoted.cast("long").alias("n_quoted"),
-        F.regexp_replace(F.array_join(own, "\n"), r"^[ \t-\r]+|[ \t-\r]+$", "").alias("body"))
+        F.btrim(F.array_join(own, "\n"), F.lit(BLANK)).alias("body"))
     begin, middle, end = map(F.lit, template)
     return _placed(rows, scratch).select("conv_id", "position", "turn", "role", "reply_to", "thread", "n_quoted",
                                          F.concat(begin, "role", middle, "body", end).alias("formatted"))

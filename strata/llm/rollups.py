@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, map_rows
-from strata.llm.quality import words_of
+from strata.llm.quality import SPACE, words_of
 from strata.llm.tokens import ByteBpe
 
 GROUP = ["source", "lang", "tokenizer"]
@@ -70,7 +70,7 @@ def counted(docs: DataFrame, vocabulary: str) -> DataFrame:
         yield {c: cols[c] for c in kept} | dict(bpe=tokens, new_bpe=[a if b is None else b for a, b in zip(tokens, again)])
 
     old = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    new = F.regexp_replace(old, r"^[ \t-\r]+|[ \t-\r]+$", "")
+    new = F.btrim(old, F.lit(SPACE))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
                        F.xxhash64(old).alias("copy"), (old != new).alias("edited"), F.length(old).cast("long").alias("n_chars"), F.length(new).cast("long").alias("new_chars"),
                        F.size(words_of(old)).cast("long").alias("words"), old.alias("text"), F.when(old != new, new).alias("new"))

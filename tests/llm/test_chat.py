@@ -98,3 +98,11 @@ def test_empty_table(spark):
 def test_small_table(spark, sf):
     df = spark.read.parquet(f"/root/testdata/{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
     assert Counter(map(tuple, chat.format_chats(df).collect())) == Counter(brute([tuple(r) for r in df.collect()]))
+
+
+def test_hostile_lines(spark):
+    """A line of a million > and a message with a million spaces inside."""
+    rows = [(1, 0, "user", "> " * 500_000 + "x"), (1, 1, "user", ">" * 1_000_000), (1, 2, "user", " \t a" + " " * 1_000_000 + "b \n"), (1, 3, "user", " > > deep\nown")]
+    got = {r.turn: r for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert [got[t].n_quoted for t in range(4)] == [1, 1, 0, 1]
+    assert got[2].formatted == "<|im_start|>user\na" + " " * 1_000_000 + "b<|im_end|>" and got[3].formatted == "<|im_start|>user\nown<|im_end|>"
