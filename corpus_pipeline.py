@@ -41,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     doc_id and a text the smallest by all columns stays. Rows with a null
     doc_id stay whole and are no one's copy."""
     prepare(spark)
-    first = Scratch(spark, "first").save(jaccard.representatives(docs), "first").toDF("__doc", "__copy")
+    first = jaccard.representatives(docs).toDF("__doc", "__copy")
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("__doc"), F.xxhash64(F.col("text").cast("string")).alias("__copy"))
     kept = rows.join(first, ["__doc", "__copy"], "left_semi").groupBy("__doc", "__copy").agg(F.min("row").alias("row"))
     return kept.select("row.*").unionByName(docs.where("doc_id is null"))
