@@ -35,6 +35,31 @@ def has_point(df: DataFrame) -> Column:
     return (F.col("type") == "node") & _finite(F.col("last_lat")) & _finite(F.col("last_lon"))
 
 
+def hilbert(lon: Column, lat: Column, order: int = 20) -> Column:
+    """Place of a position along a Hilbert curve over ``2**order`` x ``2**order``
+    cells of the globe; positions outside it count as on its edge. Positions that
+    are near along the curve are near on the map, whatever way the curve goes."""
+    cells = 1 << order
+
+    def cell(c, low, span):
+        return F.greatest(F.lit(0), F.least(F.lit(cells - 1), F.floor((c.cast("double") - low) / span * cells))).cast("long")
+
+    def step(acc, s):
+        right = acc["x"].bitwiseAND(s) != 0
+        up = acc["y"].bitwiseAND(s) != 0
+        quarter = F.when(right, F.when(up, 2).otherwise(3)).otherwise(F.when(up, 1).otherwise(0))
+        # The curve enters the two lower quarters turned: their axes change places.
+        mirror = right & ~up
+        x = F.when(mirror, F.lit(cells - 1) - acc["x"]).otherwise(acc["x"])
+        y = F.when(mirror, F.lit(cells - 1) - acc["y"]).otherwise(acc["y"])
+        return F.struct(F.when(up, x).otherwise(y).alias("x"), F.when(up, y).otherwise(x).alias("y"),
+                        (acc["at"] + s * s * quarter).alias("at"))
+
+    start = F.struct(cell(lon, -180.0, 360.0).alias("x"), cell(lat, -90.0, 180.0).alias("y"), F.lit(0).cast("long").alias("at"))
+    sides = F.array(*[F.lit(1 << i).cast("long") for i in reversed(range(order))])
+    return F.aggregate(sides, start, step, lambda acc: acc["at"])
+
+
 def point_geometry(df: DataFrame) -> Column:
     """GeoJSON Point struct ``{type, coordinates: [lon, lat]}`` or NULL."""
     return F.when(has_point(df), F.struct(

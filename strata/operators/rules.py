@@ -201,7 +201,8 @@ def extract_candidates(history: DataFrame, rules: Rules, sample_rate: float = 1.
     h = sample_objects(h, sample_rate)
     h = h.filter(F.col("type").isin(list(rules.object_types)))
     scratch = scratch or Scratch(h.sparkSession, "extract")
-    survivors = scratch.save(survivors_of_scalar_rules(h, rules, deletion_changeset, funnel and funnel[0]), "survivors")
+    survivors = scratch.save(survivors_of_scalar_rules(h, rules, deletion_changeset, funnel and funnel[0]), "survivors",
+                             seen=[funnel[0]] if funnel else [])
     base = attach_payload(survivors, h)
     if funnel:
         base = base.observe(funnel[1], *funnel_counts(rules, only=PAYLOAD_RULES))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.geo import (GEOMETRY_SOURCE_COLUMNS, feature_json, has_point,
+from strata.functions.geo import (GEOMETRY_SOURCE_COLUMNS, feature_json, has_point, hilbert,
                                   iso_timestamp, marker_style, wkb_point)
 from strata.scratch import Scratch
 from strata.sources.tables import refuse_self_overwrite, staged_uri, swap_in
@@ -68,10 +68,14 @@ def write_geojson(df: DataFrame, uri: str, collection: bool = False) -> None:
     scratch.close()
 
 
-def geoparquet_frame(df: DataFrame) -> DataFrame:
+def geoparquet_frame(df: DataFrame, space_order: bool = False) -> DataFrame:
     """Node rows with a point: property columns, ``tags`` as JSON text,
-    marker style and ``geometry`` as WKB."""
+    marker style and ``geometry`` as WKB. ``space_order`` deals and sorts them
+    along a Hilbert curve and adds ``bbox``, each point's box."""
     pts = df.filter(has_point(df))
+    if space_order:
+        at = hilbert(F.col("last_lon"), F.col("last_lat"))
+        pts = pts.withColumn("__at", at).repartitionByRange("__at", "type", "id").sortWithinPartitions("__at", "type", "id")
     cols = []
     for name in df.columns:
         if name in GEOMETRY_SOURCE_COLUMNS:
@@ -85,6 +89,9 @@ def geoparquet_frame(df: DataFrame) -> DataFrame:
             cols.append(F.col(f"`{name}`"))
     signal = F.col("comment_signal") if "comment_signal" in df.columns else F.lit(None).cast("string")
     cols.extend(marker_style(signal))
+    if space_order:
+        lon, lat = F.col("last_lon").cast("double"), F.col("last_lat").cast("double")
+        cols.append(F.struct(lon.alias("xmin"), lat.alias("ymin"), lon.alias("xmax"), lat.alias("ymax")).alias("bbox"))
     cols.append(wkb_point(F.col("last_lon"), F.col("last_lat")).alias("geometry"))
     return pts.select(*cols)
 
@@ -110,9 +117,11 @@ CRS = {
 }
 
 
-def _geo_metadata() -> bytes:
+def _geo_metadata(boxes: bool = False) -> bytes:
     column = {"encoding": "WKB", "geometry_types": ["Point"], "crs": CRS}
-    return json.dumps({"version": "1.0.0", "primary_column": "geometry", "columns": {"geometry": column}}).encode()
+    if boxes:
+        column["covering"] = {"bbox": {side: ["bbox", side] for side in ("xmin", "ymin", "xmax", "ymax")}}
+    return json.dumps({"version": "1.1.0" if boxes else "1.0.0", "primary_column": "geometry", "columns": {"geometry": column}}).encode()
 
 
 def _arrow_uri(uri: str) -> str:
@@ -123,9 +132,13 @@ def _arrow_uri(uri: str) -> str:
     return uri
 
 
-def write_geoparquet(df: DataFrame, uri: str) -> list[tuple[str, int]]:
+def write_geoparquet(df: DataFrame, uri: str, space_order: bool = False, group_rows: int = 10_000) -> list[tuple[str, int]]:
     """Write GeoParquet files under ``uri``; returns (file name, rows) of each.
 
+    ``space_order`` lays points that are near each other into the same files and
+    row groups, with a ``bbox`` column whose statistics let a reader skip the row
+    groups outside a box; ``group_rows`` bounds the rows of a row group.
+
     Every task attempt writes a file of its own name (its attempt id is unique
     in the application) into a staging folder. The driver gets one receipt
     for each partition, from the attempt that counted, removes the files of
@@ -138,10 +151,10 @@ def write_geoparquet(df: DataFrame, uri: str) -> list[tuple[str, int]]:
     spark = df.sparkSession
     refuse_self_overwrite(df, uri)
     counted = Observation("geoparquet")
-    frame = geoparquet_frame(df).observe(counted, F.count(F.lit(1)).alias("rows"))
+    frame = geoparquet_frame(df, space_order).observe(counted, F.count(F.lit(1)).alias("rows"))
     staged = staged_uri(uri)
     base = _arrow_uri(staged if "://" in staged or staged.startswith("file:") else os.path.abspath(staged))
-    geo = _geo_metadata()
+    geo = _geo_metadata(space_order)
 
     def write_part(batches):
         from pyarrow import fs as pafs
@@ -158,7 +171,7 @@ def write_geoparquet(df: DataFrame, uri: str) -> list[tuple[str, int]]:
                 filesystem.create_dir(root, recursive=True)
                 schema = batch.schema.with_metadata({**(batch.schema.metadata or {}), b"geo": geo})
                 writer = pq.ParquetWriter(f"{root}/{name}", schema, filesystem=filesystem)
-            writer.write_batch(batch)
+            writer.write_batch(batch, row_group_size=group_rows)
             rows += batch.num_rows
         if writer is not None:
             writer.close()

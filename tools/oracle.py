@@ -408,5 +408,12 @@ SELECT way_id, n_refs, n_resolved, geometry_type, n_parts, '{{"type":"' || geome
         f"{enr} SELECT type, id, '0101000000' || {_little_endian('last_lon')} || {_little_endian('last_lat')} AS wkb_hex, "
         f"strftime(deleted_at, '%Y-%m-%dT%H:%M:%S') AS deleted_at, comment_signal, {color} AS marker_color FROM kept "
         "WHERE type = 'node' AND last_lat IS NOT NULL")
+    sql["geoparquet_space_order"] = (
+        f"{enr} SELECT type, id, '0101000000' || {_little_endian('last_lon')} || {_little_endian('last_lat')} AS wkb_hex, "
+        "comment_signal, last_lon AS xmin, last_lat AS ymin, last_lon AS xmax, last_lat AS ymax FROM kept "
+        "WHERE type = 'node' AND last_lat IS NOT NULL")
+    sql["extract_by_object"] = sql["extract_candidates"]
+    sql["extract_restarted"] = sql["extract_candidates"]
+    sql["enrich_pruned"] = sql["enrich_left"]
     sql["deletion_changeset"] = (f"{cand} SELECT type, id, last_changeset, deletion_changeset FROM cand")
     return sql
