@@ -1,13 +1,13 @@
 """Chat formatting by quotation linking (operator 4).
 
 A message may quote others in lines that begin with ``>``, one for each level.
-Quoted lines are normalised and hashed and joined to the messages of the same
-conversation that say them; so each reply finds the message it answers, the
-messages fall into threads, and a conversation is put out thread by thread,
-each message formatted without the quotes.
+Quoted passages, the consecutive lines of one level, are normalised and hashed and
+linked to the messages of the same conversation that say them; so each reply
+finds the message it answers, the messages fall into threads, and a conversation
+is put out thread by thread, each message formatted without the quotes.
 
-A conversation may hold a third of all messages: originals are aggregated to
-the earliest turn that says a line before they are joined, and places in a
+A conversation may hold a third of all messages: a passage finds its latest earlier
+message on a timeline that is split between tasks, without pairs, and places in a
 conversation come from a range partitioning, not from one window.
 """
 
@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, buckets_for
+from strata.llm.common import Scratch, buckets_for, map_rows
+from strata.operators.extras import asof_fill
 
 #: One level of quotation for each ``>`` that a line begins with.
 QUOTE = r"^[ \t>]*>[ \t]?"
@@ -29,23 +30,99 @@ def normalise(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, r"[ \t-\r]+", " ")))
 
 
-def quote_lines(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, key) of the lines with a word of each message;
-    ``level`` is 0 for its own, ``key`` the hash of the normalised line."""
-    rows = messages.where("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode(F.split("text", "\n")).alias("line"))
-    head = F.regexp_extract("line", QUOTE, 0)
-    rows = rows.select("conv_id", "turn", (F.length(head) - F.length(F.translate(head, ">", ""))).alias("level"), normalise(F.regexp_replace("line", QUOTE, "")).alias("line"))
-    return rows.where("line <> ''").select("conv_id", "turn", "level", F.xxhash64("line").alias("key"))
+#: Moduli and bases of the running hash of a message's lines; products stay below 2**63.
+MODULI, BASES = (2147483647, 2147483629), (1000003, 998244353)
+
+
+def message_lines(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, m, levels, keys): the lines with a word of each different
+    message of a turn; a line's level is 0 for its own, its key the hash of the
+    normalised line."""
+    def line(raw):
+        head = F.regexp_extract(raw, F.lit(QUOTE), 0)
+        return F.struct((F.length(head) - F.length(F.translate(head, ">", ""))).alias("level"), normalise(F.regexp_replace(raw, QUOTE, "")).alias("line"))
+
+    rows = messages.where("conv_id is not null and turn is not null").select("conv_id", "turn", "text").distinct()
+    rows = rows.select("conv_id", "turn", F.xxhash64("text").alias("m"), F.transform(F.split("text", "\n"), line).alias("lines"))
+    rows = rows.withColumn("lines", F.filter("lines", lambda x: x["line"] != ""))
+    return rows.select("conv_id", "turn", "m", F.transform("lines", lambda x: x["level"]).alias("levels"), F.transform("lines", lambda x: F.xxhash64(x["line"])).alias("keys"))
+
+
+def quoted_passages(lines: DataFrame) -> DataFrame:
+    """Consecutive lines of one quote level: conv_id, turn, m, level, run (place of the
+    first line), first (its key), size, h1 and h2 (hash of the passage), b1 and b2
+    (the bases to the power of size) and the lines' keys."""
+    def cut(row):
+        levels, keys, at = row["levels"], row["keys"], 0
+        while at < len(levels):
+            end = at
+            while end < len(levels) and levels[end] == levels[at]:
+                end += 1
+            if levels[at]:
+                out = {k: row[k] for k in ("conv_id", "turn", "m")} | {"level": levels[at], "run": at, "first": keys[at], "size": end - at, "keys": keys[at:end]}
+                for i, (base, modulus) in enumerate(zip(BASES, MODULI), 1):
+                    value = 0
+                    for key in keys[at:end]:
+                        value = (value * base + key) % modulus
+                    out |= {f"h{i}": value, f"b{i}": pow(base, end - at, modulus)}
+                yield out
+            at = end
+
+    return map_rows(lines.where(F.exists("levels", lambda x: x > 0)), cut, "conv_id long, turn long, m long, level int, run int, first long, size int, h1 long, h2 long, b1 long, b2 long, keys array<long>")
+
+
+def own_lines(lines: DataFrame) -> DataFrame:
+    """(conv_id, turn, m, pos, key, h1, h2): a message's own lines with the hash of
+    those before them, and a last row (null key) with the hash of all."""
+    def run(row):
+        own = [k for k, level in zip(row["keys"], row["levels"]) if not level]
+        values = [0, 0]
+        for pos, key in enumerate([*own, None]):
+            yield {k: row[k] for k in ("conv_id", "turn", "m")} | {"pos": pos, "key": key, "h1": values[0], "h2": values[1]}
+            if key is not None:
+                values = [(v * base + key) % modulus for v, base, modulus in zip(values, BASES, MODULI)]
+
+    return map_rows(lines, run, "conv_id long, turn long, m long, pos int, key long, h1 long, h2 long")
+
+
+def _latest_before(asked: DataFrame, said: DataFrame, key: list[str], scratch: Scratch) -> DataFrame:
+    """``asked`` with ``said``, the latest turn before its own in which ``said`` has its
+    key, or null. One timeline per key, split where a key is hot."""
+    order = ["turn", "kind", "m", "run", "i"]
+    name = F.concat_ws(" ", *key).alias("k")
+    said = said.join(asked.select(*key).distinct(), key, "left_semi").select(*key, "turn").distinct()
+    rest = [c for c in asked.columns if c not in (*order, "k")]
+    ask = asked.select(name, "turn", F.lit(0).alias("kind"), "m", "run", "i", F.struct(*rest).alias("ask"), F.lit(None).cast("long").alias("state"))
+    say = said.select(name, "turn", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("m"), F.lit(0).alias("run"), F.lit(0).alias("i"),
+                      F.lit(None).cast(ask.schema["ask"].dataType).alias("ask"), F.col("turn").alias("state"))
+    filled = asof_fill(ask.unionByName(say), "k", order, "state", scratch=scratch)
+    return filled.where("kind = 0").select("turn", "m", "run", "i", "ask.*", F.col("asof").alias("said"))
 
 
 def links(messages: DataFrame, scratch: Scratch) -> DataFrame:
-    """(conv_id, turn, reply_to): of the lowest quote level that matches an
-    earlier message, the message that says most of its lines, the later one
-    of equals."""
-    lines = scratch.save(quote_lines(messages), "lines")
-    said = scratch.save(lines.where("level = 0").groupBy("conv_id", "key").agg(F.min("turn").alias("said")), "said")
-    quoted = lines.where("level > 0").join(said, ["conv_id", "key"]).where("said < turn")
-    votes = quoted.groupBy("conv_id", "turn", "level", "said").agg(F.count("*").alias("votes"))
+    """(conv_id, turn, reply_to).
+
+    A quoted passage (consecutive lines of one level; blank lines do not count) belongs to
+    the latest earlier message that has it as a run of its own lines; only where none has, each of
+    its lines belongs to the latest earlier message that says it. Of the
+    lowest quote level with such a message, the one to which most lines belong
+    is answered, the later one of equals.
+    """
+    lines = scratch.save(message_lines(messages), "lines")
+    asked = scratch.save(quoted_passages(lines), "passages")
+    # Only conversations with quotes, and in them only runs that begin as a passage does and are as long.
+    own = scratch.save(own_lines(lines.join(asked.select("conv_id").distinct(), "conv_id", "left_semi")), "own")
+    wanted = asked.select("conv_id", F.col("first").alias("key"), "size", "b1", "b2").distinct()
+    begins = own.join(wanted, ["conv_id", "key"]).select("conv_id", "turn", "m", (F.col("pos") + F.col("size")).alias("pos"), "size", *[F.col(f"h{i}").alias(f"g{i}") for i in (1, 2)], "b1", "b2")
+    runs = begins.join(own.select("conv_id", "turn", "m", "pos", "h1", "h2"), ["conv_id", "turn", "m", "pos"])
+    runs = runs.select("conv_id", "turn", "size", *[F.pmod(F.col(f"h{i}") - F.col(f"g{i}") * F.col(f"b{i}"), F.lit(n)).alias(f"h{i}") for i, n in enumerate(MODULI, 1)])
+    whole = _latest_before(asked.select("conv_id", "turn", "m", "level", "run", F.lit(0).alias("i"), "size", "h1", "h2", "keys"), runs,
+                           ["conv_id", "size", "h1", "h2"], Scratch(messages.sparkSession, "chat-passages"))
+    whole = scratch.save(whole, "whole")
+    single = whole.where("said is null").select("conv_id", "turn", "m", "level", "run", F.posexplode("keys").alias("i", "key"))
+    single = _latest_before(single, own.where("key is not null"), ["conv_id", "key"], Scratch(messages.sparkSession, "chat-lines"))
+    votes = whole.select("conv_id", "turn", "level", "said", "size").unionByName(single.select("conv_id", "turn", "level", "said", F.lit(1).alias("size")))
+    votes = votes.where("said is not null").groupBy("conv_id", "turn", "level", "said").agg(F.sum("size").alias("votes"))
     best = votes.groupBy("conv_id", "turn").agg(F.max(F.struct((-F.col("level")).alias("level"), "votes", "said")).alias("best"))
     return scratch.save(best.select("conv_id", "turn", F.col("best.said").alias("reply_to")), "links")
 
@@ -127,8 +204,20 @@ u as (select rid, conv_id, turn, unnest(range(len(string_split(text, chr(10)))))
 l as (select rid, conv_id, turn, i, ls[i + 1] as raw, regexp_extract(ls[i + 1], '^([ \t]*>)+[ \t]?') as head from u),
 n as (select *, length(head) - length(replace(head, '>', '')) as level,
   lower(trim(regexp_replace(substr(raw, length(head) + 1), '[ \t-\r]+', ' ', 'g'))) as line from l),
-s as (select conv_id, line, min(turn) as said from n where level = 0 and line <> '' group by all),
-v as (select n.conv_id, n.turn, level, said, count(*) as votes from n join s using (conv_id, line) where level > 0 and said < turn group by all),
+x as (select conv_id, turn, text, min(rid) as rid from m where conv_id is not null and turn is not null group by all),
+z as (select n.*, row_number() over (partition by rid order by i) - row_number() over (partition by rid, level order by i) as g
+  from n semi join x using (rid) where line <> ''),
+q as (select rid, conv_id, turn, level, g, list(line order by i) as ls, count(*) as size from z where level > 0 group by all),
+o as (select rid, conv_id, turn, list(line order by i) as own from z where level = 0 group by all),
+w as (select distinct conv_id, turn, own[at + 1:at + size] as ls from (
+  select o.*, size, unnest(range(len(own) - size + 1)) as at from o join (select distinct conv_id, size from q) using (conv_id))),
+h as (select q.rid, q.conv_id, q.turn, level, g, q.ls, size, max(w.turn) as said
+  from q left join w on w.conv_id = q.conv_id and w.ls = q.ls and w.turn < q.turn group by all),
+k as (select conv_id, turn, level, unnest(range(size)) as i, rid, g, unnest(ls) as line from h where said is null),
+y as (select k.conv_id, k.turn, k.level, k.rid, k.g, k.i, max(z.turn) as said
+  from k join z on z.level = 0 and z.conv_id = k.conv_id and z.line = k.line and z.turn < k.turn group by all),
+v as (select conv_id, turn, level, said, sum(size) as votes from (
+  select conv_id, turn, level, said, size from h where said is not null union all select conv_id, turn, level, said, 1 from y) group by all),
 p as (select conv_id, turn, arg_max(said, {'l': -level, 'v': votes, 's': said}) as reply_to from v group by all),
 t as (select conv_id, turn, reply_to as thread from p union all select t.conv_id, t.turn, p.reply_to from t join p on p.conv_id = t.conv_id and p.turn = t.thread),
 r as (select conv_id, turn, min(thread) as thread from t group by all),

@@ -1,5 +1,6 @@
 """Chat formatting against a plain version, on made-up mail threads."""
 
+import itertools
 import random
 import re
 from collections import Counter
@@ -13,25 +14,43 @@ SCHEMA = "conv_id long, turn long, role string, text string, position string, th
 HEAD = re.compile(r"^([ \t]*>)+[ \t]?")
 
 
-def brute(rows):
-    lines = []
-    for conv, turn, _, text in rows:
-        for raw in (text or "").split("\n"):
+def read(rows):
+    """(conv, turn, lines with a word as (level, line)) of the different messages that can be linked."""
+    for conv, turn, text in {(r[0], r[1], r[3] or "") for r in rows if None not in r[:2]}:
+        lines = []
+        for raw in text.split("\n"):
             m = HEAD.match(raw)
-            level = m[0].count(">") if m else 0
             line = re.sub(r"[ \t-\r]+", " ", raw[m.end() if m else 0:]).strip(" ").lower()
-            lines.append((conv, turn, level, line))
-    said = {}
-    for conv, turn, level, line in lines:
-        if not level and line and None not in (conv, turn):
-            said[conv, line] = min(said.get((conv, line), turn), turn)
+            line and lines.append((m[0].count(">") if m else 0, line))
+        yield conv, turn, lines
+
+
+def answered(rows):
+    messages = list(read(rows))
+    own = [(conv, turn, [x for level, x in lines if not level]) for conv, turn, lines in messages]
+
+    def latest(conv, turn, passage):
+        n = len(passage)
+        return max((t for c, t, said in own if c == conv and t < turn and any(said[i:i + n] == passage for i in range(len(said) - n + 1))), default=None)
+
     votes = Counter()
-    for conv, turn, level, line in lines:
-        if level and line and None not in (conv, turn) and said.get((conv, line), turn) < turn:
-            votes[conv, turn, level, said[conv, line]] += 1
+    for conv, turn, lines in messages:
+        for level, run in itertools.groupby(lines, lambda x: x[0]):
+            passage = [x for _, x in run]
+            if level:
+                whole = latest(conv, turn, passage)
+                for part in [passage] if whole is not None else [[x] for x in passage]:
+                    said = latest(conv, turn, part)
+                    if said is not None:
+                        votes[conv, turn, level, said] += len(part)
     best = {}
     for (conv, turn, level, parent), n in votes.items():
         best[conv, turn] = max(best.get((conv, turn), (-99, 0, 0)), (-level, n, parent))
+    return best
+
+
+def brute(rows):
+    best = answered(rows)
 
     def root(conv, turn):
         while (conv, turn) in best:
@@ -90,6 +109,41 @@ def test_one_conversation_holds_all(spark):
     assert run(spark, rows) == Counter(brute(rows))
 
 
+def test_the_passage_decides(spark):
+    """A whole quote of a later message that repeats earlier lines goes to the later one."""
+    rows = [(1, 0, "user", "a\nb"), (1, 3, "user", "a\nb\nc"), (1, 4, "user", "> a\n> b\n> c\nyes"), (1, 5, "user", "a\nb"), (1, 6, "user", "> b\n>\n> c"),
+            (1, 7, "user", "> c\n> b"), (1, 8, "user", ">> a\n> yes\n> nobody"), (2, 1, "user", "> a\n> b")]
+    got = run(spark, rows)
+    assert got == Counter(brute(rows))
+    assert {r[2]: r[4] for r in got if r[0] == 1} == {0: None, 3: None, 4: 3, 5: None, 6: 3, 7: 5, 8: 4}
+
+
+def test_most_lines_counted_per_message(spark):
+    """On the mail, the message with most of the lowest level's lines, the later of equals, is the one found."""
+    rows = mail(40)
+    messages = list(read(rows))
+    own = {(conv, turn): {x for level, x in lines if not level} for conv, turn, lines in messages}
+    want = {}
+    for conv, turn, lines in messages:
+        for level in sorted({level for level, _ in lines if level}):
+            counts = [(sum(x in said for lv, x in lines if lv == level), t) for (c, t), said in own.items() if c == conv and t < turn]
+            if max(counts, default=(0, 0))[0]:
+                want[conv, turn] = max(counts)[1]
+                break
+    got = {(r[0], r[2]): r[4] for r in run(spark, rows) if r[4] is not None}
+    assert len(want) > 100 and got == want
+
+
+def test_sql_says_the_same(spark):
+    import duckdb
+    import pandas as pd
+    rows = mail(40) + [(9, 0, "user", None), (None, 1, "user", "> a"), (9, 2, "user", "> > x")]
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"}))
+    cols = "conv_id, position, turn, role, reply_to, thread, n_quoted, formatted"
+    assert Counter(con.execute(f"select {cols} from ({chat.SQL})").fetchall()) == run(spark, rows)
+
+
 def test_empty_table(spark):
     assert not run(spark, [])
 
