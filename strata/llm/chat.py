@@ -34,12 +34,27 @@ def normalise(line: Column) -> Column:
 MODULI, BASES = (2147483647, 2147483629), (1000003, 998244353)
 
 
+def _by_message(fn):
+    """For ``map_rows``: ``fn`` turns one row, a dict, into dicts of the rows to put out."""
+    def columns(batch):
+        rows = []
+        for values in zip(*batch.values()):
+            for row in fn(dict(zip(batch, (v.as_py() for v in values)))):
+                rows.append(row)
+                if len(rows) == 10_000:
+                    yield {k: [r[k] for r in rows] for k in rows[0]}
+                    rows = []
+        if rows:
+            yield {k: [r[k] for r in rows] for k in rows[0]}
+    return columns
+
+
 def message_lines(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, m, levels, keys): the lines with a word of each different
     message of a turn; a line's level is 0 for its own, its key the hash of the
     normalised line."""
     def line(raw):
-        head = F.regexp_extract(raw, F.lit(QUOTE), 0)
+        head = F.regexp_extract(raw, QUOTE, 0)
         return F.struct((F.length(head) - F.length(F.translate(head, ">", ""))).alias("level"), normalise(F.regexp_replace(raw, QUOTE, "")).alias("line"))
 
     rows = messages.where("conv_id is not null and turn is not null").select("conv_id", "turn", "text").distinct()
@@ -68,7 +83,7 @@ def quoted_passages(lines: DataFrame) -> DataFrame:
                 yield out
             at = end
 
-    return map_rows(lines.where(F.exists("levels", lambda x: x > 0)), cut, "conv_id long, turn long, m long, level int, run int, first long, size int, h1 long, h2 long, b1 long, b2 long, keys array<long>")
+    return map_rows(lines.where(F.exists("levels", lambda x: x > 0)), _by_message(cut), "conv_id long, turn long, m long, level int, run int, first long, size int, h1 long, h2 long, b1 long, b2 long, keys array<long>")
 
 
 def own_lines(lines: DataFrame) -> DataFrame:
@@ -82,7 +97,7 @@ def own_lines(lines: DataFrame) -> DataFrame:
             if key is not None:
                 values = [(v * base + key) % modulus for v, base, modulus in zip(values, BASES, MODULI)]
 
-    return map_rows(lines, run, "conv_id long, turn long, m long, pos int, key long, h1 long, h2 long")
+    return map_rows(lines, _by_message(run), "conv_id long, turn long, m long, pos int, key long, h1 long, h2 long")
 
 
 def _latest_before(asked: DataFrame, said: DataFrame, key: list[str], scratch: Scratch) -> DataFrame:
@@ -209,8 +224,8 @@ z as (select n.*, row_number() over (partition by rid order by i) - row_number()
   from n semi join x using (rid) where line <> ''),
 q as (select rid, conv_id, turn, level, g, list(line order by i) as ls, count(*) as size from z where level > 0 group by all),
 o as (select rid, conv_id, turn, list(line order by i) as own from z where level = 0 group by all),
-w as (select distinct conv_id, turn, own[at + 1:at + size] as ls from (
-  select o.*, size, unnest(range(len(own) - size + 1)) as at from o join (select distinct conv_id, size from q) using (conv_id))),
+w as (select distinct conv_id, turn, own[b + 1:b + size] as ls from (
+  select o.*, size, unnest(range(len(own) - size + 1)) as b from o join (select distinct conv_id, size from q) using (conv_id))),
 h as (select q.rid, q.conv_id, q.turn, level, g, q.ls, size, max(w.turn) as said
   from q left join w on w.conv_id = q.conv_id and w.ls = q.ls and w.turn < q.turn group by all),
 k as (select conv_id, turn, level, unnest(range(size)) as i, rid, g, unnest(ls) as line from h where said is null),
