@@ -27,6 +27,7 @@ from strata.plans.shape import plan_shape  # noqa: E402
 from strata.schema import HISTORY  # noqa: E402
 from strata.session import checkpoint_dir, local_session  # noqa: E402
 from strata.sources.fixtures import fixture_changesets, fixture_history  # noqa: E402
+from strata.sources.layout import JOIN_BY_BUCKET, read_history_by_object, write_history_by_object  # noqa: E402
 
 HEADLINE = [
     "extract_candidates",              # lifecycle + rules (the flagship)
@@ -41,7 +42,7 @@ HEADLINE = [
 ]
 
 
-PLANS = ["stored_extract", "stored_extract_window"]
+PLANS = ["stored_extract", "stored_extract_window", "stored_extract_by_object"]
 
 
 def main() -> None:
@@ -65,6 +66,9 @@ def main() -> None:
     extract_candidates(fixture_history(spark, sf_dir), shipped_rules()).write.mode(
         "overwrite").parquet(f"{store}/candidates")
 
+    write_history_by_object(spark.read.schema(HISTORY).parquet(f"{store}/history"), f"{store}/by-object", 8)
+    spark.conf.set(JOIN_BY_BUCKET, "false")
+
     def history():
         return spark.read.schema(HISTORY).parquet(f"{store}/history")
 
@@ -74,6 +78,7 @@ def main() -> None:
         "stored_extract_window": lambda: project_candidates(with_roles(
             prepare_history(history(), shipped_rules().object_types), "last", "first", "last_visible")
             .filter(compile_rules(shipped_rules()))),
+        "stored_extract_by_object": lambda: extract_candidates(read_history_by_object(spark, f"{store}/by-object"), shipped_rules()),
         "stored_enrich": lambda: enrich(spark.read.parquet(f"{store}/candidates"),
                                         spark.read.parquet(f"{store}/changesets")),
     }
