@@ -29,8 +29,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     """(doc, copy, line, words, n) of the lines that are compared."""
     text = F.col("text").cast("string")
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("copy"), F.split(text, "\n").alias("lines"))
-    rows = rows.select("doc", "copy", F.posexplode("lines").alias("line", "__text"))
-    rows = rows.select("doc", "copy", "line", words_of(F.col("__text")).alias("words"))
+    # The outer generators here and below spare the filter on a non-empty array
+    # that the optimizer puts under a plain one, which would compute the array again.
+    rows = rows.select("doc", "copy", F.posexplode_outer("lines").alias("line", "__text")).where("line is not null")
+    # Words come out of a generator, so that filters on them stay above it.
+    rows = rows.select("doc", "copy", "line", F.inline(F.array(F.struct(words_of(F.col("__text")).alias("words")))))
     return rows.withColumn("n", F.size("words"))
 
 
@@ -81,7 +84,7 @@ def variants(lines: DataFrame) -> DataFrame:
     after = F.slice("right", F.lit(2), F.col("n"))
     rests = F.transform(F.arrays_zip(F.slice("left", F.lit(1), F.col("n")).alias("l"), after.alias("r")),
                         lambda x, i: F.struct(x["l"].bitwiseXOR(x["r"]).alias("x"), i.alias("place"), F.lit(-1).alias("size")))
-    rows = rows.select("k1", "k2", "first", "n", ends.alias("ends"), F.explode(F.concat(rests, F.array(F.struct(whole.alias("x"), F.lit(-1).alias("place"), F.lit(0).alias("size"))))).alias("r"))
+    rows = rows.select("k1", "k2", "first", "n", ends.alias("ends"), F.explode_outer(F.concat(rests, F.array(F.struct(whole.alias("x"), F.lit(-1).alias("place"), F.lit(0).alias("size"))))).alias("r"))
     v = F.when(F.col("r.place") < 0, F.col("r.x")).otherwise(F.col("r.x").bitwiseXOR(F.col("ends")))
     return rows.select(v.alias("v"), (F.col("n") + F.col("r.size")).alias("size"), F.col("r.place").alias("place"), "k1", "k2", "first")
 
@@ -99,14 +102,14 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 def earlier_lines(docs: DataFrame, scratch: Scratch, least: int = LEAST, fuzzy: int = FUZZY) -> DataFrame:
     """(doc, copy, line) of every line with an earlier one at most an edit away."""
-    key = [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(3), F.array_join("words", " ")).alias("k2")]
+    key = [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(3), "words").alias("k2")]
     halves = [F.when(F.col("n") >= fuzzy, h).alias(f"h{i}") for i, h in enumerate(_halves())]
     found = scratch.save(_lines(docs).where(F.col("n") >= least).select("doc", "copy", "line", *key, *halves), "lines")
     distinct = found.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "copy")).alias("f"), F.count("*").alias("copies"), *[F.first(f"h{i}").alias(f"h{i}") for i in range(len(halves))])
     distinct = scratch.save(distinct.select("k1", "k2", F.struct("f.doc", "f.line").alias("first"), F.col("f.copy").alias("copy"), "copies", *[f"h{i}" for i in range(len(halves))]), "distinct")
 
     each = F.array_distinct(F.array(*[F.col(f"h{i}") for i in range(len(halves))]))
-    one = distinct.where("h0 is not null").select("k1", "k2", F.explode(each).alias("half"))
+    one = distinct.where("h0 is not null").select("k1", "k2", F.explode_outer(each).alias("half"))
     shared = scratch.save(one.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("half"), "shared")
     keys = one.join(shared, "half", "left_semi").select("k1", "k2").distinct()
     chosen = distinct.join(scratch.save(keys, "keys"), ["k1", "k2"]).select(F.col("first.doc").alias("doc"), "copy", F.struct(F.col("first.line").alias("line"), "k1", "k2", "first").alias("c"))
@@ -116,7 +119,7 @@ def earlier_lines(docs: DataFrame, scratch: Scratch, least: int = LEAST, fuzzy:
     picked = texts.join(chosen, ["doc", "copy"]).select("chosen", F.split("text", "\n").alias("lines"))
     # The lines are read twice below, which keeps their array a column of its own.
     there = F.filter("chosen", lambda c: c["line"] < F.size("lines"))
-    picked = picked.select(F.explode(F.transform(there, lambda c: F.struct(c["k1"].alias("k1"), c["k2"].alias("k2"), c["first"].alias("first"), F.element_at("lines", c["line"] + 1).alias("line")))).alias("c"))
+    picked = picked.select(F.explode_outer(F.transform(there, lambda c: F.struct(c["k1"].alias("k1"), c["k2"].alias("k2"), c["first"].alias("first"), F.element_at("lines", c["line"] + 1).alias("line")))).alias("c")).where("c is not null")
     lines = picked.select("c.k1", "c.k2", "c.first", words_of(F.col("c.line")).alias("words"))
     lines = scratch.save(lines.dropDuplicates(["k1", "k2"]), "words")
     scratch.drop("shared", "keys", "chosen")

@@ -21,7 +21,10 @@ FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def words_of(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text; null has none."""
-    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), SPACE[1:], " " * 5), " "), "")
+    text = F.coalesce(text, F.lit(""))
+    for c in SPACE[1:]:  # a byte search each, where translate makes a string of every character
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def features(docs: DataFrame) -> DataFrame:
