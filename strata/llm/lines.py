@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import Scratch
 from strata.llm.quality import words_of
 
-#: Shorter lines stay; lines from FUZZY words on also match with one edit.
-LEAST, FUZZY = 5, 10
+#: Every line with a word is compared; lines from FUZZY words on also match with
+#: one edit: one word of five is a similarity of 0.8, as near duplicates have it.
+LEAST, FUZZY = 1, 5
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -175,14 +176,14 @@ SQL = r"""
 with d as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
 o as (select doc_id, unnest(range(len(ls))) as i, ls from d where text is not null),
 l as (select doc_id, i, list_filter(string_split_regex(ls[i + 1], '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from o),
-c as (select doc_id, i, w, {'d': doc_id, 'i': i} as place, array_to_string(w, ' ') as t, len(w) as n from l where len(w) >= 5),
+c as (select doc_id, i, w, {'d': doc_id, 'i': i} as place, array_to_string(w, ' ') as t, len(w) as n from l where len(w) >= 1),
 e as (select t, any_value(w) as w, any_value(n) as n, min(place) as place from c group by t),
-v as (select t, n, place, p, array_to_string(list_concat(w[1:p], w[p + 2:n]), ' ') as r from (select *, unnest(range(n)) as p from e where n >= 10)),
+v as (select t, n, place, p, array_to_string(list_concat(w[1:p], w[p + 2:n]), ' ') as r from (select *, unnest(range(n)) as p from e where n >= 5)),
 m as (
   select t, min(low) as low from (
     select t, min(place) over (partition by r, p, n) as low from v
-    union all select v.t, e.place from v join e on e.t = v.r and e.n >= 10
-    union all select e.t, v.place from v join e on e.t = v.r and e.n >= 10
+    union all select v.t, e.place from v join e on e.t = v.r and e.n >= 5
+    union all select e.t, v.place from v join e on e.t = v.r and e.n >= 5
     union all select t, place from e) group by t),
 g as (select c.doc_id, c.i from c join m using (t) where m.low < c.place),
 k as (select o.doc_id, o.i, o.ls[o.i + 1] as line, g.doc_id is not null as gone from o left join g on o.doc_id = g.doc_id and o.i = g.i),

@@ -19,7 +19,7 @@ def distance(a, b):
     return row[-1]
 
 
-def brute(rows, least=5, fuzzy=10):
+def brute(rows, least=1, fuzzy=5):
     found = [(d, i, x.encode().split()) for d, t in {r for r in rows if r[0] is not None} for i, x in enumerate((t.split("\n") if t is not None else []))]
     found = [f for f in found if len(f[2]) >= least]
     by_line = {}
@@ -89,6 +89,13 @@ def test_small_table(table, documents):
     assert got == brute(rows) and any(k[3] for k in got)
 
 
+def test_short_lines_and_edits_in_them(table):
+    rows = [(1, "Yes\nAll rights reserved.\na b c d\na b c d e"), (2, "All rights reserved.\nYes\n\na b c x\na b x d e\na c d e"), (3, "yes\nNo\n \nNo\nNo No\na b c d e f")]
+    got = run(table(rows))
+    assert got == brute(rows) and {k[0]: k[1] for k in got} == {
+        1: "Yes\nAll rights reserved.\na b c d\na b c d e", 2: "\na b c x\na c d e", 3: "yes\nNo\n \nNo No"}
+
+
 def test_empty_table(table):
     df = table([])
     out = lines.remove_lines(df)
