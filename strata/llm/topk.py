@@ -45,16 +45,20 @@ def quantize(vectors: DataFrame, scale: int = 256) -> DataFrame:
 def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, stops: dict | None = None) -> Iterator[tuple]:
     """(query, vec_ids, scores) of the up to ``k`` best candidates of a block
     for each query, by score and then by smaller id. ``x`` and ``q`` hold
-    integers in double precision, whose sums are exact. ``stops`` gets the
-    number of queries that stop at each depth; at 1.0 all scores are taken."""
+    integers; where a score may pass 2**53, beyond which double precision has
+    gaps, all scores are taken in 64-bit integers. ``stops`` gets the number
+    of queries that stop at each depth; at 1.0 all scores are taken."""
     n = len(ids)
+    largest = [float(np.abs(a.astype(np.float64)).max(initial=0)) for a in (x, q)]
+    exact = largest[0] * largest[1] * x.shape[1] < 2.0 ** 53
+    x, q = (a.astype(np.float64 if exact else np.int64, copy=False) for a in (x, q))
     x = x[np.argsort(ids, kind="stable")]
     ids = np.sort(ids)
     lists = np.sort(x, axis=0)  # ascending; read from either end
     plus, minus = np.maximum(q, 0), np.minimum(q, 0)
     own = ids[None, :] == query_ids[:, None]
     open_queries = np.arange(len(query_ids))
-    for depth in (*DEPTHS, 1.0):
+    for depth in (*DEPTHS, 1.0) if exact else (1.0,):
         if not len(open_queries):
             return
         p, m, mine = plus[open_queries], minus[open_queries], own[open_queries]
@@ -93,7 +97,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) ->
     candidates. Rows with a null vec_id take no part; a repeated row is a
     candidate as often as it occurs, and a query as one. Different vectors
     under one vec_id are one query: all of them are compared, and its ``k``
-    results are the best of all their scores.
+    results are the best of all their scores. Scores are exact as long as they
+    fit 64 bits.
     """
     scratch = Scratch(vectors.sparkSession, "topk")
     rows = scratch.save(quantize(vectors, scale).withColumn("size", F.size("v")), "vectors")
@@ -132,7 +137,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) ->
                     held = []
                 now = key
                 held.append((cols["asks"].slice(lo, hi - lo).to_numpy(zero_copy_only=False), cols["vec_id"].slice(lo, hi - lo).to_numpy(),
-                             cols["v"].slice(lo, hi - lo).flatten().to_numpy().astype(np.float64)))
+                             cols["v"].slice(lo, hi - lo).flatten().to_numpy()))
         if held:
             yield batch(list(cell(now, held)))
 

@@ -62,6 +62,14 @@ def test_fewer_candidates_than_k(spark):
     assert not run(spark, []) and not run(spark, rows[:1])
 
 
+def test_scores_beyond_the_integers_of_double_precision(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.randrange(1 << 23, 1 << 24) / 256 for _ in range(64)]) for i in range(120)]
+    rows += [(200, [float(np.float32(2.0 ** 15 + 1 / 256))] * 64), (201, [2.0 ** 16 - 1 / 256] * 64), (202, [2.0 ** 16 - 1 / 128] * 64)]
+    got = run(spark, rows, every=10)
+    assert got == brute(rows, 5, 10) and max(abs(r[3]) for r in got) > 2 ** 53 and any(r[3] != int(float(r[3])) for r in got)
+
+
 def test_bounds_stop_early_on_spread_vectors():
     rng = np.random.default_rng(3)
     x = np.floor(256 * rng.standard_normal((2000, 4)) ** 3)
