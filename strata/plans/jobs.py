@@ -30,7 +30,7 @@ from strata.operators.lifecycle import prepare_history
 from strata.operators.rules import Rules, extract_candidates, load_rules
 from strata.schema import ENRICHED
 from strata.scratch import Scratch, run_scratch
-from strata.session import ensure_job_settings, plan_bytes, size_partitions
+from strata.session import ensure_job_settings, plan_bytes, resize_partitions
 from strata.sources import geo as G
 from strata.sources.layout import JOIN_BY_BUCKET, read_history_by_object, write_history_by_object
 from strata.sources.tables import (input_roots, read_candidates, read_changesets, read_history,
@@ -51,7 +51,7 @@ def _signal_observer(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def _size(spark: SparkSession, job: str, *inputs: DataFrame) -> None:
     ensure_job_settings(spark)
-    sized = size_partitions(spark, plan_bytes(*inputs))
+    sized = resize_partitions(spark, plan_bytes(*inputs))
     if sized:
         _log(job, f"partition sizing: {json.dumps(sized)}")
 

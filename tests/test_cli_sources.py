@@ -1,6 +1,8 @@
 """The job CLI on files, and the table readers' input normalisation."""
 
+import glob
 import json
+import math
 import os
 
 from pyspark.sql import functions as F
@@ -152,3 +154,40 @@ def test_cli_extract(spark, scratch):
     assert jobs.main(["extract", "--history_uri", hist, "--rules_uri", rules,
                       "--output_uri", out, "--format", "parquet"]) == 0
     assert read_candidates(spark, out).count() == 115
+
+
+def test_queries_size_their_partitions_by_their_tables(spark, tmp_path):
+    """A session's next query is sized anew; what the deployment has set stays."""
+    from strata.plans.catalog import catalog
+    from strata.session import ADVISORY_BYTES, SHUFFLE_TARGET_BYTES, resize_partitions
+    from strata.sources.fixtures import fixture_history
+    from strata.sources.layout import BUCKET_BYTES, write_history_by_object
+
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    for name, n in (("small", 1000), ("large", 1_300_000)):
+        spark.range(n, numPartitions=1).select(
+            F.abs(F.xxhash64("id") % (1 << 40)).alias("l_orderkey"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"),
+            F.lit(1).alias("l_linenumber"), F.lit("2020-01-01").cast("timestamp").alias("l_shipdate")).coalesce(1).write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+        spark.range(10).select(F.col("id").alias("p_partkey"), F.lit(1).alias("p_size")).write.parquet(f"{tmp_path}/{name}/part.parquet")
+    size = sum(os.path.getsize(f) for t in ("lineitem", "part") for f in glob.glob(f"{tmp_path}/large/{t}.parquet/*.parquet"))
+    saved = {k: spark.conf.get(k, None) for k in [*keys, "spark.sql.shuffle.partitions"]}
+    try:
+        for k in keys:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        for name in ("small", "large", "small", "large"):
+            catalog()["extract_candidates_window_plan"](spark, f"{tmp_path}/{name}")
+            assert spark.conf.get(keys[0]) == str(ADVISORY_BYTES)
+            want = str(math.ceil(size / SHUFFLE_TARGET_BYTES)) if name == "large" else None
+            assert spark.conf.get(keys[1], None) == want and want != "1"
+        resize_partitions(spark, 1000)
+        spark.conf.set(keys[1], "2")         # the deployment's choice
+        catalog()["lifecycle_stats"](spark, f"{tmp_path}/large")
+        assert spark.conf.get(keys[1]) == "2"
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    h = fixture_history(spark, f"{tmp_path}/large")
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/large/lineitem.parquet/*.parquet"))
+    assert write_history_by_object(h, f"{tmp_path}/laid") == math.ceil(size / BUCKET_BYTES) > 1
