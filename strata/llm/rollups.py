@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, map_rows
-from strata.llm.quality import SPACE, words_of
+from strata.llm.quality import SPACE
 from strata.llm.tokens import ByteBpe
 
 GROUP = ["source", "lang", "tokenizer"]
@@ -67,14 +67,16 @@ def counted(docs: DataFrame, vocabulary: str) -> DataFrame:
         bpe = ByteBpe.shared(vocabulary)
         count = lambda texts: [len(bpe.encode(t.as_py())) // 4 if t.is_valid else None for t in texts]
         tokens, again = count(cols["text"]), count(cols["new"])
-        yield {c: cols[c] for c in kept} | dict(bpe=tokens, new_bpe=[a if b is None else b for a, b in zip(tokens, again)])
+        # Words are counted here: their arrays would fill an executor's heap beside its workers.
+        words = [len(t.as_py().encode().split()) for t in cols["text"]]
+        yield {c: cols[c] for c in kept} | dict(words=words, bpe=tokens, new_bpe=[a if b is None else b for a, b in zip(tokens, again)])
 
     old = F.coalesce(F.col("text").cast("string"), F.lit(""))
     new = F.btrim(old, F.lit(SPACE))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
                        F.xxhash64(old).alias("copy"), (old != new).alias("edited"), F.length(old).cast("long").alias("n_chars"), F.length(new).cast("long").alias("new_chars"),
-                       F.size(words_of(old)).cast("long").alias("words"), old.alias("text"), F.when(old != new, new).alias("new"))
-    kept = ["doc_id", "source", "lang", "copy", "edited", "n_chars", "new_chars", "words"]
+                       old.alias("text"), F.when(old != new, new).alias("new"))
+    kept = ["doc_id", "source", "lang", "copy", "edited", "n_chars", "new_chars"]
     schema = "doc_id long, source string, lang string, copy long, edited boolean, n_chars long, new_chars long, words long, bpe long, new_bpe long"
     versions = F.array(F.struct(F.lit("words-1").alias("tokenizer"), F.col("words").alias("n_tokens"), F.col("words").alias("new_tokens")),
                        F.struct(F.lit("byte-bpe-50k-1").alias("tokenizer"), F.col("bpe").alias("n_tokens"), F.col("new_bpe").alias("new_tokens")))

@@ -62,3 +62,13 @@ def test_batches_commit_once_and_leftovers_don_t_count(spark, scratch):
     assert totals(out.totals()) == {("a", "en", "t"): (0, 6, 1), ("b", "en", "t"): (1, 5, 5)}
     assert out.apply("two", change.where("source = 'b'").withColumn("sign", F.lit(-1)))
     assert totals(out.totals()) == {("a", "en", "t"): (0, 6, 1)}
+
+
+def test_words_are_counted_without_arrays(spark, awkward):
+    """A text's words are no array of an executor's heap (they were, beside the workers' memory)."""
+    from strata.plans.shape import plan_text
+    df = spark.createDataFrame([(d, t, "s", "en") for d, t in awkward], "doc_id long, text string, source string, lang string")
+    rows = rollups.counted(df, PATH)
+    assert "split(" not in plan_text(rows)
+    words = {r["doc_id"]: r["n_tokens"] for r in rows.where("tokenizer = 'words-1'").collect()}
+    assert words == {d: len((t or "").encode().split()) for d, t in awkward}
