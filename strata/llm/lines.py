@@ -112,8 +112,12 @@ def earlier_lines(docs: DataFrame, scratch: Scratch, least: int = LEAST, fuzzy:
     each = F.array_distinct(F.array(*[F.col(f"h{i}") for i in range(len(halves))]))
     one = distinct.where("h0 is not null").select("k1", "k2", F.explode_outer(each).alias("half"))
     shared = scratch.save(one.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("half"), "shared")
-    keys = one.join(shared, "half", "left_semi").select("k1", "k2").distinct()
-    chosen = distinct.join(scratch.save(keys, "keys"), ["k1", "k2"]).select(F.col("first.doc").alias("doc"), "copy", F.struct(F.col("first.line").alias("line"), "k1", "k2", "first").alias("c"))
+    keys = scratch.save(one.join(shared, "half", "left_semi").select("k1", "k2").distinct(), "keys")
+    # Nothing below reads the halves: both tables go on without them, before the texts are shuffled.
+    found = scratch.save(found.select("doc", "copy", "line", "k1", "k2"), "places")
+    distinct = scratch.save(distinct.select("k1", "k2", "first", "copy", "copies"), "unique")
+    scratch.drop("shared", "lines", "distinct")
+    chosen = distinct.join(keys, ["k1", "k2"]).select(F.col("first.doc").alias("doc"), "copy", F.struct(F.col("first.line").alias("line"), "k1", "k2", "first").alias("c"))
     chosen = scratch.save(chosen.groupBy("doc", "copy").agg(F.collect_list("c").alias("chosen")), "chosen")
     text = F.col("text").cast("string")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("copy"), text.alias("text"))
@@ -123,7 +127,7 @@ def earlier_lines(docs: DataFrame, scratch: Scratch, least: int = LEAST, fuzzy:
     picked = picked.select(F.explode_outer(F.transform(there, lambda c: F.struct(c["k1"].alias("k1"), c["k2"].alias("k2"), c["first"].alias("first"), F.element_at("lines", c["line"] + 1).alias("line")))).alias("c")).where("c is not null")
     lines = picked.select("c.k1", "c.k2", "c.first", words_of(F.col("c.line")).alias("words"))
     lines = scratch.save(lines.dropDuplicates(["k1", "k2"]), "words")
-    scratch.drop("shared", "keys", "chosen")
+    scratch.drop("keys", "chosen")
 
     rows = scratch.save(variants(lines), "variants")
     meets = rows.groupBy("v", "size").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("v", "size")

@@ -125,3 +125,22 @@ def test_scratch_holds_the_verdicts_only(spark, table, scratch, monkeypatch):
     monkeypatch.setattr("strata.scratch.checkpoint_dir", lambda spark: scratch)
     lines.remove_lines(table([(1, "a b c d e f"), (2, "a b c d e f")])).collect()
     assert [os.listdir(f"{scratch}/{d}") for d in os.listdir(scratch)] == [["gone"]]
+
+
+def test_halves_are_gone_before_texts_are_shuffled(spark):
+    """The scratch tables left when lines are fetched from their texts hold no keys of halves."""
+    from strata.llm.common import Scratch
+    seen = {}
+
+    class Watched(Scratch):
+        def save(self, df, name, seen_=()):
+            if name == "chosen":
+                left = spark._jvm.java.io.File(self.dir).list()
+                seen.update({t: spark.read.parquet(self.path(t)).columns for t in left})
+            return super().save(df, name, seen_)
+
+    rows = [(i, "\n".join(f"one two three w{(i + j) % 7} five six" for j in range(4))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = lines.earlier_lines(df, Watched(spark, "watched"))
+    assert gone.count() == 79 and set(seen) == {"keys", "places", "unique"}
+    assert not [c for columns in seen.values() for c in columns if c.startswith("h")]
