@@ -191,3 +191,21 @@ def test_queries_size_their_partitions_by_their_tables(spark, tmp_path):
     h = fixture_history(spark, f"{tmp_path}/large")
     size = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/large/lineitem.parquet/*.parquet"))
     assert write_history_by_object(h, f"{tmp_path}/laid") == math.ceil(size / BUCKET_BYTES) > 1
+
+
+def test_a_larger_advisory_size_is_lowered(spark):
+    """The advisory size bounds a task's memory: Spark's own 64 MB, stated by the
+    deployment, is lowered for every input; a smaller one stays."""
+    from strata.session import ADVISORY_BYTES, resize_partitions
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    saved = spark.conf.get(key, None)
+    try:
+        for given, want in (("64m", ADVISORY_BYTES), ("67108864b", ADVISORY_BYTES), ("1g", ADVISORY_BYTES), ("8m", "8m"), (str(ADVISORY_BYTES), ADVISORY_BYTES)):
+            spark.conf.set(key, given)
+            for n in (1000, 100 << 30, 1000):
+                resize_partitions(spark, n)
+                assert spark.conf.get(key) == str(want)
+    finally:
+        resize_partitions(spark, 1000)
+        spark.conf.unset(key) if saved is None else spark.conf.set(key, saved)
