@@ -1,23 +1,13 @@
-"""Byte-level BPE ids of whole texts, with a cache of encoded words.
-
-A token never crosses a single space between two other characters (it can
-only begin with it), so a text falls into units there and each unit is
-encoded once per worker. The cache is bounded; a full one starts anew.
-"""
+"""Byte-level BPE ids of whole texts."""
 
 from __future__ import annotations
 
 import array
 import json
-import re
 
 import tiktoken
 from tokenizers import Tokenizer
 
-#: Units kept by a worker (about 60 MB).
-CACHED = 300_000
-#: Longer units are encoded but not kept.
-LONGEST = 64
 #: Fixed value: the pattern of byte-level pre-tokenizers, whose tokens the merges stay within.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -37,10 +27,11 @@ class ByteBpe:
     """The ids that the ``tokenizers`` library gives for the vocabulary file
     at ``path`` without special tokens added.
 
-    When the file's ids follow its merge order (rank = id), new units are
-    encoded by rank with ``tiktoken``, which is several times as fast as the
-    library; other files, and texts that hold an added token, go through the
-    library itself.
+    When the file's ids follow its merge order (rank = id), texts are encoded
+    by rank with ``tiktoken``, which is several times as fast as the library;
+    other files, and texts that hold an added token, go through the library
+    itself. Texts are encoded whole: a cache of their words costs more than it
+    saves where most words are rare, and memory.
     """
 
     def __init__(self, path: str):
@@ -48,8 +39,6 @@ class ByteBpe:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-        self.split = re.compile(r"(?<=\S) (?=\S)").split
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.ranked = self._by_rank(spec)
@@ -73,28 +62,10 @@ class ByteBpe:
             _shared[path] = cls(path)
         return _shared[path]
 
-    def _library(self, text: str) -> bytes:
-        return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _new(self, unit: str) -> bytes:
-        if self.ranked is None:
-            return self._library(unit)
-        return array.array("I", self.ranked.encode_ordinary(unit)).tobytes()
-
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.special):  # an added token may cross units
-            return self._library(text)
-        units = self.split(text)
-        units[1:] = [" " + x for x in units[1:]]
-        cache, out = self.cache, []
-        for unit in units:
-            ids = cache.get(unit)
-            if ids is None:
-                ids = self._new(unit)
-                if len(unit) <= LONGEST:
-                    if len(cache) >= CACHED:
-                        cache.clear()
-                    cache[unit] = ids
-            out.append(ids)
-        return b"".join(out)
+        if self.ranked is None or any(s in text for s in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.ranked.encode_ordinary(text)
+        return array.array("I", ids).tobytes()

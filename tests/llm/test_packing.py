@@ -99,3 +99,18 @@ def test_fullest_is_the_largest_subset_sum():
         best = max(max(counts) + sum(c) for k in range(len(items) + 1) for c in itertools.combinations(items, k) if max(counts) + sum(c) <= 25)
         found = packing.fullest(counts, 25)
         assert sum(k * v for k, v in found.items()) == best and all(counts[k] >= v for k, v in found.items())
+
+
+def test_texts_are_encoded_whole(monkeypatch):
+    """One call a text and no cache of words; the ids are the library's."""
+    from strata.llm import tokens
+
+    texts = ["", " ", "a  b \n c\t d e 　f\x1f g", " it's 12 o'clock,  don't\r\n\r\n ", "été 中文字 한 \U0001f600\U0001f600 ال", "x " * 3000,
+             "a <|endoftext|> b", " ".join(f"w{i * 7919:x}" for i in range(5000))]
+    bpe, library, calls = tokens.ByteBpe(PATH), Tokenizer.from_file(PATH), []
+    encode = bpe.ranked.encode_ordinary
+    monkeypatch.setattr(bpe.ranked, "encode_ordinary", lambda text: calls.append(text) or encode(text))
+    for text in texts:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert bpe.encode(text) == struct.pack(f"<{len(ids)}I", *ids), text[:40]
+    assert calls == [t for t in texts if "<|" not in t]
